@@ -26,9 +26,18 @@ def money_sum(value: Column) -> Column:
     """Sum of amounts kept to four places, the same in whatever order rows arrive.
 
     Adding doubles is order-dependent, and ranks and segments are decided on
-    these sums, so the adding is done in decimals.
+    these sums, so ten-thousandths are added as whole numbers. They hold totals
+    up to 9e14; beyond that the sum fails rather than wraps.
     """
-    return F.sum(value.cast("decimal(18,4)")).cast("double")
+    return in_units(F.sum(ten_thousandths(value)))
+
+
+def ten_thousandths(value: Column) -> Column:
+    return F.rint(value * F.lit(1e4)).cast("long")
+
+
+def in_units(amount: Column) -> Column:
+    return amount.cast("double") / F.lit(1e4)
 
 
 def price_mean(value: Column) -> Column:

@@ -1,8 +1,9 @@
 """Who uses the product: reach, activation, action rate and satisfaction.
 
-All tables share one analysis date and one headcount. Events are folded to one
-row per user (and team, and week) before anything distinct is counted, so each
-count is a sum over folded rows and no distinct set is ever held in a task.
+The event log is read once and folded to one row per team, user and week. Every
+table is made from those rows, under one analysis date and one headcount, so
+each distinct count is a count of folded rows and no distinct set is held in a
+task.
 """
 
 from __future__ import annotations
@@ -15,7 +16,11 @@ from pyspark.sql.window import Window as W
 
 from tillspark.functions.dates import NTZ, calendar, week_start
 from tillspark.functions.numbers import half_even, percent
+from tillspark.functions.rows import literal_rows
 from tillspark.settings import Adoption
+from tillspark.sources.staging import stage
+
+_TALLIES = ("views", "applies", "score_sum", "scores")
 
 
 def as_of(events: DataFrame, settings: Adoption = Adoption()) -> Column:
@@ -38,42 +43,44 @@ def as_of_frame(events: DataFrame, settings: Adoption = Adoption()) -> DataFrame
     return newest
 
 
-def eligible(events: DataFrame, settings: Adoption = Adoption()) -> DataFrame:
-    """Events up to the analysis date; later ones belong to a later report."""
-    return events.where(F.col("event_ts") <= as_of(events, settings))
-
+def usage_facts(events: DataFrame, settings: Adoption = Adoption()) -> DataFrame:
+    """Events up to the analysis date, one row per team, user and Monday week.
 
-def _tallies() -> list[Column]:
+    Later events belong to a later report. `recent` tells whether any event
+    falls in the window that ends on the analysis date.
+    """
+    end = as_of(events, settings)
+    start = end - F.expr(f"interval {7 * settings.active_window_weeks} days")
     kind, score = F.col("event_type"), F.col("feedback_score")
     given = (kind == "feedback") & score.isNotNull()
-    return [
-        F.count_if(kind == "view").alias("views"),
-        F.count_if(kind == "apply").alias("applies"),
-        F.sum(F.when(given, score.cast("long")).otherwise(F.lit(0))).alias("score_sum"),
-        F.count_if(given).alias("scores"),
-    ]
+    return stage(
+        events.where(F.col("event_ts") <= end)
+        .groupBy("team", "user_id", week_start(F.col("event_ts")).alias("week_start"))
+        .agg(
+            F.max(F.col("event_ts") >= start).alias("recent"),
+            F.count_if(kind == "view").alias("views"),
+            F.count_if(kind == "apply").alias("applies"),
+            F.sum(F.when(given, score.cast("long")).otherwise(F.lit(0))).alias("score_sum"),
+            F.count_if(given).alias("scores"),
+        ),
+        "usage_facts",
+    )
 
 
-def _by_user(events: DataFrame, settings: Adoption, *keys: str) -> DataFrame:
-    """Eligible events folded to one row per user (within `keys`)."""
-    start = as_of(events, settings) - F.expr(f"interval {7 * settings.active_window_weeks} days")
-    return (
-        eligible(events, settings)
-        .groupBy(*keys, "user_id")
-        .agg(F.max(F.col("event_ts") >= start).alias("recent"), *_tallies())
+def _per_user(facts: DataFrame, *keys: str) -> DataFrame:
+    return facts.groupBy(*keys, "user_id").agg(
+        F.max("recent").alias("recent"), *[F.sum(c).alias(c) for c in _TALLIES]
     )
 
 
-def _sums(*, active: Column) -> list[Column]:
-    total = lambda name: F.coalesce(F.sum(name), F.lit(0))
-    return [
-        F.count_if(active & F.col("user_id").isNotNull()).alias("active_users"),
-        F.count_if((F.col("applies") > 0) & F.col("user_id").isNotNull()).alias("acted_users"),
-        total("views").alias("views"),
-        total("applies").alias("applies"),
-        total("score_sum").alias("score_sum"),
-        total("scores").alias("scores"),
-    ]
+def _totals(per_user: DataFrame, *keys: str) -> DataFrame:
+    named = F.col("user_id").isNotNull()
+    return per_user.groupBy(*keys).agg(
+        F.count("user_id").alias("users"),
+        F.count_if(named & F.col("recent")).alias("recent_users"),
+        F.count_if(named & (F.col("applies") > 0)).alias("acted_users"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _TALLIES],
+    )
 
 
 def _action_rate() -> Column:
@@ -84,44 +91,47 @@ def _csat() -> Column:
     return half_even(F.try_divide("score_sum", "scores"), 2)
 
 
-def effective_roster(events: DataFrame, settings: Adoption = Adoption()) -> DataFrame:
-    """The licensed teams, plus active teams nobody licensed at their observed size.
-
-    `position` keeps the configured order, unlisted teams following by name.
-    """
-    spark = events.sparkSession
-    listed = spark.createDataFrame(
+def _roster(facts: DataFrame, settings: Adoption) -> DataFrame:
+    listed = literal_rows(
+        facts.sparkSession,
         [(team, size, at) for at, (team, size) in enumerate(settings.roster.items())],
         "team string, licensed_users long, position long",
     )
-    seen = (
-        eligible(events, settings)
-        .where(F.col("team").isNotNull())
-        .groupBy("team", "user_id")
-        .agg(F.count(F.lit(1)).alias("_n"))
+    seen = facts.where(
+        F.col("team").isNotNull() & ~F.col("team").isin(*settings.roster)
+    )
+    unlisted = (
+        seen.groupBy("team", "user_id")
+        .agg(F.count(F.lit(1)).alias("_weeks"))
         .groupBy("team")
         .agg(F.count("user_id").alias("licensed_users"))
-    )
-    # The roster is configuration: a handful of teams.
-    unlisted = seen.join(F.broadcast(listed.select("team")), "team", "left_anti").select(
-        "team", "licensed_users", F.lit(len(settings.roster)).cast("long").alias("position")
+        .withColumn("position", F.lit(len(settings.roster)).cast("long"))
     )
     return listed.unionByName(unlisted)
 
 
-def _licensed_total(events: DataFrame, settings: Adoption) -> Column:
-    return effective_roster(events, settings).agg(F.sum("licensed_users").alias("n")).scalar()
+def effective_roster(
+    events: DataFrame, settings: Adoption = Adoption(), facts: DataFrame | None = None
+) -> DataFrame:
+    """The licensed teams, plus active teams nobody licensed at their observed size.
 
+    `position` keeps the configured order, unlisted teams following it.
+    """
+    return _roster(usage_facts(events, settings) if facts is None else facts, settings)
 
-def adoption_headline(events: DataFrame, settings: Adoption = Adoption()) -> DataFrame:
-    totals = (
-        _by_user(events, settings)
-        .agg(*_sums(active=F.col("recent")))
-        .withColumn("licensed", _licensed_total(events, settings))
-    )
+
+def _licensed(facts: DataFrame, settings: Adoption) -> Column:
+    return _roster(facts, settings).agg(F.sum("licensed_users").alias("n")).scalar()
+
+
+def adoption_headline(
+    events: DataFrame, settings: Adoption = Adoption(), facts: DataFrame | None = None
+) -> DataFrame:
+    facts = usage_facts(events, settings) if facts is None else facts
+    totals = _totals(_per_user(facts)).withColumn("licensed", _licensed(facts, settings))
     # Metrics in report order, each with its target.
     metrics = [
-        ("reach_pct", percent(F.col("active_users"), F.col("licensed")), settings.target_reach_pct),
+        ("reach_pct", percent(F.col("recent_users"), F.col("licensed")), settings.target_reach_pct),
         ("activation_pct", percent(F.col("acted_users"), F.col("licensed")), None),
         ("action_rate_pct", _action_rate(), settings.target_action_rate_pct),
         ("csat", _csat(), settings.target_csat),
@@ -143,21 +153,17 @@ def adoption_headline(events: DataFrame, settings: Adoption = Adoption()) -> Dat
     return totals.select(F.inline(F.array(*rows))).withColumn("status", status)
 
 
-def adoption_weekly(events: DataFrame, settings: Adoption = Adoption()) -> DataFrame:
+def adoption_weekly(
+    events: DataFrame, settings: Adoption = Adoption(), facts: DataFrame | None = None
+) -> DataFrame:
     """One row per Monday week from the first to the last, idle weeks included."""
-    in_week = (
-        eligible(events, settings)
-        .withColumn("week_start", week_start(F.col("event_ts")))
-        .groupBy("week_start", "user_id")
-        .agg(*_tallies())
-        .groupBy("week_start")
-        .agg(*_sums(active=F.lit(True)))
-    )
-    bounds = in_week.agg(F.min("week_start").alias("first"), F.max("week_start").alias("last"))
+    facts = usage_facts(events, settings) if facts is None else facts
+    in_week = _totals(_per_user(facts, "week_start"), "week_start")
+    bounds = facts.agg(F.min("week_start").alias("first"), F.max("week_start").alias("last"))
     weeks = calendar(bounds, "week_start", "interval 7 days")
-    zero = lambda name: F.coalesce(name, F.lit(0)).alias(name)
+    zero = lambda name, out=None: F.coalesce(name, F.lit(0)).alias(out or name)
     trend = weeks.join(in_week, "week_start", "left").select(
-        "week_start", zero("active_users"), zero("views"), zero("applies")
+        "week_start", zero("users", "active_users"), zero("views"), zero("applies")
     )
     return trend.select(
         # The calendar has one row per week, so one ordered pass numbers it.
@@ -166,35 +172,33 @@ def adoption_weekly(events: DataFrame, settings: Adoption = Adoption()) -> DataF
         "active_users",
         "views",
         "applies",
-        percent(F.col("active_users"), _licensed_total(events, settings)).alias("reach_pct"),
+        percent(F.col("active_users"), _licensed(facts, settings)).alias("reach_pct"),
         _action_rate().alias("action_rate_pct"),
     )
 
 
-def adoption_by_team(events: DataFrame, settings: Adoption = Adoption()) -> DataFrame:
+def adoption_by_team(
+    events: DataFrame, settings: Adoption = Adoption(), facts: DataFrame | None = None
+) -> DataFrame:
     """One row per team on the effective roster, idle teams included, by reach."""
-    used = _by_user(events, settings, "team").groupBy("team").agg(*_sums(active=F.col("recent")))
-    teams = effective_roster(events, settings).join(used, "team", "left")
-    zero = lambda name: F.coalesce(name, F.lit(0)).alias(name)
-    counted = teams.select(
-        "team",
-        "licensed_users",
-        "position",
-        *[zero(c) for c in ("active_users", "acted_users", "views", "applies", "scores")],
-        "score_sum",
-    )
+    facts = usage_facts(events, settings) if facts is None else facts
+    used = _totals(_per_user(facts, "team"), "team")
+    zero = lambda name: F.coalesce(name, F.lit(0))
+    headcount = F.col("licensed_users")
     return (
-        counted.select(
+        _roster(facts, settings)
+        .join(used, "team", "left")
+        .select(
             "team",
             "licensed_users",
-            "active_users",
-            percent(F.col("active_users"), F.col("licensed_users")).alias("reach_pct"),
-            percent(F.col("acted_users"), F.col("licensed_users")).alias("activation_pct"),
-            "views",
-            "applies",
+            zero("recent_users").alias("active_users"),
+            percent(zero("recent_users"), headcount).alias("reach_pct"),
+            percent(zero("acted_users"), headcount).alias("activation_pct"),
+            zero("views").alias("views"),
+            zero("applies").alias("applies"),
             _action_rate().alias("action_rate_pct"),
             _csat().alias("csat"),
-            F.col("scores").alias("csat_responses"),
+            zero("scores").alias("csat_responses"),
             "position",
         )
         .orderBy(F.col("reach_pct").desc(), "position", "team")
@@ -215,8 +219,9 @@ def reach_change(events: DataFrame, settings: Adoption = Adoption()) -> DataFram
 
 
 def measure_adoption(events: DataFrame, settings: Adoption = Adoption()) -> dict[str, DataFrame]:
+    facts = usage_facts(events, settings)
     return {
-        "adoption_headline": adoption_headline(events, settings),
-        "adoption_weekly": adoption_weekly(events, settings),
-        "adoption_by_team": adoption_by_team(events, settings),
+        "adoption_headline": adoption_headline(events, settings, facts),
+        "adoption_weekly": adoption_weekly(events, settings, facts),
+        "adoption_by_team": adoption_by_team(events, settings, facts),
     }

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window as W
 
 from tillspark.operators.lookup import BROADCAST_ROWS, lookup
 from tillspark.settings import Recommend
-from tillspark.sources.staging import stage
+from tillspark.sources.staging import stage, stage_counted
 
 # An oversized basket's lines are dealt over this many keys.
 BASKET_SPREAD = 64
@@ -34,17 +34,23 @@ def basket_stats(items: DataFrame) -> DataFrame:
 
 
 def pairable_items(
-    items: DataFrame, max_basket_size: int, broadcast_rows: int = BROADCAST_ROWS
+    items: DataFrame,
+    max_basket_size: int,
+    broadcast_rows: int = BROADCAST_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Items of baskets no larger than the limit.
+    """Items of baskets no larger than the limit; `rows` is their number, if known.
 
     A basket over the limit holds more than `max_basket_size` items, so such
     baskets are few next to items. Repeating their ids over BASKET_SPREAD keys
     lets the lines of a huge one be struck out by many tasks.
     """
     sizes = items.groupBy("invoice_no").agg(F.count(F.lit(1)).alias("size"))
-    oversized = stage(sizes.where(F.col("size") > max_basket_size).select("invoice_no"), "oversized")
-    if oversized.count() <= broadcast_rows:
+    oversized = sizes.where(F.col("size") > max_basket_size).select("invoice_no")
+    at_most = None if rows is None else rows // (max_basket_size + 1)
+    if at_most is None or at_most > broadcast_rows:
+        oversized, at_most = stage_counted(oversized, "oversized")
+    if at_most <= broadcast_rows:
         return items.join(F.broadcast(oversized), "invoice_no", "left_anti")
     dealt = items.withColumn("_deal", F.pmod(F.xxhash64("stock_code"), F.lit(BASKET_SPREAD)))
     every = F.sequence(F.lit(0).cast("long"), F.lit(BASKET_SPREAD - 1).cast("long"))
@@ -53,7 +59,10 @@ def pairable_items(
 
 
 def pair_counts(
-    items: DataFrame, max_basket_size: int, broadcast_rows: int = BROADCAST_ROWS
+    items: DataFrame,
+    max_basket_size: int,
+    broadcast_rows: int = BROADCAST_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Per unordered pair (a < b): baskets holding both, and the first of them.
 
@@ -62,7 +71,7 @@ def pair_counts(
     """
     basket = F.sort_array(F.collect_list("stock_code"))
     lists = (
-        pairable_items(items, max_basket_size, broadcast_rows)
+        pairable_items(items, max_basket_size, broadcast_rows, rows)
         .groupBy("invoice_no")
         .agg(basket.alias("basket"))
         .where(F.size("basket") > 1)
@@ -82,25 +91,29 @@ def pair_rules(
     items: DataFrame,
     settings: Recommend = Recommend(),
     broadcast_rows: int = BROADCAST_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Both directions of every pair that reaches the support count, unfiltered.
 
     Item and basket counts cover all baskets, those of one item or over the
     size limit included; only the pair counts leave them out.
     """
-    pairs = pair_counts(items, settings.max_basket_size, broadcast_rows)
-    enough = F.col("pair_baskets") >= settings.min_support_count
-    frequent = stage(pairs.where(enough), "pairs")
-    per_item = stage(items.groupBy("stock_code").agg(F.count(F.lit(1)).alias("n")), "items")
+    pairs = pair_counts(items, settings.max_basket_size, broadcast_rows, rows)
+    frequent = pairs.where(F.col("pair_baskets") >= settings.min_support_count)
+    per_item, products = stage_counted(
+        items.groupBy("stock_code").agg(F.count(F.lit(1)).alias("n")), "items"
+    )
+    if products > broadcast_rows:
+        frequent = stage(frequent, "pairs")
     baskets = items.select(F.count_distinct("invoice_no").alias("n")).scalar()
 
-    with_a = lookup(
-        frequent, per_item.toDF("a", "a_baskets"), "a", ["a", "b"], broadcast_rows
-    )
-    with_both = lookup(
-        stage(with_a, "pairs_a") if per_item.count() > broadcast_rows else with_a,
-        per_item.toDF("b", "b_baskets"), "b", ["a", "b"], broadcast_rows,
-    )
+    with_both = frequent
+    for end in ("a", "b"):
+        counts = per_item.toDF(end, f"{end}_baskets")
+        with_both = lookup(
+            with_both, counts, end, ["a", "b"], broadcast_rows,
+            measured_on=frequent, at_most=products,
+        )
     direction = lambda src, dst: F.struct(
         F.col(src).alias("stock_code"),
         F.col(dst).alias("recommended_stock_code"),
@@ -135,8 +148,8 @@ def co_purchase_rules(
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Up to top_n rules per product, by lift; equal lifts in first-basket order."""
-    items = stage(basket_items(fact, product), "basket_items")
-    kept = pair_rules(items, settings, broadcast_rows).where(
+    items, rows = stage_counted(basket_items(fact, product), "basket_items")
+    kept = pair_rules(items, settings, broadcast_rows, rows).where(
         (F.col("confidence") >= settings.min_confidence) & (F.col("lift") >= settings.min_lift)
     )
     # Spark cuts each product to top_n before the shuffle as well as after it.

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillspark.sources.staging import stage
+from tillspark.sources.staging import stage, stage_counted
 
-# A staged lookup table up to this many narrow rows is sent to every executor.
+# A lookup table of up to this many narrow rows is sent to every executor.
 BROADCAST_ROWS = 200_000
 # A key is hot when it holds more than one row in this many, so that at most
 # this many keys can be hot, whatever the data.
@@ -24,18 +24,22 @@ def lookup(
     broadcast_rows: int = BROADCAST_ROWS,
     hot_slots: int = HOT_SLOTS,
     measured_on: DataFrame | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """All rows of `left` with the columns `right` holds for their key, or nulls.
 
-    `right` must be staged and hold each key once. A small one is broadcast. For
-    a large one the hot keys of `left` are found first; the few rows of `right`
-    they need are broadcast, and only the remaining rows are matched by a
-    shuffle. Rows already matched, and rows without a key, are dealt out by
-    `spread_by` (columns that differ between rows), so no key gathers in a task.
-    `measured_on` names a cheaper frame with the same keys on the same rows, for
-    a `left` that would be computed again to count its keys.
+    `right` holds each key once. A small one is broadcast: one the caller knows
+    to have `at_most` so many rows, or one found to be small when it is staged
+    and counted. For a large one the hot keys of `left` are found first; the few
+    rows of `right` they need are broadcast, and only the remaining rows are
+    matched by a shuffle. Rows already matched, and rows without a key, are
+    dealt out by `spread_by` (columns that differ between rows), so no key
+    gathers in a task. `measured_on` names a cheaper frame with the same keys on
+    the same rows, for a `left` that would be computed again to count its keys.
     """
-    if right.count() <= broadcast_rows:
+    if at_most is None or at_most > broadcast_rows:
+        right, at_most = stage_counted(right, "lookup")
+    if at_most <= broadcast_rows:
         return left.join(F.broadcast(right), on, "left")
 
     extra = [c for c in right.columns if c != on]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tillspark.functions.dates import NTZ
-from tillspark.functions.numbers import money_sum, ratio
+from tillspark.functions.numbers import in_units, money_sum, ratio, ten_thousandths
 from tillspark.operators.lookup import lookup
 from tillspark.operators.numbering import number_rows, value_ranks
 from tillspark.operators.semantic import UNKNOWN_KEY
@@ -98,8 +98,7 @@ def _month_revenue(model: Model) -> DataFrame:
 
 
 def _running(value: str, over) -> Column:
-    amount = F.col(value).cast("decimal(18,4)")
-    return F.sum(amount).over(over).cast("double")
+    return in_units(F.sum(ten_thousandths(F.col(value))).over(over))
 
 
 def revenue_by_day(model: Model) -> DataFrame:
@@ -234,7 +233,7 @@ def product_rank(model: Model) -> DataFrame:
         named.groupBy("Description").agg(money_sum(F.col("revenue")).alias("revenue")), "ranked"
     )
     values = totals.select("revenue").distinct()
-    ranks = stage(number_rows(values, [F.col("revenue").desc()], "revenue_rank"), "ranks")
+    ranks = number_rows(values, [F.col("revenue").desc()], "revenue_rank")
     return lookup(totals, ranks, "revenue", ["Description"]).select(
         "Description", "revenue", "revenue_rank"
     )
@@ -285,12 +284,12 @@ def top_share(model: Model, top: float = 0.2) -> DataFrame:
     ranked = value_ranks(products, "revenue").withColumn(
         "_rank", everyone - F.col("below") - F.col("peers") + 1
     )
-    amount = F.col("revenue").cast("decimal(18,4)") * F.col("peers")
+    amount = ten_thousandths(F.col("revenue")) * F.col("peers")
     chosen = F.col("_rank") <= selling * F.lit(top)
     return ranked.agg(
         F.sum(F.when(chosen, F.col("peers"))).alias("top_products"),
-        F.sum(F.when(chosen, amount)).cast("double").alias("top_revenue"),
-        F.sum(amount).cast("double").alias("revenue"),
+        in_units(F.sum(F.when(chosen, amount))).alias("top_revenue"),
+        in_units(F.sum(amount)).alias("revenue"),
     ).withColumn("top_share", ratio(F.col("top_revenue"), F.col("revenue")))
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from tillspark.functions.numbers import half_even
 from tillspark.operators.lookup import BROADCAST_ROWS, HOT_SLOTS, lookup
 from tillspark.settings import Quality
-from tillspark.sources.staging import stage
 from tillspark.sources.transactions import SOURCE_POSITION
 
 LINE_KEY = ("invoice_no", "stock_code", "quantity", "unit_price", "invoice_ts")
@@ -120,10 +119,10 @@ def first_positions(lines: DataFrame) -> DataFrame:
     any other. Nulls in the key compare equal.
     """
     return (
-        lines.groupBy(F.struct(*LINE_KEY).alias("_line"))
+        lines.groupBy(*LINE_KEY)
         .agg(F.min(SOURCE_POSITION).alias(FIRST_POSITION), F.count(F.lit(1)).alias("_copies"))
         .where(F.col("_copies") > 1)
-        .select("_line", FIRST_POSITION)
+        .select(F.struct(*LINE_KEY).alias("_line"), FIRST_POSITION)
     )
 
 
@@ -135,10 +134,9 @@ def flag_lines(
     hot_slots: int = HOT_SLOTS,
 ) -> DataFrame:
     """The lines plus one boolean column per rule, never null."""
-    repeated = stage(first_positions(lines), "repeated")
     keyed = lookup(
         lines.withColumn("_line", F.struct(*LINE_KEY)),
-        repeated,
+        first_positions(lines),
         "_line",
         spread_by=[SOURCE_POSITION],
         broadcast_rows=broadcast_rows,

@@ -8,12 +8,12 @@ from pyspark.sql.window import Window as W
 
 from tillspark.functions.numbers import half_even, percent
 from tillspark.operators.basket import co_purchase_rules
-from tillspark.operators.lookup import lookup
+from tillspark.operators.lookup import BROADCAST_ROWS, lookup
 from tillspark.operators.numbering import number_rows
 from tillspark.operators.similarity import content_similar
 from tillspark.operators.star import UNKNOWN_DESCRIPTION
 from tillspark.settings import Recommend
-from tillspark.sources.staging import stage
+from tillspark.sources.staging import stage, stage_counted
 
 COLUMNS = (
     "stock_code", "description", "recommended_stock_code", "recommended_description",
@@ -26,11 +26,18 @@ def recommend(
 ) -> DataFrame:
     """Co-purchase rules, then description matches for products without any."""
     rules = stage(co_purchase_rules(fact, settings), "rules")
-    names = stage(dim_product.select("stock_code", "description"), "names")
+    names, products = stage_counted(dim_product.select("stock_code", "description"), "names")
     recs = rules.unionByName(content_similar(names, rules, settings))
-    named = lookup(recs, names, "stock_code", ["recommended_stock_code"])
-    offered = names.toDF("recommended_stock_code", "recommended_description")
-    both = lookup(named, offered, "recommended_stock_code", ["stock_code"])
+    if products > BROADCAST_ROWS:
+        recs = stage(recs, "unnamed")
+    both = recs
+    for prefix in ("", "recommended_"):
+        code = f"{prefix}stock_code"
+        names_there = names.toDF(code, f"{prefix}description")
+        both = lookup(
+            both, names_there, code, ["stock_code", "recommended_stock_code"],
+            measured_on=recs, at_most=products,
+        )
     rounded = {c: half_even(F.col(c), 5) for c in ("support", "confidence", "lift")}
     return both.withColumns(rounded).select(*COLUMNS)
 

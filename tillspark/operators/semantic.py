@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillspark.functions.dates import NTZ, calendar, midnight, required
 from tillspark.functions.numbers import half_even
+from tillspark.functions.rows import literal_rows
 from tillspark.operators.lookup import BROADCAST_ROWS, lookup
 from tillspark.operators.numbering import number_rows, value_ranks
 from tillspark.operators.quality import RULES, Rule
@@ -96,7 +97,7 @@ def dim_country(
 
 def _with_member(rows: DataFrame, member: tuple) -> DataFrame:
     """The unknown member, typed like the dimension, and the dimension's rows."""
-    return rows.sparkSession.createDataFrame([member], rows.schema).unionByName(rows)
+    return literal_rows(rows.sparkSession, [member], rows.schema).unionByName(rows)
 
 
 def price_band(price: Column) -> Column:
@@ -161,7 +162,7 @@ def dim_customer(customer: DataFrame, country: DataFrame) -> DataFrame:
     homes = country.where(F.col("CountryKey") != UNKNOWN_KEY).select(
         F.col("Country").alias("country"), "CountryKey"
     )
-    placed = lookup(keyed, stage(homes, "homes"), "country", ["customer_id"])
+    placed = lookup(keyed, homes, "country", ["customer_id"])
     rows = placed.select(
         "CustomerKey",
         F.col("customer_id").cast("string").alias("CustomerID"),
@@ -195,7 +196,8 @@ def dim_quality_rule(spark: SparkSession, rules: Sequence[Rule] = RULES) -> Data
         )
         for at, rule in enumerate(rules, start=1)
     ]
-    return spark.createDataFrame(
+    return literal_rows(
+        spark,
         rows,
         "RuleKey long, RuleName string, RuleLabel string, QualityDimension string, "
         "Action string, Rationale string",
@@ -209,7 +211,7 @@ def _key(name: str) -> Column:
 def _keys(dim: DataFrame, key: str, natural: str, name: str) -> DataFrame:
     """The lookup side of a dimension: natural key renamed as the fact calls it."""
     known = dim.where(F.col(key) != UNKNOWN_KEY)
-    return stage(known.select(F.col(natural).alias(name), key), key)
+    return known.select(F.col(natural).alias(name), key)
 
 
 def fact_sales(
@@ -284,8 +286,8 @@ def bridge_quarantine_rule(numbered: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def security_user_country(country: DataFrame, settings: Semantic = Semantic()) -> DataFrame:
-    granted = country.sparkSession.createDataFrame(
-        list(settings.entitlements), "UserEmail string, Country string"
+    granted = literal_rows(
+        country.sparkSession, settings.entitlements, "UserEmail string, Country string"
     )
     known = country.select("Country", "CountryKey")
     key = F.when(F.col("Country") == ALL_COUNTRIES, F.lit(ALL_COUNTRIES_KEY)).otherwise(

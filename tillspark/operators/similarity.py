@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -19,7 +19,7 @@ from tillspark.functions.text import terms
 from tillspark.operators.lookup import BROADCAST_ROWS, lookup
 from tillspark.operators.star import UNKNOWN_DESCRIPTION
 from tillspark.settings import Recommend
-from tillspark.sources.staging import stage
+from tillspark.sources.staging import stage, stage_counted
 
 MIN_CATALOGUE = 5
 # A term held by more bags than this is common: bags are not paired through it.
@@ -39,32 +39,36 @@ def term_weights(
     docs: DataFrame, key: str, found: Column, copies: str | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """(key, term, tf, df, weight): length-normalised TF-IDF of every document.
+    """(key, term, tf, df, holders, weight): length-normalised TF-IDF of every document.
 
     `found` is the array of a document's terms; `copies` tells how many equal
-    documents a row stands for. Terms in a single document are left out, unless
-    that leaves no term at all.
+    documents a row stands for, and `holders` how many rows hold the term. Terms
+    in a single document are left out, unless that leaves no term at all.
     """
     weight = F.col(copies) if copies else F.lit(1)
-    counted = stage(
+    counted, rows = stage_counted(
         docs.select(key, weight.cast("long").alias("_copies"), F.explode(found).alias("term"))
         .groupBy(key, "term")
         .agg(F.count(F.lit(1)).alias("tf"), F.first("_copies").alias("_copies")),
         "terms",
     )
     n = docs.select(F.sum(weight.cast("long")).alias("n")).scalar()
-    df = counted.groupBy("term").agg(F.sum("_copies").alias("df"))
+    df = counted.groupBy("term").agg(
+        F.sum("_copies").alias("df"), F.count(F.lit(1)).alias("holders")
+    )
     floor = df.select(F.least(F.lit(2), F.max("df")).alias("floor")).scalar()
-    vocabulary = stage(df.where(F.col("df") >= floor), "vocabulary")
+    vocabulary = df.where(F.col("df") >= floor)
     idf = F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0
     weighted = (
-        lookup(counted, vocabulary, "term", [key, "term"], broadcast_rows)
+        lookup(counted, vocabulary, "term", [key, "term"], broadcast_rows, at_most=rows)
         .where(F.col("df").isNotNull())
         .withColumn("_raw", F.col("tf") * idf)
     )
     # A document's terms are no more than its text held in one row.
     length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(W.partitionBy(key)))
-    return weighted.select(key, "term", "tf", "df", (F.col("_raw") / length).alias("weight"))
+    return weighted.select(
+        key, "term", "tf", "df", "holders", (F.col("_raw") / length).alias("weight")
+    )
 
 
 def tfidf_terms(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -88,18 +92,14 @@ def _top(pairs: DataFrame, top_n: int) -> DataFrame:
     )
 
 
-def _marked(weights: DataFrame, common_term: int, broadcast_rows: int) -> DataFrame:
-    """The weights, each with whether its term is common."""
-    in_bags = weights.groupBy("term").agg((F.count(F.lit(1)) > common_term).alias("common"))
-    return lookup(weights, stage(in_bags, "term_bags"), "term", ["bag", "term"], broadcast_rows)
-
-
-def _through_rare_terms(marked: DataFrame, bags: DataFrame, broadcast_rows: int) -> DataFrame:
+def _through_rare_terms(
+    weights: DataFrame, bags: DataFrame, common_term: int, any_common: bool, rows: int,
+    broadcast_rows: int,
+) -> DataFrame:
     """All pairs (wanted bag, other bag) that share a rare term, with full cosine."""
-    rare = marked.where(~F.col("common"))
-    common = marked.where("common")
+    rare = weights.where(F.col("holders") <= common_term)
     wanted = rare.join(bags.where("wanted").select("bag"), "bag", "left_semi")
-    # A rare term is held by a bounded number of bags, and so is every group here.
+    # A rare term is held by at most `common_term` bags, which bounds every group.
     met = (
         wanted.select("term", "bag", F.col("weight").alias("_w"))
         .join(rare.select("term", F.col("bag").alias("other"), "weight"), "term")
@@ -107,52 +107,46 @@ def _through_rare_terms(marked: DataFrame, bags: DataFrame, broadcast_rows: int)
         .groupBy("bag", "other")
         .agg(F.sum(F.col("_w") * F.col("weight")).alias("rare_part"))
     )
-    tail = stage(
-        bags.select("bag", "first_stock").join(
-            common.groupBy("bag").agg(
-                F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("tail")
-            ),
-            "bag",
-            "left",
-        ),
-        "tails",
-    )
-    met = stage(met, "met")
-    mine = lookup(
-        met, tail.select("bag", F.col("tail").alias("_mine")), "bag", ["bag", "other"],
-        broadcast_rows,
-    )
-    if tail.count() > broadcast_rows:
-        mine = stage(mine, "mine")
+    first = bags.select(F.col("bag").alias("other"), F.col("first_stock").alias("other_first"))
+    if rows > broadcast_rows or any_common:
+        met = stage(met, "met")
     both = lookup(
-        mine,
-        tail.select(
-            F.col("bag").alias("other"),
-            F.col("tail").alias("_theirs"),
-            F.col("first_stock").alias("other_first"),
-        ),
-        "other",
-        ["bag", "other"],
-        broadcast_rows,
+        met, first, "other", ["bag", "other"], broadcast_rows, at_most=rows, measured_on=met
     )
-    shared = F.aggregate(
-        F.map_entries("_mine"),
-        F.lit(0.0),
-        lambda total, e: total
-        + e["value"] * F.coalesce(F.try_element_at("_theirs", e["key"]), F.lit(0.0)),
-    )
-    cosine = _rounded(F.col("rare_part") + F.coalesce(shared, F.lit(0.0)))
-    return both.select("bag", "other", "other_first", cosine.alias("cosine"))
+    cosine = F.col("rare_part")
+    if any_common:
+        tails = stage(
+            weights.where(F.col("holders") > common_term)
+            .groupBy("bag")
+            .agg(F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("tail")),
+            "tails",
+        )
+        for end in ("bag", "other"):
+            tail = tails.toDF(end, f"_{end}_tail")
+            both = lookup(
+                both, tail, end, ["bag", "other"], broadcast_rows, at_most=rows, measured_on=met
+            )
+        theirs = F.col("_other_tail")
+        shared = F.aggregate(
+            F.map_entries("_bag_tail"),
+            F.lit(0.0),
+            lambda total, e: total
+            + e["value"] * F.coalesce(F.try_element_at(theirs, e["key"]), F.lit(0.0)),
+        )
+        cosine = cosine + F.coalesce(shared, F.lit(0.0))
+    return both.select("bag", "other", "other_first", _rounded(cosine).alias("cosine"))
 
 
-def _unsettled(marked: DataFrame, bags: DataFrame, best: DataFrame, top_n: int) -> DataFrame:
+def _unsettled(
+    weights: DataFrame, bags: DataFrame, best: DataFrame, top_n: int, common_term: int
+) -> DataFrame:
     """Wanted bags whose common terms could lift an unmet bag into the best `top_n`.
 
     A bag that shares only common terms scores at most the length of this bag's
     common part, so a bag is settled once its `top_n`-th match exceeds that.
     """
     reach = (
-        marked.where("common")
+        weights.where(F.col("holders") > common_term)
         .groupBy("bag")
         .agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("reach"))
     )
@@ -244,38 +238,41 @@ def content_similar(
     offered. `products` needs stock_code and description, `covered` stock_code.
     """
     top_n = settings.top_n
-    known = stage(_catalogue(products), "catalogue")
-    cold = stage(known.join(covered.select("stock_code").distinct(), "stock_code", "left_anti"), "cold")
-    if cold.isEmpty():
-        return _as_rules(known.sparkSession.createDataFrame([], "stock_code string, other string, rank int"))
-
-    wanted = cold.select("bag").distinct().withColumn("wanted", F.lit(True))
-    bags = stage(
-        known.where(F.col("bag") != "")
-        .groupBy("bag")
-        .agg(F.count(F.lit(1)).alias("copies"), F.min("stock_code").alias("first_stock"))
-        .join(wanted, "bag", "left")
-        .withColumn("wanted", F.coalesce("wanted", F.lit(False))),
+    has_rule = covered.select("stock_code").distinct().withColumn("_ruled", F.lit(True))
+    known = stage(
+        _catalogue(products)
+        .join(has_rule, "stock_code", "left")
+        .select("stock_code", "bag", F.col("_ruled").isNull().alias("cold")),
+        "catalogue",
+    )
+    # One row per distinct bag. Those without a single term count as documents.
+    bags, rows = stage_counted(
+        known.groupBy("bag").agg(
+            F.count(F.lit(1)).alias("copies"),
+            F.min("stock_code").alias("first_stock"),
+            F.max("cold").alias("wanted"),
+        ),
         "bags",
     )
+    found = F.when(F.col("bag") != "", F.split("bag", "\u0001"))
+    seen = Observation()
     weights = stage(
-        term_weights(
-            # Products without a single term still count as documents.
-            known.groupBy("bag").agg(F.count(F.lit(1)).alias("copies")),
-            "bag",
-            F.when(F.col("bag") != "", F.split("bag", "\u0001")),
-            "copies",
-            broadcast_rows,
+        term_weights(bags, "bag", found, "copies", broadcast_rows).observe(
+            seen, F.count_if(F.col("holders") > common_term).alias("common")
         ),
         "weights",
     )
-    marked = stage(_marked(weights, common_term, broadcast_rows), "marked")
-    met = _through_rare_terms(marked, bags, broadcast_rows)
-    best = stage(_top(met.where(F.col("cosine") > 0), top_n), "best")
-    open_bags = stage(_unsettled(marked, bags, best, top_n), "open")
-    if not open_bags.isEmpty():
-        compared = _top(_through_blocks(weights, bags, open_bags, top_n, block), top_n)
-        best = best.join(open_bags, "bag", "left_anti").unionByName(compared)
+    any_common = seen.get["common"] > 0
+    met = _through_rare_terms(weights, bags, common_term, any_common, rows, broadcast_rows)
+    best = _top(met.where(F.col("cosine") > 0), top_n)
+    if any_common:
+        best = stage(best, "best")
+        open_bags, left_open = stage_counted(
+            _unsettled(weights, bags, best, top_n, common_term), "open"
+        )
+        if left_open:
+            compared = _top(_through_blocks(weights, bags, open_bags, top_n, block), top_n)
+            best = best.join(open_bags, "bag", "left_anti").unionByName(compared)
 
     # A bag's own products match it fully, if any of its terms carries weight.
     own = weights.select("bag").distinct().join(bags.where("wanted").select("bag"), "bag", "left_semi")
@@ -295,7 +292,8 @@ def content_similar(
         .agg(F.array_sort(F.collect_list(F.struct((-F.col("cosine")).alias("c"), "offer"))).alias("o"))
         .select("bag", F.col("o.offer").alias("offers"))
     )
-    listed = lookup(cold, stage(offers, "offers"), "bag", ["stock_code"], broadcast_rows)
+    cold = known.where("cold").select("stock_code", "bag")
+    listed = lookup(cold, offers, "bag", ["stock_code"], broadcast_rows, at_most=rows)
     others = F.filter("offers", lambda o: o != F.col("stock_code"))
     return _as_rules(
         listed.select("stock_code", F.posexplode(F.slice(others, 1, top_n)).alias("_at", "other")).select(

@@ -50,17 +50,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def build_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their order, customer, country and part; some lines twice."""
+def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their order, part, customer and country.
+
+    Line items are dealt out by order, as joining them to a large order table
+    would do; a single small file is thereby read by more than one task.
+    """
     read = lambda name: table(spark, sf_dir, name)
-    joined = (
+    return (
         read("lineitem")
+        .repartition("l_orderkey")
         .join(read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     )
-    return joined.selectExpr(
+
+
+def build_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their order, customer, country and part; some lines twice."""
+    return _joined(spark, sf_dir).selectExpr(
         """concat(case when l_returnflag = 'R' and l_linenumber = 7 then 'C' else '' end,
                   cast(l_orderkey as string)) as invoice_no""",
         """case when l_partkey % 97 = 0 then 'POST'
@@ -95,15 +104,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The line items as a text feed under its source column names, junk included."""
-    read = lambda name: table(spark, sf_dir, name)
-    joined = (
-        read("lineitem")
-        .join(read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    )
-    return joined.selectExpr(
+    return _joined(spark, sf_dir).selectExpr(
         """concat(case when l_returnflag = 'R' then 'c' else '' end,
                   cast(l_orderkey as string)) as InvoiceNo""",
         """case when l_partkey % 61 = 0 then 'NA'

@@ -169,7 +169,8 @@ def run_metrics_row(spark: SparkSession, sf: str) -> DataFrame:
 
 def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """Everything from the line view to the run's metrics, sharing nothing."""
-    done = refresh(fixtures.build_lines(spark, sf), fixtures.usage(spark, sf), SETTINGS)
+    lines = stage(fixtures.build_lines(spark, sf), "lines")
+    done = refresh(lines, fixtures.usage(spark, sf), SETTINGS)
     return done.metrics
 
 

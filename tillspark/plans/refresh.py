@@ -82,7 +82,7 @@ def input_fingerprints(lines: DataFrame, events: DataFrame) -> DataFrame:
 def refresh(lines: DataFrame, events: DataFrame, settings: Settings = Settings()) -> Refresh:
     """Flag, gate, split, model, recommend and measure. Raises at the gate.
 
-    Each table that several steps read is staged once.
+    Each table that several steps read is staged once; so should `lines` be.
     """
     flagged = stage(flag_lines(lines, settings.quality), "flagged")
     enforce_gate(flagged, settings.quality)

@@ -10,7 +10,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -29,8 +30,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once and return it as read back."""
+    return _write(df, df, name)
+
+
+def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """`stage`, and the row count, taken while the rows are written."""
+    seen = Observation()
+    staged = _write(df.observe(seen, F.count(F.lit(1)).alias("rows")), df, name)
+    return staged, seen.get["rows"]
+
+
+def _write(observed: DataFrame, df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     app = spark.sparkContext.applicationId
     path = f"{shared_folder(spark)}/{app}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    observed.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
