@@ -205,16 +205,16 @@ def _through_blocks(
     )
     left_blocks = -(-sources.count() // block)
     right_blocks = -(-vectors.count() // block)
-    deal = lambda n: F.pmod(F.xxhash64("bag"), F.lit(n))
+    deal = lambda n: F.pmod(F.xxhash64("bag"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = (
         vectors.join(sources, "bag", "left_semi")
         .withColumn("_l", deal(left_blocks))
-        .withColumn("_r", every(right_blocks).cast("long"))
-    )
-    right = vectors.withColumn("_r", deal(right_blocks)).withColumn(
-        "_l", every(left_blocks).cast("long")
+        .withColumn("_r", every(right_blocks))
     )
+    # Renamed to themselves, so that the two sides share no column identity.
+    others = vectors.toDF("bag", "first_stock", "terms", "weights")
+    right = others.withColumn("_r", deal(right_blocks)).withColumn("_l", every(left_blocks))
     return (
         left.groupBy("_l", "_r")
         .cogroup(right.groupBy("_l", "_r"))
