@@ -92,17 +92,19 @@ def pair_rules(
     settings: Recommend = Recommend(),
     broadcast_rows: int = BROADCAST_ROWS,
     rows: int | None = None,
+    products: int | None = None,
 ) -> DataFrame:
     """Both directions of every pair that reaches the support count, unfiltered.
 
     Item and basket counts cover all baskets, those of one item or over the
-    size limit included; only the pair counts leave them out.
+    size limit included; only the pair counts leave them out. `rows` and
+    `products` are the numbers of items and of products, when they are known.
     """
     pairs = pair_counts(items, settings.max_basket_size, broadcast_rows, rows)
     frequent = pairs.where(F.col("pair_baskets") >= settings.min_support_count)
-    per_item, products = stage_counted(
-        items.groupBy("stock_code").agg(F.count(F.lit(1)).alias("n")), "items"
-    )
+    per_item = items.groupBy("stock_code").agg(F.count(F.lit(1)).alias("n"))
+    if products is None or products > broadcast_rows:
+        per_item, products = stage_counted(per_item, "items")
     if products > broadcast_rows:
         frequent = stage(frequent, "pairs")
     baskets = items.select(F.count_distinct("invoice_no").alias("n")).scalar()
@@ -146,10 +148,11 @@ def co_purchase_rules(
     settings: Recommend = Recommend(),
     product: str = "stock_code",
     broadcast_rows: int = BROADCAST_ROWS,
+    products: int | None = None,
 ) -> DataFrame:
     """Up to top_n rules per product, by lift; equal lifts in first-basket order."""
     items, rows = stage_counted(basket_items(fact, product), "basket_items")
-    kept = pair_rules(items, settings, broadcast_rows, rows).where(
+    kept = pair_rules(items, settings, broadcast_rows, rows, products).where(
         (F.col("confidence") >= settings.min_confidence) & (F.col("lift") >= settings.min_lift)
     )
     # Spark cuts each product to top_n before the shuffle as well as after it.

@@ -22,11 +22,20 @@ COLUMNS = (
 
 
 def recommend(
-    fact: DataFrame, dim_product: DataFrame, settings: Recommend = Recommend()
+    fact: DataFrame,
+    dim_product: DataFrame,
+    settings: Recommend = Recommend(),
+    products: int | None = None,
 ) -> DataFrame:
-    """Co-purchase rules, then description matches for products without any."""
-    rules = stage(co_purchase_rules(fact, settings), "rules")
-    names, products = stage_counted(dim_product.select("stock_code", "description"), "names")
+    """Co-purchase rules, then description matches for products without any.
+
+    `products` is the number of rows of a staged `dim_product`; without it the
+    names are staged here.
+    """
+    names = dim_product.select("stock_code", "description")
+    if products is None:
+        names, products = stage_counted(names, "names")
+    rules = stage(co_purchase_rules(fact, settings, products=products), "rules")
     recs = rules.unionByName(content_similar(names, rules, settings))
     if products > BROADCAST_ROWS:
         recs = stage(recs, "unnamed")

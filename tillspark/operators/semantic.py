@@ -21,7 +21,7 @@ from tillspark.settings import (
     SEGMENTS,
     Semantic,
 )
-from tillspark.sources.staging import stage
+from tillspark.sources.staging import stage, stage_all
 from tillspark.sources.transactions import SOURCE_POSITION
 
 # The members every missing key points at.
@@ -314,20 +314,28 @@ def build_model(
 ) -> dict[str, DataFrame]:
     """All nine tables from the four published ones, each staged once."""
     country = stage(dim_country(fact, quarantine, settings), "dim_country")
-    products = stage(dim_product(product, fact), "dim_product")
-    customers = stage(dim_customer(customer, country), "dim_customer")
-    numbered = stage(number_quarantine(quarantine), "numbered")
+    first = stage_all(
+        {
+            "dim_date": dim_date(fact, quarantine),
+            "dim_product": dim_product(product, fact),
+            "dim_customer": dim_customer(customer, country),
+            "numbered": number_quarantine(quarantine),
+        }
+    )
+    products, customers = first["dim_product"], first["dim_customer"]
+    numbered = first.pop("numbered")
     rule = dim_quality_rule(fact.sparkSession, rules)
+    facts = stage_all(
+        {
+            "fact_sales": fact_sales(fact, products, customers, country),
+            "fact_quarantine": fact_quarantine(numbered, products, country),
+            "bridge_quarantine_rule": bridge_quarantine_rule(numbered, rule),
+        }
+    )
     return {
-        "dim_date": stage(dim_date(fact, quarantine), "dim_date"),
-        "dim_product": products,
-        "dim_customer": customers,
+        **first,
+        **facts,
         "dim_country": country,
         "dim_quality_rule": rule,
-        "fact_sales": stage(fact_sales(fact, products, customers, country), "fact_sales"),
-        "fact_quarantine": stage(
-            fact_quarantine(numbered, products, country), "fact_quarantine"
-        ),
-        "bridge_quarantine_rule": stage(bridge_quarantine_rule(numbered, rule), "bridge"),
         "security_user_country": security_user_country(country, settings),
     }

@@ -578,7 +578,7 @@ BODIES: dict[str, str] = {
             having count(*) <= {RECOMMEND.max_basket_size})
         group by 1, 2""",
     "co_purchase_rules": "select * from co_rules",
-    "co_purchase_by_name": "select * from " + rules_sql("named_items", *DEFAULT_RECOMMEND),
+    "co_purchase_by_name": "select * from " + rules_sql("named_items", 30, 0.02, 1.0, 5, 60),
     "tfidf_terms": f"""
         select k as stock_code, term, tf, df, round(w, 9) as weight
         from (with {terms_cte("catalogue", "stock_code", "description")} select * from weights)""",

@@ -27,6 +27,9 @@ RUNNING_FIRST, RUNNING_LAST = "1996-03-01", "1997-02-15"
 BUNDLE_CONFIDENCE, BUNDLE_BASKETS = 0.05, 2
 
 
+BY_NAME = Recommend(min_confidence=0.02)
+
+
 # --- shared inputs, each built once per application and data folder -------------
 
 
@@ -125,9 +128,9 @@ def _secured(user: str, name: str) -> Query:
 
 
 def co_purchase_by_name(spark: SparkSession, sf: str) -> DataFrame:
-    """The default thresholds, on the few and busy part names."""
+    """The default support count, on the few and busy part names."""
     named = clean(spark, sf).select("invoice_no", "p_name")
-    return basket.co_purchase_rules(named, Recommend(), product="p_name")
+    return basket.co_purchase_rules(named, BY_NAME, product="p_name")
 
 
 def content_similar(spark: SparkSession, sf: str) -> DataFrame:

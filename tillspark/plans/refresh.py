@@ -23,7 +23,7 @@ from tillspark.operators.semantic import build_model
 from tillspark.operators.star import build_star
 from tillspark.settings import Settings
 from tillspark.sources.published import publish, read_published
-from tillspark.sources.staging import stage
+from tillspark.sources.staging import stage, stage_all, stage_counted
 from tillspark.sources.transactions import check_lines, read_lines
 from tillspark.sources.usage import METRIC_COLUMNS, check_events, read_usage
 
@@ -88,9 +88,11 @@ def refresh(lines: DataFrame, events: DataFrame, settings: Settings = Settings()
     enforce_gate(flagged, settings.quality)
     clean = clean_lines(flagged)
     star = build_star(clean)
-    star["dim_product"] = stage(star["dim_product"], "dim_product")
-    recs = stage(recommend(star["fact_sales"], star["dim_product"], settings.recommend), "recs")
-    adoption = {k: stage(v, k) for k, v in measure_adoption(events, settings.adoption).items()}
+    star["dim_product"], products = stage_counted(star["dim_product"], "dim_product")
+    recs = recommend(star["fact_sales"], star["dim_product"], settings.recommend, products)
+    staged = stage_all({"recommendations": recs, **measure_adoption(events, settings.adoption)})
+    recs = staged.pop("recommendations")
+    adoption = staged
     metrics = run_metrics(
         flagged, star["dim_product"], recs, adoption["adoption_headline"], settings
     )

@@ -11,7 +11,8 @@ import json
 import re
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 MANIFEST = "CURRENT.json"
 # Fixed value: what a run id may look like, as it becomes a folder name.
@@ -98,16 +99,11 @@ def publish(
     tables: dict[str, DataFrame],
     metrics: dict | None = None,
 ) -> dict:
-    """Write, verify and make visible; returns the new manifest.
-
-    Pass staged frames: each is written once and counted from its own files.
-    """
+    """Write, verify and make visible; returns the new manifest."""
     fs, path = _files(spark, root)
     before = read_manifest(spark, root)
     version = _new_version(fs, path, root, run_id)
-    for name, df in tables.items():
-        df.write.mode("errorifexists").parquet(f"{root}/runs/{version}/{name}")
-    rows = {name: df.count() for name, df in tables.items()}
+    rows = {name: _write_counted(df, f"{root}/runs/{version}/{name}") for name, df in tables.items()}
     verify_version(spark, root, version, rows)
     manifest = {
         "run_id": run_id,
@@ -120,6 +116,13 @@ def publish(
     return manifest
 
 
+def _write_counted(df: DataFrame, folder: str) -> int:
+    """Write a table and return how many rows passed on their way to it."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(folder)
+    return seen.get["rows"]
+
+
 def _replace(spark: SparkSession, fs, path, root: str, text: str) -> None:
     """Put the manifest in place with one rename over the old one."""
     fresh, current = path(f"{root}/{MANIFEST}.new"), path(f"{root}/{MANIFEST}")

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,16 @@ def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     return staged, seen.get["rows"]
 
 
+def stage_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Stage tables that do not depend on each other side by side."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        started = {
+            name: pool.submit(inheritable_thread_target(df.sparkSession)(stage), df, name)
+            for name, df in frames.items()
+        }
+        return {name: done.result() for name, done in started.items()}
+
+
 def _write(observed: DataFrame, df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     app = spark.sparkContext.applicationId
