@@ -50,16 +50,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their order, part, customer and country.
+def dealt(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose rows are dealt out by `key` if it has fewer files than there are cores.
 
-    Line items are dealt out by order, as joining them to a large order table
-    would do; a single small file is thereby read by more than one task.
+    A file of one row group is read by one task, which would then do all the
+    work on it. A table of many files needs no such shuffle and gets none.
     """
+    df = table(spark, sf_dir, name)
+    if len(df.inputFiles()) >= spark.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(key)
+
+
+def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their order, part, customer and country."""
     read = lambda name: table(spark, sf_dir, name)
     return (
-        read("lineitem")
-        .repartition("l_orderkey")
+        dealt(spark, sf_dir, "lineitem", "l_orderkey")
         .join(read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -127,7 +134,7 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events as usage: every third user's activity lies ten weeks back."""
-    return table(spark, sf_dir, "events").selectExpr(
+    return dealt(spark, sf_dir, "events", "event_id").selectExpr(
         "case when user_id % 3 = 0 then ts - interval 70 days else ts end as event_ts",
         "user_id",
         "concat('T', cast(user_id % 5 as string)) as team",

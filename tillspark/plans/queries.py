@@ -13,7 +13,7 @@ from tillspark.operators import recommend as recs
 from tillspark.operators import similarity
 from tillspark.operators.measures import Model
 from tillspark.plans import fixtures
-from tillspark.plans.fixtures import ADOPTION, RECOMMEND, SEMANTIC, once, table
+from tillspark.plans.fixtures import ADOPTION, RECOMMEND, SEMANTIC, once
 from tillspark.plans.refresh import input_fingerprints, refresh, run_metrics
 from tillspark.settings import Recommend, Settings
 from tillspark.sources.staging import stage
@@ -151,7 +151,7 @@ def tfidf_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 def tfidf_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Per term of all document texts: documents, uses and mean weight."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = fixtures.dealt(spark, sf, "documents", "doc_id").select("doc_id", "text")
     return (
         similarity.tfidf_terms(docs, "doc_id", "text")
         .groupBy("term")
