@@ -9,12 +9,17 @@ NTZ = "timestamp_ntz"
 
 
 def midnight(ts: Column) -> Column:
-    return F.date_trunc("day", ts).cast(NTZ)
+    """Midnight of the day, by way of the date: no time zone takes part."""
+    return F.to_date(ts).cast(NTZ)
 
 
 def week_start(ts: Column) -> Column:
     """Midnight of the Monday the timestamp's week began on."""
-    return F.date_trunc("week", ts).cast(NTZ)
+    return F.trunc(F.to_date(ts), "week").cast(NTZ)
+
+
+def year_start(ts: Column) -> Column:
+    return F.trunc(F.to_date(ts), "year").cast(NTZ)
 
 
 def days_between(first: Column, last: Column, step: str = "interval 1 day") -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillspark.functions.dates import NTZ, calendar, midnight, required
+from tillspark.functions.dates import NTZ, calendar, midnight, required, year_start
 from tillspark.functions.numbers import half_even
 from tillspark.functions.rows import literal_rows
 from tillspark.operators.lookup import BROADCAST_ROWS, lookup
@@ -40,8 +40,7 @@ def dim_date(fact: DataFrame, quarantine: DataFrame) -> DataFrame:
     traded = fact.select(F.col("date_key").alias("Date")).distinct()
     seen = traded.unionByName(quarantine.select(F.col("invoice_ts").alias("Date")))
     bounds = seen.agg(F.min("Date").alias("a"), F.max("Date").alias("b")).select(
-        F.date_trunc("year", required(F.col("a"), "no dates to build a calendar from"))
-        .cast(NTZ).alias("first"),
+        year_start(required(F.col("a"), "no dates to build a calendar from")).alias("first"),
         F.make_date(F.year("b"), F.lit(12), F.lit(31)).cast(NTZ).alias("last"),
     )
     day = F.col("Date")

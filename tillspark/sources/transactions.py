@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillspark.functions.dates import NTZ
+from tillspark.functions.dates import NTZ, midnight
 from tillspark.settings import Extract
 
 # Position of a line in the feed; any column or struct that orders lines will do.
@@ -85,8 +85,8 @@ def extract_profile(lines: DataFrame) -> DataFrame:
     return lines.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_distinct("invoice_no").alias("invoices"),
-        F.date_trunc("day", F.min("invoice_ts")).cast(NTZ).alias("first_day"),
-        F.date_trunc("day", F.max("invoice_ts")).cast(NTZ).alias("last_day"),
+        midnight(F.min("invoice_ts")).alias("first_day"),
+        midnight(F.max("invoice_ts")).alias("last_day"),
     )
 
 
