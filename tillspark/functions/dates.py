@@ -22,6 +22,25 @@ def year_start(ts: Column) -> Column:
     return F.trunc(F.to_date(ts), "year").cast(NTZ)
 
 
+def parsed(text: Column, pattern: str) -> Column:
+    """The wall-clock time a text spells, null if it spells none.
+
+    Read as if in UTC and counted from the epoch, so that an hour some session
+    time zone skips is not moved.
+    """
+    instant = F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(f"{pattern} Z"))
+    seconds = F.unix_micros(instant).cast("decimal(24,0)") / F.lit(1_000_000)
+    zero = F.lit(0)
+    epoch = F.lit("1970-01-01 00:00:00").cast(NTZ)
+    return epoch + F.make_dt_interval(zero, zero, zero, seconds.cast("decimal(18,6)"))
+
+
+def written(ts: Column) -> Column:
+    """`yyyy-MM-dd HH:mm:ss.ffffff`, always with six digits."""
+    text = ts.cast("string")
+    return F.rpad(F.when(text.contains("."), text).otherwise(F.concat(text, F.lit("."))), 26, "0")
+
+
 def days_between(first: Column, last: Column, step: str = "interval 1 day") -> Column:
     return F.sequence(first, last, F.expr(step))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillspark.functions.dates import written
+
 # Written in place of a null, so that a null and an empty text differ.
 NULL_MARK = "\\N"
 SEPARATOR = "|"
@@ -13,7 +15,7 @@ SEPARATOR = "|"
 def _text(df: DataFrame, name: str) -> Column:
     kind = dict(df.dtypes)[name]
     if kind.startswith("timestamp"):
-        value = F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        value = written(F.col(name))
     elif kind == "double":
         value = F.col(name).cast("decimal(18,4)").cast("string")
     else:

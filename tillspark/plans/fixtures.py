@@ -121,7 +121,8 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         """case when l_linenumber = 7 then 'many'
                 else cast(cast(l_quantity as int) as string) end as Quantity""",
         """case when l_orderkey % 101 = 0 then '13/45/2011 99:99'
-                else date_format(o_orderdate, 'M/d/yyyy H:mm') end as InvoiceDate""",
+                else concat(month(o_orderdate), '/', day(o_orderdate), '/', year(o_orderdate), ' ',
+                    hour(o_orderdate), ':', lpad(minute(o_orderdate), 2, '0')) end as InvoiceDate""",
         """case when l_partkey % 71 = 0 then 'free'
                 else concat(cast(l_partkey % 40 as string), '.25') end as UnitPrice""",
         """case when o_custkey % 4 = 0 then '' when o_custkey % 4 = 1 then concat(

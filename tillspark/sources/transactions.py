@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillspark.functions.dates import NTZ, midnight
+from tillspark.functions.dates import midnight, parsed
 from tillspark.settings import Extract
 
 # Position of a line in the feed; any column or struct that orders lines will do.
@@ -55,9 +55,7 @@ def type_lines(raw: DataFrame, settings: Extract = Extract()) -> DataFrame:
             "stock_code": F.upper(F.trim("stock_code")),
             "description": F.trim("description"),
             "quantity": F.trim("quantity").try_cast("double"),
-            "invoice_ts": F.try_to_timestamp(
-                F.trim("invoice_ts"), F.lit(settings.date_format)
-            ).cast(NTZ),
+            "invoice_ts": parsed(F.trim("invoice_ts"), settings.date_format),
             "unit_price": F.trim("unit_price").try_cast("double"),
             "customer_id": _whole_number(F.col("customer_id")),
         }
