@@ -207,6 +207,7 @@ def decontaminate(
     marked = mark(docs, benchmark, window)
     share = hit_words() / F.greatest("n_words", F.lit(1))
     marked = marked.where(share <= coverage_limit)
+    kept = docs.columns
 
     def cut(batches):
         for batch in batches:
@@ -218,7 +219,7 @@ def decontaminate(
                     texts[at] = _without(texts[at], edges)
             columns = dict(zip(names, batch.columns, strict=True))
             columns["text"] = pa.array(texts, batch.schema.field("text").type)
-            yield pa.RecordBatch.from_arrays([columns[n] for n in docs.columns], docs.columns)
+            yield pa.RecordBatch.from_arrays([columns[name] for name in kept], kept)
 
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema])
     return marked.mapInArrow(cut, schema)
