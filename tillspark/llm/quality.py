@@ -39,7 +39,7 @@ CUTOFF = 35.89
 MEDIAN = 4.351
 #: Spread that a statistic has at least: log words, log word length, symbols a word,
 #: share of repeated lines, share of repeated words.
-LEAST_SPREAD = (0.5, 0.15, 0.03, 0.05, 0.05)
+LEAST_SPREAD = (0.5, 0.15, 0.03, 0.1, 0.1)
 SMALL_CELLS = 20_000
 X = [f"x{i}" for i in range(len(LEAST_SPREAD))]
 
