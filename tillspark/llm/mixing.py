@@ -29,7 +29,7 @@ from tillspark.sources.staging import stage, stage_counted
 WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
 EPOCHS = 2
-SLICE_ROWS = 50_000
+SLICE_ROWS = 4_000
 EXACT = "decimal(38,0)"
 
 
@@ -90,7 +90,7 @@ def mix(
     taken: words of the row in the mix, repeats counted. The copy that crosses
     the budget is taken in part.
     """
-    sized, count = stage_counted(
+    rows, count = stage_counted(
         docs.select(
             *[F.col(name).alias(f"k_{name}") for name in keep],
             F.col("source"),
@@ -101,6 +101,8 @@ def mix(
         ),
         "mix-sizes",
     )
+    # What is kept of the rows stays out of the sorting and is joined to its outcome.
+    sized = rows.select("row", "source", "doc_id", "size", "draw")
     digits = 0
     while 16**digits * slice_rows < count:
         digits += 1
@@ -159,7 +161,8 @@ def mix(
     taken = queued.groupBy("row").agg(
         F.sum(F.greatest(F.lit(0), F.least(F.col("size"), left))).alias("taken")
     )
-    return placed.join(taken, "row", "left").select(
+    outcome = placed.select("row", "source_size", "target").join(taken, "row", "left")
+    return rows.join(outcome, "row").select(
         *[F.col(f"k_{name}").alias(name) for name in keep],
         "size",
         "source_size",
