@@ -23,8 +23,6 @@ NOON = datetime(2011, 3, 1, 12, 0)
 def spark():
     session = build_session("local[4]", 4, {"spark.driver.memory": "4g"})
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tillspark-tests-"))
     yield session
     session.stop()
 

@@ -3,9 +3,11 @@ from pathlib import Path
 
 import pytest
 from conftest import EVENT_SCHEMA, rows
+from pyspark.sql import functions as F
 
+from tillspark.functions.numbers import money_sum
 from tillspark.operators.fingerprint import fingerprint
-from tillspark.settings import Adoption, Settings
+from tillspark.settings import Adoption, Extract, Settings
 from tillspark.sources import transactions, usage
 
 HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
@@ -91,3 +93,59 @@ def test_settings_from_dict_refuse_what_they_do_not_know():
     assert made.quality == Settings().quality and made.adoption.roster == Adoption().roster
     with pytest.raises(ValueError, match="top_m"):
         Settings.from_dict({"recommend": {"top_m": 3}})
+
+
+def test_quoted_fields_and_line_breaks(spark, folder):
+    row = '1,A,"12"" PLATE, RED",2,12/1/2010 8:26,1.5,7,France\n'
+    found = transactions.read_lines(spark, write(folder, "q.csv", HEADER + row)).first()
+    assert (found["description"], found["quantity"]) == ('12" PLATE, RED', 2.0)
+    broken = '1,A,"RED\nPLATE",2,12/1/2010 8:26,1.5,7,France\n'
+    lines = transactions.read_lines(
+        spark, write(folder, "b.csv", HEADER + broken), Extract(multi_line=True)
+    )
+    assert rows(lines, "description", "country") == [("RED\nPLATE", "France")]
+
+
+def test_files_that_do_not_fit_the_first_are_refused(spark, folder):
+    good = HEADER + "1,A,RED,2,12/1/2010 8:26,1.5,7,France\n"
+    write(folder, "a.csv", good)
+    write(folder, "b.csv", HEADER.replace("Quantity,InvoiceDate,UnitPrice", "UnitPrice,Quantity,InvoiceDate")
+          + "1,A,RED,1.5,2,12/1/2010 8:26,7,France\n")
+    with pytest.raises(Exception, match=r"\.csv"):
+        transactions.read_lines(spark, folder).collect()
+    short = write(folder, "short.txt", HEADER + "1,A,RED,2\n")
+    with pytest.raises(Exception, match="short.txt"):
+        transactions.read_lines(spark, short).collect()
+
+
+@pytest.mark.parametrize("text", ["NAN", "nan", "Infinity", "-inf", "1d", "2f", "0x1p3", "1e999"])
+def test_only_finite_numbers_are_numbers(spark, text):
+    spelt = spark.createDataFrame([(text,), (" -1.5e2 ",)], "v string")
+    assert rows(spelt.select(transactions.number(F.col("v")).alias("n"))) == [(-150.0,), (None,)]
+
+
+def test_scores_teams_and_times_are_not_bent(spark, folder):
+    head = "event_ts,user_id,team,event_type,stock_code,feedback_score\n"
+    for row, message in (
+        ("2026-04-06 09:00:00,u1,Ops,feedback,,5.9\n", "outside 1-5: 5.9"),
+        ("2026-04-06 09:00:00,u1,NA,view,,\n", "no team"),
+        ("soon,u1,Ops,view,,\n", "1 event.*time"),
+    ):
+        read = usage.read_usage(spark, write(folder, "u.csv", head + row))
+        with pytest.raises(usage.UsageContractError, match=message):
+            usage.check_events(read)
+
+
+def test_fingerprints_keep_fields_and_digits_apart(spark):
+    make = lambda row: spark.createDataFrame([row], "a string, b string, c double")
+    digests = {
+        fingerprint(make(row), ["a", "b", "c"], "x").first()["digest"]
+        for row in (("x|y", "z", 1.00001), ("x", "y|z", 1.00002), ("x", "y|z", 1.00003),
+                    (None, "z", 1.0), ("\\N", "z", 1.0), ("-", "z", 1.0))
+    }
+    assert len(digests) == 6
+
+
+def test_money_totals_have_room(spark):
+    amounts = spark.range(20).select(F.lit(1e14).alias("v"))
+    assert amounts.select(money_sum(F.col("v"))).first()[0] == 2e15

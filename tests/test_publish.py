@@ -4,10 +4,13 @@ from pathlib import Path
 import pytest
 from conftest import line, lines_frame, rows
 
+from tillspark.operators.checks import IntegrityError
+from tillspark.operators.quality import QualityGateError
 from tillspark.plans.refresh import refresh_files, semantic_from_published
 from tillspark.settings import Adoption, Quality, Recommend, Settings
 from tillspark.sources import published
 from tillspark.sources.published import PublishError
+from tillspark.sources.staging import shared_folder
 
 
 def table(spark, *values):
@@ -98,3 +101,22 @@ def test_files_to_published_tables_to_semantic_star(spark, folder):
     assert offered["method"] == "content_tfidf" and offered["lift"] is None
     model = semantic_from_published(spark, root, settings)
     assert model["fact_sales"].count() == 81 and model["dim_product"].count() == 6
+    assert manifest["tables"]["quality_results"] == 9
+    assert set(manifest["tables"]) >= {"dim_customer", "dim_date", "quarantine", "fact_sales"}
+    # A failing gate leaves its results and the published version.
+    strict = Settings(quality=Quality(max_quarantine_rate=0.0), adoption=settings.adoption)
+    with pytest.raises(QualityGateError):
+        refresh_files(spark, str(lines), str(events), root, "r2", strict)
+    assert spark.read.parquet(f"{root}/failed/r2/quality_results").count() == 9
+    assert published.read_manifest(spark, root)["version"] == "r1"
+    # Staged tables of a run are gone when it ends.
+    staged = Path(shared_folder(spark).removeprefix("file:"), spark.sparkContext.applicationId)
+    assert not list(staged.glob("run-*"))
+    # A published table that holds a product twice breaks the star.
+    published.publish(spark, root, "r3", {
+        **{n: published.read_published(spark, root, n) for n in ("fact_sales", "dim_customer", "quarantine")},
+        "dim_product": published.read_published(spark, root, "dim_product").unionByName(
+            published.read_published(spark, root, "dim_product").limit(1)),
+    })
+    with pytest.raises(IntegrityError, match="dim_product"):
+        semantic_from_published(spark, root, settings)

@@ -132,6 +132,13 @@ def test_measures_by_hand(model):
     assert closed["revenue"] is None and closed["no_data_message"].startswith("No sales")
 
 
+def test_slicers_filter_facts_and_keep_the_calendar(model):
+    cut = measures.sliced(model, Year=[2011], Region=["2. Europe"])
+    assert rows(cut["fact_sales"], "InvoiceNo") == [("2",), ("3",)]
+    assert cut["dim_date"].count() == 730
+    assert measures.sales_by(cut).first()["revenue"] == 20.0
+
+
 def test_shares_add_up(model):
     cells = measures.revenue_share(model, "PriceBand").collect()
     assert sum(c["share_of_total"] for c in cells) == pytest.approx(1.0)
@@ -163,6 +170,10 @@ def test_users_see_their_countries_and_guests(model):
     assert rows(mine["dim_customer"], "CustomerID") == [("(guest)",), ("1",)]
     assert rows(mine["fact_quarantine"], "InvoiceNo") == [("C5",)]
     assert mine["security_user_country"].count() == 1
+    assert rows(mine["bridge_quarantine_rule"], "QuarantineKey") == [(1,), (1,)]
+    nobody = security.secure(model, "nobody@x")
+    assert nobody["bridge_quarantine_rule"].count() == 0
+    assert measures.quality_measures(nobody).first()["quarantine_rate"] is None
     everything = security.secure(model, "all@x")
     assert everything["fact_sales"].count() == 5 and everything["dim_country"].count() == 5
     assert everything["fact_quarantine"].count() == 3

@@ -26,14 +26,14 @@ def money_sum(value: Column) -> Column:
     """Sum of amounts kept to four places, the same in whatever order rows arrive.
 
     Adding doubles is order-dependent, and ranks and segments are decided on
-    these sums, so ten-thousandths are added as whole numbers. They hold totals
-    up to 9e14; beyond that the sum fails rather than wraps.
+    these sums, so ten-thousandths are added as whole numbers, in decimals that
+    no total overflows.
     """
     return in_units(F.sum(ten_thousandths(value)))
 
 
 def ten_thousandths(value: Column) -> Column:
-    return F.rint(value * F.lit(1e4)).cast("long")
+    return F.rint(value * F.lit(1e4)).cast("decimal(20,0)")
 
 
 def in_units(amount: Column) -> Column:

@@ -60,7 +60,7 @@ def usage_facts(events: DataFrame, settings: Adoption = Adoption()) -> DataFrame
             F.max(F.col("event_ts") >= start).alias("recent"),
             F.count_if(kind == "view").alias("views"),
             F.count_if(kind == "apply").alias("applies"),
-            F.sum(F.when(given, score.cast("long")).otherwise(F.lit(0))).alias("score_sum"),
+            F.sum(F.when(given, score).otherwise(F.lit(0))).alias("score_sum"),
             F.count_if(given).alias("scores"),
         ),
         "usage_facts",

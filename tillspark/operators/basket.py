@@ -35,16 +35,18 @@ def basket_stats(items: DataFrame) -> DataFrame:
 
 def pairable_items(
     items: DataFrame,
-    max_basket_size: int,
+    max_basket_size: int | None,
     broadcast_rows: int = BROADCAST_ROWS,
     rows: int | None = None,
 ) -> DataFrame:
-    """Items of baskets no larger than the limit; `rows` is their number, if known.
+    """Items of baskets no larger than the limit, if any; `rows` is their number, if known.
 
     A basket over the limit holds more than `max_basket_size` items, so such
     baskets are few next to items. Repeating their ids over BASKET_SPREAD keys
     lets the lines of a huge one be struck out by many tasks.
     """
+    if max_basket_size is None:
+        return items
     sizes = items.groupBy("invoice_no").agg(F.count(F.lit(1)).alias("size"))
     oversized = sizes.where(F.col("size") > max_basket_size).select("invoice_no")
     at_most = None if rows is None else rows // (max_basket_size + 1)
@@ -60,7 +62,7 @@ def pairable_items(
 
 def pair_counts(
     items: DataFrame,
-    max_basket_size: int,
+    max_basket_size: int | None,
     broadcast_rows: int = BROADCAST_ROWS,
     rows: int | None = None,
 ) -> DataFrame:

@@ -8,6 +8,8 @@ A measure without data is null, never zero.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -53,6 +55,27 @@ def in_context(model: Model, *columns: str, fact: str = "fact_sales") -> DataFra
     return joined
 
 
+def sliced(model: Model, **chosen: Sequence) -> Model:
+    """The model under slicers, e.g. `Year=[1996], Region=["2. Europe"]`.
+
+    Both facts are filtered through the dimensions that hold the columns; the
+    dimensions stay whole, so that calendars keep their closed days.
+    """
+    out = dict(model)
+    for name in ("fact_sales", "fact_quarantine"):
+        fact = model[name]
+        wide = in_context(model, *chosen, fact=name)
+        held = [c for c in chosen if c in wide.columns]
+        for column in held:
+            wide = wide.where(F.col(column).isin(*chosen[column]))
+        out[name] = stage(wide.select(*fact.columns), f"sliced_{name}")
+    rejected = out["fact_quarantine"].select("QuarantineKey")
+    out["bridge_quarantine_rule"] = model["bridge_quarantine_rule"].join(
+        rejected, "QuarantineKey", "left_semi"
+    )
+    return out
+
+
 def sales_measures(sales: DataFrame, *by: str) -> DataFrame:
     """Base measures and the rates on them, per group or in total."""
     base = sales.groupBy(*by).agg(

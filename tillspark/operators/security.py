@@ -16,7 +16,8 @@ def secure(model: Model, user: str) -> Model:
 
     Countries and customers are filtered, and both filters reach the sales:
     a line shows when its country is visible and its customer is, guests always
-    being so. The entitlement table shows a user their own rows only.
+    being so. Rejections follow their country, and the rule bridge shows the rows
+    of visible rejections. The entitlement table shows a user their own rows only.
     """
     mine = model["security_user_country"].where(F.col("UserEmail") == user)
     everything = mine.agg(F.count_if(F.col("Country") == ALL_COUNTRIES) > 0).scalar()
@@ -39,13 +40,19 @@ def secure(model: Model, user: str) -> Model:
     sales = of_country(model["fact_sales"], _ROW)
     known = customers.select("CustomerKey", F.lit(True).alias("_customer"))
     sales = lookup(sales, known, "CustomerKey", _ROW, measured_on=model["fact_sales"])
+    rejected = of_country(model["fact_quarantine"], ["QuarantineKey"]).select(
+        *model["fact_quarantine"].columns
+    )
+    rejected = stage(rejected, "visible_quarantine")
+    bridge = model["bridge_quarantine_rule"]
     return {
         **model,
+        "bridge_quarantine_rule": bridge.join(
+            rejected.select("QuarantineKey"), "QuarantineKey", "left_semi"
+        ),
         "dim_country": countries,
         "dim_customer": customers,
         "security_user_country": mine,
         "fact_sales": sales.where("_customer").select(*model["fact_sales"].columns),
-        "fact_quarantine": of_country(model["fact_quarantine"], ["QuarantineKey"]).select(
-            *model["fact_quarantine"].columns
-        ),
+        "fact_quarantine": rejected,
     }

@@ -21,7 +21,6 @@ from tillspark.operators.star import UNKNOWN_DESCRIPTION
 from tillspark.settings import Recommend
 from tillspark.sources.staging import stage, stage_counted
 
-MIN_CATALOGUE = 5
 # A term held by more bags than this is common: bags are not paired through it.
 COMMON_TERM = 256
 # Bags per side of one comparison block.
@@ -75,10 +74,10 @@ def tfidf_terms(docs: DataFrame, key: str, text: str) -> DataFrame:
     return term_weights(docs, key, terms(F.col(text)))
 
 
-def _catalogue(products: DataFrame) -> DataFrame:
+def _catalogue(products: DataFrame, least: int) -> DataFrame:
     """Usable descriptions as bags of terms; nothing when they are too few."""
     usable = products.where(F.col("description") != UNKNOWN_DESCRIPTION)
-    enough = usable.select(F.count(F.lit(1)).alias("n")).scalar() >= MIN_CATALOGUE
+    enough = usable.select(F.count(F.lit(1)).alias("n")).scalar() >= least
     bag = F.concat_ws("\u0001", F.array_sort(terms(F.col("description"))))
     return usable.where(enough).select("stock_code", bag.alias("bag"))
 
@@ -240,7 +239,7 @@ def content_similar(
     top_n = settings.top_n
     has_rule = covered.select("stock_code").distinct().withColumn("_ruled", F.lit(True))
     known = stage(
-        _catalogue(products)
+        _catalogue(products, settings.min_catalogue)
         .join(has_rule, "stock_code", "left")
         .select("stock_code", "bag", F.col("_ruled").isNull().alias("cold")),
         "catalogue",

@@ -54,10 +54,10 @@ def dealt(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     """A table whose rows are dealt out by `key` if it has fewer files than there are cores.
 
     A file of one row group is read by one task, which would then do all the
-    work on it. A table of many files needs no such shuffle and gets none.
+    work on it. A table read in many parts needs no such shuffle and gets none.
     """
     df = table(spark, sf_dir, name)
-    if len(df.inputFiles()) >= spark.sparkContext.defaultParallelism:
+    if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
         return df
     return df.repartition(key)
 

@@ -390,18 +390,26 @@ CTES: dict[str, str] = {
 MATERIALIZED = {"flagged"}
 
 
-def sql(body: str) -> str:
-    """`body` behind the CTEs it mentions, directly or through other CTEs."""
+def sql(body: str, narrowed: dict[str, str] | None = None) -> str:
+    """`body` behind the CTEs it mentions, directly or through other CTEs.
+
+    `narrowed` replaces CTEs by a part of themselves, the whole being `<name>_all`.
+    """
+    ctes: dict[str, str] = {}
+    for name, text in CTES.items():
+        ctes |= {f"{name}_all": text} if name in (narrowed or {}) else {name: text}
+        if name == "m_security":  # whatever narrows a fact is defined by now
+            ctes |= narrowed or {}
     words = lambda text: set(re.findall(r"\w+", text))
     needed: set[str] = set()
     todo = words(body)
     while todo:
-        found = {name for name in todo if name in CTES and name not in needed}
+        found = {name for name in todo if name in ctes and name not in needed}
         needed |= found
-        todo = set().union(*[words(CTES[name]) for name in found]) if found else set()
+        todo = set().union(*[words(ctes[name]) for name in found]) if found else set()
     chosen = [
         f"{name} as {'materialized ' if name in MATERIALIZED else ''}({text})"
-        for name, text in CTES.items()
+        for name, text in ctes.items()
         if name in needed
     ]
     return f"with {', '.join(chosen)} {body}" if chosen else body
@@ -468,9 +476,10 @@ def repeated(dim: str, label: str, key: str) -> str:
 
 
 def fingerprint_sql(source: str, name: str, fields: list[str]) -> str:
-    row = ", ".join(f"coalesce({f}, '\\N')" for f in fields)
+    row = " || ".join(f"coalesce(length({f}) || ':' || {f}, '-')" for f in fields)
+    half = lambda at: f"sum(('0x' || substr(md5({row}), {at}, 16))::ubigint)::varchar"
     return f"""select '{name}' as input, count(*) as rows,
-        sum(('0x' || substr(md5(concat_ws('|', {row})), 1, 8))::bigint)::bigint::varchar as digest
+        {half(1)} || ':' || {half(17)} as digest
         from {source}"""
 
 
@@ -515,7 +524,8 @@ BODIES: dict[str, str] = {
             select *, unnest(list_filter([
                 case when event_type = 'feedback' and (feedback_score < 1 or feedback_score > 5)
                     then 'score_off_scale' end,
-                case when team is null or trim(team) = '' then 'no_team' end],
+                case when team is null or trim(team) = '' then 'no_team' end,
+                case when event_ts is null then 'no_time' end],
                 lambda v: v is not null)) as violation
             from (select event_ts, user_id,
                     case when user_id % 7 = 0 then '  ' when user_id % 11 = 0 then null
@@ -524,8 +534,8 @@ BODIES: dict[str, str] = {
                 from usage))""",
     "input_fingerprint": fingerprint_sql(
         "lines", "lines",
-        ["invoice_no", "stock_code", "description", "cast(quantity as decimal(18,4))::varchar",
-         TS_TEXT.format("invoice_ts"), "cast(unit_price as decimal(18,4))::varchar",
+        ["invoice_no", "stock_code", "description", "quantity::varchar",
+         TS_TEXT.format("invoice_ts"), "unit_price::varchar",
          "customer_id::varchar", "country"],
     )
     + " union all "
@@ -603,7 +613,7 @@ BODIES: dict[str, str] = {
             from recs
             where method = 'co_purchase' and confidence >= 0.05::double and pair_baskets >= 2)
         where bundle_rank <= 3""",
-    "adoption_as_of": f"select {AS_OF} as as_of",
+    "adoption_as_of": "select max(event_ts) as as_of from usage",
     "effective_roster": "select team, licensed_users::bigint as licensed_users, position::bigint as position from roster",
     "adoption_headline": "select * from headline",
     "adoption_weekly": "select * from weekly",
@@ -791,3 +801,30 @@ CONTENT_SIMILAR = sql("select * from text_matches").replace(
 
 ORACLE: dict[str, str] = {name: sql(body) for name, body in BODIES.items()}
 ORACLE["content_similar"] = CONTENT_SIMILAR
+
+SLICED = {
+    "m_sales": """select s.* from m_sales_all s join m_date d using (Date)
+        join m_country c on c.CountryKey = s.CountryKey
+        join m_product p on p.ProductKey = s.ProductKey
+        where Year = 1996 and Region = '2. Europe'
+            and PriceBand in ('3. GBP 2.50 - 5', '5. GBP 10+')"""
+}
+for _name in ("rev_r3m", "rev_ytd_mtd", "rev_share", "product_rank", "top20_share"):
+    ORACLE[f"{_name}_sliced"] = sql(BODIES[_name], SLICED)
+
+
+def _seen_by(user: str) -> dict[str, str]:
+    """The facts and the rule bridge as a user sees them."""
+    facts = {name: secured(user, table) for name, table in
+             (("m_sales", "fact_sales"), ("m_quarantine", "fact_quarantine"))}
+    narrowed = {name: text.replace(f"from {name} ", f"from {name}_all ") for name, text in facts.items()}
+    narrowed["m_bridge"] = """select * from m_bridge_all
+        where QuarantineKey in (select QuarantineKey from m_quarantine)"""
+    return narrowed
+
+
+for _user in ("one", "all", "nobody"):
+    _seen = _seen_by(f"{_user}@example.com")
+    ORACLE[f"rls_quality_measures_{_user}"] = sql(BODIES["dq_measures"], _seen)
+    ORACLE[f"rls_quality_by_rule_{_user}"] = sql(BODIES["dq_measures_by_rule"], _seen)
+    ORACLE[f"rls_bridge_{_user}"] = sql(BODIES["sem_bridge"], _seen)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,6 +124,19 @@ def _semantic(name: str) -> Query:
     return lambda spark, sf: model(spark, sf)[name]
 
 
+SLICES = {"Year": [1996], "Region": ["2. Europe"], "PriceBand": ["3. GBP 2.50 - 5", "5. GBP 10+"]}
+
+
+def _sliced(name: str, *args) -> Query:
+    return lambda spark, sf: getattr(measures, name)(
+        once(spark, sf, "sliced", lambda: measures.sliced(model(spark, sf), **SLICES)), *args
+    )
+
+
+def _secured_measure(user: str, name: str) -> Query:
+    return lambda spark, sf: getattr(measures, name)(security.secure(model(spark, sf), user))
+
+
 def _secured(user: str, name: str) -> Query:
     return lambda spark, sf: security.secure(model(spark, sf), user)[name]
 
@@ -219,7 +233,9 @@ QUERIES: dict[str, Query] = {
         recommendations(s, d), BUNDLE_CONFIDENCE, BUNDLE_BASKETS
     ),
     # adoption
-    "adoption_as_of": _usage(usage_metrics.as_of_frame),
+    "adoption_as_of": lambda s, d: usage_metrics.as_of_frame(
+        fixtures.usage(s, d), replace(ADOPTION, analysis_as_of=None)
+    ),
     "effective_roster": _usage(usage_metrics.effective_roster),
     "adoption_headline": _usage(usage_metrics.adoption_headline),
     "adoption_weekly": _usage(usage_metrics.adoption_weekly),
@@ -273,7 +289,18 @@ QUERIES: dict[str, Query] = {
     "rls_countries": _secured("three@example.com", "dim_country"),
     "rls_quarantine": _secured("three@example.com", "fact_quarantine"),
     "rls_entitlements": _secured("three@example.com", "security_user_country"),
+    # slicers
+    "rev_r3m_sliced": _sliced("revenue_three_months"),
+    "rev_ytd_mtd_sliced": _sliced("revenue_to_date"),
+    "rev_share_sliced": _sliced("revenue_share", "CustomerSegment", "PriceBand"),
+    "product_rank_sliced": _sliced("product_rank"),
+    "top20_share_sliced": _sliced("top_share"),
     # runs
     "run_metrics": run_metrics_row,
     "full_refresh": full_refresh,
 }
+for _user in ("one", "all", "nobody"):
+    _mail = f"{_user}@example.com"
+    QUERIES[f"rls_quality_measures_{_user}"] = _secured_measure(_mail, "quality_measures")
+    QUERIES[f"rls_quality_by_rule_{_user}"] = _secured_measure(_mail, "quality_by_rule")
+    QUERIES[f"rls_bridge_{_user}"] = _secured(_mail, "bridge_quarantine_rule")

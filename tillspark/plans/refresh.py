@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
@@ -11,8 +12,10 @@ from pyspark.sql import functions as F
 
 from tillspark.functions.numbers import percent
 from tillspark.operators.adoption import measure_adoption
+from tillspark.operators.checks import IntegrityError, check_model
 from tillspark.operators.fingerprint import fingerprint
 from tillspark.operators.quality import (
+    QualityGateError,
     clean_lines,
     enforce_gate,
     flag_lines,
@@ -25,7 +28,7 @@ from tillspark.operators.semantic import build_model
 from tillspark.operators.star import build_star
 from tillspark.settings import Settings
 from tillspark.sources.published import publish, read_published
-from tillspark.sources.staging import stage, stage_all, stage_counted
+from tillspark.sources.staging import stage, stage_all, stage_counted, staging_area
 from tillspark.sources.transactions import check_lines, read_lines
 from tillspark.sources.usage import METRIC_COLUMNS, check_events, read_usage
 
@@ -84,29 +87,40 @@ def input_fingerprints(lines: DataFrame, events: DataFrame) -> DataFrame:
 def refresh(lines: DataFrame, events: DataFrame, settings: Settings = Settings()) -> Refresh:
     """Flag, gate, split, model, recommend and measure. Raises at the gate.
 
-    Each table that several steps read is staged once; so should `lines` be.
+    Every table and the rule results are computed and staged; so should `lines` be.
     """
-    with ThreadPoolExecutor(max_workers=1) as pool:
+    with ThreadPoolExecutor(max_workers=2) as pool:
         # Adoption reads nothing the lines lead to, so it is measured meanwhile.
         measured = pool.submit(
+            copy_context().run,
             inheritable_thread_target(lines.sparkSession)(
                 lambda: stage_all(measure_adoption(events, settings.adoption))
-            )
+            ),
         )
         flagged = stage(flag_lines(lines, settings.quality), "flagged")
         enforce_gate(flagged, settings.quality)
         star = build_star(clean_lines(flagged))
+        others = {name: star[name] for name in ("fact_sales", "dim_customer", "dim_date")}
+        others |= {
+            "quarantine": quarantined_lines(flagged), "quality_results": rule_results(flagged)
+        }
+        # What recommendations do not read is written beside them.
+        remaining = pool.submit(
+            copy_context().run, inheritable_thread_target(lines.sparkSession)(stage_all), others
+        )
         star["dim_product"], products = stage_counted(star["dim_product"], "dim_product")
         recs = stage(
             recommend(star["fact_sales"], star["dim_product"], settings.recommend, products),
             "recommendations",
         )
         adoption = measured.result()
+        rest = remaining.result()
+    star |= {name: rest[name] for name in ("fact_sales", "dim_customer", "dim_date")}
     metrics = run_metrics(
         flagged, star["dim_product"], recs, adoption["adoption_headline"], settings
     )
-    tables = {**star, "quarantine": quarantined_lines(flagged), "recommendations": recs, **adoption}
-    return Refresh(tables, rule_results(flagged), metrics)
+    tables = {**star, "quarantine": rest["quarantine"], "recommendations": recs, **adoption}
+    return Refresh(tables, rest["quality_results"], metrics)
 
 
 def refresh_files(
@@ -117,21 +131,45 @@ def refresh_files(
     run_id: str,
     settings: Settings = Settings(),
 ) -> dict:
-    """Refresh from the two CSV feeds and publish under `root`; returns the manifest."""
-    lines = stage(read_lines(spark, lines_csv, settings.extract), "lines")
-    check_lines(lines, settings.extract)
-    events = stage(read_usage(spark, usage_csv), "usage")
-    check_events(events, settings.adoption)
-    done = refresh(lines, events, settings)
-    inputs = {r["input"]: [r["rows"], r["digest"]] for r in input_fingerprints(lines, events).collect()}
-    metrics = {**done.metrics.first().asDict(), "inputs": inputs}
-    return publish(spark, root, run_id, done.tables, metrics)
+    """Refresh from the two CSV feeds and publish under `root`; returns the manifest.
+
+    The rule results are published with the tables. If the gate fails they are
+    written to `failed/<run_id>/quality_results`, and the version that is being
+    read stays.
+    """
+    with staging_area(spark):
+        lines = stage(read_lines(spark, lines_csv, settings.extract), "lines")
+        check_lines(lines, settings.extract)
+        events = stage(read_usage(spark, usage_csv), "usage")
+        check_events(events, settings.adoption)
+        try:
+            done = refresh(lines, events, settings)
+        except QualityGateError as failed:
+            failed.results.write.mode("overwrite").parquet(f"{root}/failed/{run_id}/quality_results")
+            raise
+        inputs = {
+            r["input"]: [r["rows"], r["digest"]]
+            for r in input_fingerprints(lines, events).collect()
+        }
+        metrics = {**done.metrics.first().asDict(), "inputs": inputs}
+        tables = {**done.tables, "quality_results": done.results}
+        return publish(spark, root, run_id, tables, metrics)
 
 
 def semantic_from_published(
     spark: SparkSession, root: str, settings: Settings = Settings()
 ) -> dict[str, DataFrame]:
-    """The semantic star over the version currently published under `root`."""
+    """The semantic star over the version currently published under `root`.
+
+    Raises, naming the tables, when keys are lost or doubled.
+    """
     names = ("fact_sales", "dim_product", "dim_customer", "quarantine")
     fact, product, customer, quarantine = (read_published(spark, root, n) for n in names)
-    return build_model(fact, product, customer, quarantine, settings.semantic)
+    for name, dim, key in (
+        ("dim_product", product, "stock_code"), ("dim_customer", customer, "customer_id"),
+    ):
+        if dim.groupBy(key).count().where("count > 1").limit(1).count():
+            raise IntegrityError(f"published {name} holds a {key} twice")
+    model = build_model(fact, product, customer, quarantine, settings.semantic)
+    check_model(model)
+    return model

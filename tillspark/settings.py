@@ -100,6 +100,8 @@ class Extract:
     column_map: dict[str, str] = field(default_factory=lambda: dict(COLUMN_MAP))
     date_format: str = DATE_FORMAT
     na_tokens: tuple[str, ...] = NA_TOKENS
+    # Fields may hold line breaks; each file is then read by one task.
+    multi_line: bool = False
 
 
 @dataclass(frozen=True)
@@ -116,7 +118,10 @@ class Recommend:
     min_confidence: float = 0.10
     min_lift: float = 1.0
     top_n: int = 5
-    max_basket_size: int = 60
+    # None pairs the items of baskets of any size.
+    max_basket_size: int | None = 60
+    # Fewer usable descriptions than this give no text matches.
+    min_catalogue: int = 5
 
 
 @dataclass(frozen=True)

@@ -9,13 +9,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Temporary folders of local sessions that name none, by application.
+_own: dict[str, str] = {}
+_area: ContextVar[str | None] = ContextVar("staging_area", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,9 +31,25 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tillspark-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = tempfile.mkdtemp(prefix="tillspark-")
+    return _own[app]
+
+
+@contextmanager
+def staging_area(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end; what is made of them must be written by then."""
+    folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/run-{uuid.uuid4().hex}"
+    before = _area.get()
+    token = _area.set(folder)
+    try:
+        yield
+    finally:
+        _area.reset(token)
+        if before is None:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -46,7 +68,9 @@ def stage_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Stage tables that do not depend on each other side by side."""
     with ThreadPoolExecutor(max_workers=4) as pool:
         started = {
-            name: pool.submit(inheritable_thread_target(df.sparkSession)(stage), df, name)
+            name: pool.submit(
+                copy_context().run, inheritable_thread_target(df.sparkSession)(stage), df, name
+            )
             for name, df in frames.items()
         }
         return {name: done.result() for name, done in started.items()}
@@ -55,6 +79,7 @@ def stage_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def _write(observed: DataFrame, df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     app = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/{app}/{name}-{uuid.uuid4().hex}"
+    folder = _area.get() or f"{shared_folder(spark)}/{app}"
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     observed.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

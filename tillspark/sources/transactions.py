@@ -11,6 +11,7 @@ from tillspark.settings import Extract
 
 # Position of a line in the feed; any column or struct that orders lines will do.
 SOURCE_POSITION = "src_pos"
+NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 class FeedContractError(ValueError):
@@ -21,10 +22,16 @@ def _or_null(value: Column, na_tokens: tuple[str, ...]) -> Column:
     return F.when(~value.isin(*na_tokens), value)
 
 
+def number(value: Column) -> Column:
+    """The finite number a text spells; `NaN`, `Infinity` and `1d` spell none."""
+    spelt = F.when(F.trim(value).rlike(NUMBER), F.trim(value).try_cast("double"))
+    return F.when(F.abs(spelt) < float("inf"), spelt)
+
+
 def _whole_number(value: Column) -> Column:
     """The integer a text spells, `17` or `17.0`; null for anything fractional."""
-    number = F.trim(value).try_cast("double")
-    return F.when(number == F.floor(number), number.try_cast("bigint"))
+    number_ = number(value)
+    return F.when(number_ == F.floor(number_), number_.try_cast("bigint"))
 
 
 def check_columns(raw: DataFrame, settings: Extract = Extract()) -> None:
@@ -54,19 +61,28 @@ def type_lines(raw: DataFrame, settings: Extract = Extract()) -> DataFrame:
         {
             "stock_code": F.upper(F.trim("stock_code")),
             "description": F.trim("description"),
-            "quantity": F.trim("quantity").try_cast("double"),
+            "quantity": number(F.col("quantity")),
             "invoice_ts": parsed(F.trim("invoice_ts"), settings.date_format),
-            "unit_price": F.trim("unit_price").try_cast("double"),
+            "unit_price": number(F.col("unit_price")),
             "customer_id": _whole_number(F.col("customer_id")),
         }
     )
 
 
 def read_lines(spark: SparkSession, path: str, settings: Extract = Extract()) -> DataFrame:
-    """Scan CSV files into canonical lines plus their position in the feed."""
-    columns = spark.read.option("header", True).csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    raw = spark.read.option("header", True).schema(schema).csv(path)
+    """Scan CSV files into canonical lines plus their position in the feed.
+
+    Quotes inside quoted fields are doubled. A file whose header differs from the
+    first one's, or a record with another number of fields, stops the scan with
+    an error that names the file. Line breaks inside fields need
+    `Extract.multi_line`, as such files cannot be split between tasks.
+    """
+    feed = spark.read.options(
+        header=True, quote='"', escape='"', multiLine=settings.multi_line,
+        enforceSchema=False, columnPruning=False, mode="FAILFAST",
+    )
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in feed.csv(path).columns])
+    raw = feed.schema(schema).csv(path)
     placed = raw.withColumn(
         SOURCE_POSITION,
         F.struct(

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillspark.functions.dates import NTZ
-from tillspark.settings import Adoption
+from tillspark.settings import NA_TOKENS, Adoption
+from tillspark.sources.transactions import number
 
 EVENT_SCHEMA = (
     "event_ts timestamp_ntz, user_id string, team string, event_type string, "
-    "stock_code string, feedback_score int"
+    "stock_code string, feedback_score double"
 )
 # Columns the adoption metrics read; stock_code is not one of them.
 METRIC_COLUMNS = ("event_ts", "user_id", "team", "event_type", "feedback_score")
@@ -23,11 +24,12 @@ class UsageContractError(ValueError):
 def read_usage(spark: SparkSession, path: str) -> DataFrame:
     """Scan the event CSV by header name."""
     names = ("event_ts", "user_id", "team", "event_type", "stock_code", "feedback_score")
-    raw = spark.read.option("header", True).csv(path)
-    return raw.select(*names).withColumns(
+    raw = spark.read.options(header=True, quote='"', escape='"').csv(path).select(*names)
+    said = raw.select(*[F.when(~F.col(c).isin(*NA_TOKENS), F.col(c)).alias(c) for c in names])
+    return said.withColumns(
         {
             "event_ts": F.col("event_ts").try_cast(NTZ),
-            "feedback_score": F.col("feedback_score").try_cast("double").try_cast("int"),
+            "feedback_score": number(F.col("feedback_score")),
         }
     )
 
@@ -40,7 +42,9 @@ def event_violations(events: DataFrame, settings: Adoption = Adoption()) -> Data
     no_team = F.col("team").isNull() | (F.trim("team") == "")
     broken = F.filter(
         F.array(
-            F.when(off_scale, F.lit("score_off_scale")), F.when(no_team, F.lit("no_team"))
+            F.when(off_scale, F.lit("score_off_scale")),
+            F.when(no_team, F.lit("no_team")),
+            F.when(F.col("event_ts").isNull(), F.lit("no_time")),
         ),
         lambda name: name.isNotNull(),
     )
@@ -48,7 +52,7 @@ def event_violations(events: DataFrame, settings: Adoption = Adoption()) -> Data
 
 
 def check_events(events: DataFrame, settings: Adoption = Adoption()) -> None:
-    """Raise on off-scale scores, listing five at most, or on events without a team."""
+    """Raise on off-scale scores, listing five at most, and on events without a team or time."""
     bad = event_violations(events, settings)
     counts = {r["violation"]: r["count"] for r in bad.groupBy("violation").count().collect()}
     low, high = settings.csat_scale
@@ -57,9 +61,11 @@ def check_events(events: DataFrame, settings: Adoption = Adoption()) -> None:
             bad.where(F.col("violation") == "score_off_scale")
             .select("feedback_score").distinct().orderBy("feedback_score").limit(5).collect()
         )
-        listed = ", ".join(str(r[0]) for r in scores)
+        listed = ", ".join(f"{r[0]:g}" for r in scores)
         raise UsageContractError(
             f"{counts['score_off_scale']} feedback score(s) outside {low}-{high}: {listed}"
         )
     if counts.get("no_team"):
         raise UsageContractError(f"{counts['no_team']} event(s) have no team")
+    if counts.get("no_time"):
+        raise UsageContractError(f"{counts['no_time']} event(s) have no readable time")
