@@ -33,6 +33,7 @@ WINDOW = 10
 BLOCK_WORDS = 500_000
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 COVERAGE_LIMIT = 0.5
+RESULTS = ("n_words", "hit_spans", "hit_items")
 
 
 class SuffixAutomaton:
@@ -141,14 +142,15 @@ def mark(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS
 ) -> DataFrame:
     """All rows and columns of `docs`, and n_words, hit_spans (first word and end of each run,
-    in turn), hit_items (ids as strings)."""
+    in turn), hit_items (ids as strings), which replace columns of those names."""
     spark = docs.sparkSession
+    docs = docs.drop(*RESULTS)
     sized = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
     total = sized.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // (4 * block_words)))  # a word and its gap take 4 characters or more
+    blocks = max(1, -(-total // (2 * block_words)))  # a word and its gap take 2 characters or more
     marked = docs.select(
         "*",
         F.lit(0).cast("long").alias("n_words"),
@@ -203,7 +205,9 @@ def decontaminate(
     coverage_limit: float = COVERAGE_LIMIT,
 ) -> DataFrame:
     """`docs` without their runs of hit words, each `window` words or a whole item at least, and
-    without documents of which more than `coverage_limit` is hit. Clean texts stay as they are."""
+    without documents of which more than `coverage_limit` is hit. Clean texts stay as they are.
+    Columns named like those of `mark` go."""
+    docs = docs.drop(*RESULTS)
     marked = mark(docs, benchmark, window)
     share = hit_words() / F.greatest("n_words", F.lit(1))
     marked = marked.where(share <= coverage_limit)
