@@ -167,6 +167,24 @@ def test_line_templates(spark, edges, table):
         assert sum(r["n_dropped"] for r in found) == 29
 
 
+def test_large_leaves_are_split_by_further_words(spark):
+    # 4 leading words in common, 60 different ends: a leaf limit of 5 leaves no line unsplit.
+    ends = ["ab", "cd", "ef", "gh", "ij", "kl"]
+    lines = [f"served by the same {a} {b} {c} node" for a in ends for b in ends for c in ends[:2]]
+    docs = [(i, f"{lines[i % len(lines)]}\nown{'x' * i} line here") for i in range(3 * len(lines))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for limit, least in ((4_000, 10), (5, 3), (1, 3), (1, 4)):
+        found = templates.drop_templates(frame, leaf_lines=limit, least_docs=least).collect()
+        gone = sum(r["n_dropped"] for r in found)
+        if limit == 1:  # every line by itself, in three documents
+            assert gone == (2 * len(lines) if least == 3 else 0)
+        elif limit == 4_000:
+            expected = plain.dropped_lines(docs, least_docs=least)
+            assert gone == sum(map(len, expected.values()))
+        else:
+            assert gone >= 2 * len(lines)
+
+
 def test_operators_leave_clashing_columns(spark, edges):
     docs = spark.read.parquet(f"{edges}/documents.parquet")
     benchmark = spark.read.parquet(f"{edges}/benchmark.parquet")
