@@ -10,9 +10,9 @@ Every task folds its pages into one wrapper per host; partial wrappers are merge
 per (host, salt), then per host, so a host with a third of all pages is never
 gathered. Slots are judged on the finished wrapper: parts that are named or
 marked as menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles or comments go; if the host has an article or main part, all else goes;
-otherwise parts that are mostly links over all pages go. Pages are then read
-again with the judged wrapper. Wrappers are sent to all tasks only if their
+styles or comments go; on pages with an article or main part all else goes, on
+others parts that are mostly links over all pages of the host go. Pages are then
+read again with the judged wrapper. Wrappers are sent to all tasks only if their
 total size allows, else joined by host.
 
 A null html gives an empty text, also for pages without a host (null or odd urls
@@ -176,20 +176,21 @@ def _merged(one: list, other: list, same_page: bool = False) -> list:
     return one
 
 
-def judged(wrapper: list) -> dict:
-    """Which slots are the article: nested {signature: (taken, parts)}."""
-    has_main = _holds(wrapper, lambda p: _kind(p[0]) == "main")
+def judged(wrapper: list) -> list:
+    """Which slots are the article: nested [taken, {signature: parts}], first for pages with a
+    main part, if the host has any, last for other pages."""
 
-    def walk(part: list, inside: bool) -> list:
+    def walk(part: list, inside: bool, has_main: bool) -> list:
         kind = _kind(part[0])
         if kind == "apart" or (kind == "header" and not inside):
             return [False, {}]
         inside = inside or kind == "main"
         links = part[5] > LINK_SHARE * part[4]
         taken = inside if has_main else not links
-        return [taken, {p[0]: walk(p, inside) for p in part[6]}]
+        return [taken, {p[0]: walk(p, inside, has_main) for p in part[6]}]
 
-    return walk(wrapper, False)
+    main = _holds(wrapper, lambda p: _kind(p[0]) == "main")
+    return [walk(wrapper, False, has_main) for has_main in ([True, False] if main else [False])]
 
 
 def _holds(part: list, test) -> bool:
@@ -207,10 +208,13 @@ def _kind(sign: str) -> str:
     return "header" if tag == "header" else ""
 
 
-def extracted(page: str, verdict: list) -> str:
-    blocks: list[list[str]] = [[]]
+def extracted(page: str, verdicts: list) -> str:
+    """The text of a page by the first of `verdicts` that takes any part of it."""
+    root = parsed(page)
+    blocks: list[list[str]] = []
 
-    def walk(node: Node, taken: bool, parts: dict) -> None:
+    def walk(node: Node, taken: bool, parts: dict) -> bool:
+        met = taken
         for kid in node.kids:
             if kid is None:
                 blocks.append([])
@@ -218,13 +222,17 @@ def extracted(page: str, verdict: list) -> str:
                 if taken:
                     blocks[-1].append(kid)
             elif kid.tag in INLINE:
-                walk(kid, taken, parts)
+                met |= walk(kid, taken, parts)
             else:
                 blocks.append([])
-                walk(kid, *parts.get(kid.sign, (False, {})))
+                met |= walk(kid, *parts.get(kid.sign, (False, {})))
                 blocks.append([])
+        return met
 
-    walk(parsed(page), *verdict)
+    for verdict in verdicts:
+        blocks[:] = [[]]
+        if walk(root, *verdict):
+            break
     texts = (" ".join(html.unescape("".join(block)).split()) for block in blocks)
     return " ".join(text for text in texts if text)
 
