@@ -4,7 +4,8 @@ Patterns find assignments, access keys and hex runs; these spans always stay. A
 further pattern finds bare tokens of mixed characters. The value of every find
 is hashed, and the distinct repositories and owners holding a hash are counted
 over all documents, first per (hash, repository, owner), so that an example
-copied through the whole corpus is one row per task when it is shuffled. A bare
+copied through the whole corpus is one row per task when it is shuffled; its
+counts come back to its finds by a lookup that gathers no hash in a task. A bare
 token outside all pattern spans is added as a `live` span when its value belongs
 to at most `max_owners` owners and does not read like a placeholder; values with
 more owners are widely copied examples.
@@ -23,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillspark.operators.lookup import lookup
 from tillspark.sources.staging import stage
 
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -118,7 +120,8 @@ def scan(
     spread = owners.groupBy("hash").agg(
         F.count("*").alias("n_owners"), F.sum("repositories").alias("n_repositories")
     )
-    counted = finds.join(spread, "hash").where(base | (F.col("n_owners") <= max_owners))
+    counted = lookup(finds, spread, "hash", ["row", "start"])
+    counted = counted.where(base | (F.col("n_owners") <= max_owners))
     span = F.struct("start", "kind", "stop", "value", "n_owners", "n_repositories")
     spans = counted.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"))
     return rows.select("row", "doc_id").join(spans, "row", "left").drop("row")
