@@ -8,7 +8,8 @@ time, and the mix is the front of that order, cut at the word budget.
 A source is never ordered in one task: its shuffled order is cut into slices by
 the leading hex digits of the shuffling key, and the global order into slices
 by finish time. Word sums per slice give each slice its starting total, so a
-task only sorts one slice. The number of slices follows from the row count.
+task only sorts one slice. The number of slices follows from the row count. The
+slices themselves are summed in parts, about as many as a part has slices.
 The table of sources, one row each, is ordered in one task.
 
 Null and empty texts have size 0 and are taken 0 times; a null source is a
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillspark.llm.text import words
@@ -111,12 +112,8 @@ def mix(
 
     sized = sized.withColumn("slice", F.substring("draw", 1, digits) if digits else F.lit(""))
     sums = sized.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
-    earlier = Window.partitionBy("source").orderBy("slice").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    starts = sums.select(
-        "source", "slice", F.coalesce(F.sum("slice_size").over(earlier), F.lit(0)).alias("start")
-    )
+    part = F.substring("slice", 1, digits // 2)
+    starts = _begun(sums, ["source"], "slice", part, "slice_size", "start")
     in_slice = (
         Window.partitionBy("source", "slice")
         .orderBy("draw", "doc_id", "size", "row")
@@ -141,10 +138,8 @@ def mix(
         "mix-copies",
     )
     bands = copies.groupBy("band").agg(F.sum("size").alias("band_size"))
-    lower = Window.orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
-    bands = bands.select(
-        "band", F.coalesce(F.sum("band_size").over(lower), F.lit(0)).alias("begun")
-    )
+    part = F.floor(F.col("band") / 16 ** (digits - digits // 2))
+    bands = _begun(bands, [], "band", part, "band_size", "begun")
     in_band = (
         Window.partitionBy("band")
         .orderBy("finish", F.col("source").asc_nulls_last(), "epoch", "draw", "doc_id", "row")
@@ -171,6 +166,28 @@ def mix(
     )
 
 
+def _begun(
+    sums: DataFrame, group: list[str], at: str, part: Column, amount: str, out: str
+) -> DataFrame:
+    """`group`, `at` and `out`: the sum of `amount` over the rows of a group before each.
+
+    `part` ascends with `at`. Parts are summed first, so that a task orders the
+    parts of a group or the rows of one part.
+    """
+    sums = sums.withColumn("part", part)
+    parts = sums.groupBy(*group, "part").agg(F.sum(amount).alias("whole"))
+
+    def before(name: str, keys: list[str], order: str) -> Column:
+        earlier = Window.partitionBy(*keys).orderBy(order)
+        total = F.sum(name).over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+        return F.coalesce(total, F.lit(0))
+
+    parts = parts.select(*group, "part", before("whole", group, "part").alias("earlier"))
+    inside = sums.withColumn("inside", before(amount, [*group, "part"], at))
+    begun = (F.col("earlier") + F.col("inside")).alias(out)
+    return _joined(inside, parts, *group, "part").select(*group, at, begun)
+
+
 def _joined(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
     """Inner join in which null keys meet."""
     right = right.select(*[F.col(k).alias(f"r_{k}") for k in keys],
