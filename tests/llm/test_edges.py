@@ -10,7 +10,7 @@ import plain
 import pytest
 
 import corpus_pipeline
-from tillspark.llm import decontamination, quality, simhash, templates
+from tillspark.llm import decontamination, mixing, quality, simhash, templates, wrappers
 from tillspark.llm.oracle import MIXING, ORACLE
 from tillspark.llm.queries import QUERIES
 
@@ -125,6 +125,32 @@ def test_article_of_odd_pages(spark, edges):
     assert found[6] == " ".join(["long text"] * 5_000)
 
 
+def test_pages_without_the_article_part_of_their_host(spark):
+    pages = [
+        (1, "http://a.example/1", "<nav>menu</nav><article><p>one</p></article><footer>f</footer>"),
+        (2, "http://a.example/2", "<nav>menu</nav><div><p>two</p></div><footer>f</footer>"),
+        (3, "http://a.example/3", "<nav>menu</nav><article></article><div>by the way</div>"),
+    ]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in wrappers.extract(frame).collect()}
+    assert found == {1: "one", 2: "two", 3: ""}
+
+
+def test_mix_does_not_depend_on_its_slices(spark, edges):
+    docs = spark.read.parquet(f"{edges}/documents.parquet")
+    whole, sliced = (
+        bag(mixing.mix(docs, slice_rows=rows).collect()) for rows in (docs.count(), 2)
+    )
+    assert whole == sliced
+
+
+def test_templates_with_tables_too_large_to_send(spark, edges, monkeypatch):
+    docs = spark.read.parquet(f"{edges}/documents.parquet").select("doc_id", "text")
+    sent = bag(templates.drop_templates(docs).collect())
+    monkeypatch.setattr(templates, "SENT_ROWS", 0)
+    assert bag(templates.drop_templates(docs).collect()) == sent
+
+
 def test_components_at_the_edges(spark, edges):
     docs, _ = edge_documents()
     found = QUERIES["op4_simhash"](spark, edges).collect()
