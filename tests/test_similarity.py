@@ -91,7 +91,7 @@ def test_single_use_words_serve_when_nothing_else_does(spark):
     [(2, 256, 512, 200_000), (3, 3, 512, 200_000), (4, 2, 7, 200_000), (5, 0, 5, 200_000), (6, 4, 9, 0)],
 )
 def test_neighbours_match_brute_force(spark, seed, common_term, block, broadcast_rows):
-    """Through rare terms alone, through blocks alone, and through both together."""
+    """Through rare terms alone, through common terms alone, and through both together."""
     catalogue = catalogue_of(seed, 90, 25)
     covered = [k for i, k in enumerate(catalogue) if i % 4 == 0]
     products, ruled = frames(spark, catalogue, covered)

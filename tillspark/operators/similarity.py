@@ -2,15 +2,14 @@
 
 Neighbours are found between distinct bags of terms, not between products, so a
 description shared by many products is compared once. Bags meet through their
-rare terms. Where a bag's common terms alone could still hide a better match,
-that bag is compared with all others block by block, each task keeping only the
-best few. No group of bags sharing a common term is ever paired off.
+rare terms. Where a bag's common terms alone could still hide a better match, it
+looks under them, from the rarest on, at the bags that a bound on the score does
+not rule out. Vectors travel with candidates only, and no group of bags sharing
+a common term is paired off as a whole.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -23,8 +22,12 @@ from tillspark.sources.staging import stage, stage_counted
 
 # A term held by more bags than this is common: bags are not paired through it.
 COMMON_TERM = 256
-# Bags per side of one comparison block.
+# Bags of one step of a common term that a task looks at together.
 BLOCK = 512
+# Steps in which the length that is left of a vector halves.
+STEPS = 4
+# A vector counts as so many narrow rows where a table is sent.
+WIDE = 16
 # Similarities equal to this many places count as tied.
 PLACES = 9
 
@@ -82,6 +85,17 @@ def _catalogue(products: DataFrame, least: int) -> DataFrame:
     return usable.where(enough).select("stock_code", bag.alias("bag"))
 
 
+def _shared(mine: str, theirs: str) -> Column:
+    """Inner product of two maps of weights; null if either is missing."""
+    other = F.col(theirs)
+    return F.aggregate(
+        F.map_entries(mine),
+        F.lit(0.0),
+        lambda total, e: total
+        + e["value"] * F.coalesce(F.try_element_at(other, e["key"]), F.lit(0.0)),
+    )
+
+
 def _top(pairs: DataFrame, top_n: int) -> DataFrame:
     best = W.partitionBy("bag").orderBy(F.col("cosine").desc(), "other_first")
     return (
@@ -123,104 +137,112 @@ def _through_rare_terms(
         for end in ("bag", "other"):
             tail = tails.toDF(end, f"_{end}_tail")
             both = lookup(
-                both, tail, end, ["bag", "other"], broadcast_rows, at_most=rows, measured_on=met
-            )
-        theirs = F.col("_other_tail")
-        shared = F.aggregate(
-            F.map_entries("_bag_tail"),
-            F.lit(0.0),
-            lambda total, e: total
-            + e["value"] * F.coalesce(F.try_element_at(theirs, e["key"]), F.lit(0.0)),
-        )
-        cosine = cosine + F.coalesce(shared, F.lit(0.0))
+                both, tail, end, ["bag", "other"], broadcast_rows // WIDE, at_most=rows,
+                measured_on=met,
+            )
+        cosine = cosine + F.coalesce(_shared("_bag_tail", "_other_tail"), F.lit(0.0))
     return both.select("bag", "other", "other_first", _rounded(cosine).alias("cosine"))
 
 
-def _unsettled(
-    weights: DataFrame, bags: DataFrame, best: DataFrame, top_n: int, common_term: int
-) -> DataFrame:
-    """Wanted bags whose common terms could lift an unmet bag into the best `top_n`.
+def _postings(weights: DataFrame, common_term: int) -> DataFrame:
+    """(bag, term, rest, at, slot) of every common term of a bag.
 
-    A bag that shares only common terms scores at most the length of this bag's
-    common part, so a bag is settled once its `top_n`-th match exceeds that.
+    Terms stand in one order, rarest first: `at` is the place in the bag, `rest`
+    the length of the bag's common part from that term on. `slot` is the term
+    with the step of `rest` (STEPS steps halve it).
     """
-    reach = (
-        weights.where(F.col("holders") > common_term)
-        .groupBy("bag")
-        .agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("reach"))
-    )
-    last = best.where(F.col("_at") == top_n).select("bag", F.col("cosine").alias("last"))
-    return (
-        bags.where("wanted")
-        .join(reach, "bag")
-        .join(last, "bag", "left")
-        .where(F.coalesce("last", F.lit(0.0)) <= F.col("reach") + 2 * 10.0**-PLACES)
-        .select("bag")
+    rare_first = W.partitionBy("bag").orderBy("holders", "term")
+    onward = rare_first.rowsBetween(W.currentRow, W.unboundedFollowing)
+    square = F.col("weight") * F.col("weight")
+    common = weights.where(F.col("holders") > common_term).select(
+        "bag",
+        "term",
+        F.sqrt(F.sum(square).over(onward)).alias("rest"),
+        F.row_number().over(rare_first).alias("at"),
     )
+    step = F.floor(-F.log2("rest") * STEPS).cast("int")
+    return common.withColumn("slot", F.struct("term", step.alias("step")))
 
 
-def _block_best(top_n: int):
-    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        index: dict[str, int] = {}
-        for held in left["terms"]:
-            for term in held:
-                index.setdefault(term, len(index))
-
-        def matrix(side: pd.DataFrame) -> np.ndarray:
-            dense = np.zeros((len(side), max(len(index), 1)))
-            for row, (held, weights) in enumerate(zip(side["terms"], side["weights"])):
-                for term, weight in zip(held, weights):
-                    at = index.get(term)
-                    if at is not None:
-                        dense[row, at] = weight
-            return dense
-
-        scores = np.round(matrix(left) @ matrix(right).T, PLACES)
-        others = right["bag"].to_numpy()
-        firsts = right["first_stock"].to_numpy()
-        out = []
-        for bag, row in zip(left["bag"], scores):
-            near = np.flatnonzero((row > 0) & (others != bag))
-            if len(near) > top_n:
-                cut = np.partition(row[near], -top_n)[-top_n]
-                near = near[row[near] >= cut]
-            ranked = sorted(near, key=lambda j: (-row[j], firsts[j]))[:top_n]
-            out += [(bag, others[j], firsts[j], float(row[j])) for j in ranked]
-        return pd.DataFrame(out, columns=["bag", "other", "other_first", "cosine"])
-
-    return compare
-
-
-def _through_blocks(
-    weights: DataFrame, bags: DataFrame, sources: DataFrame, top_n: int, block: int
-) -> DataFrame:
-    """The best bags for every source among all bags, from blockwise comparison."""
-    vectors = stage(
+def _through_common_terms(
+    weights: DataFrame, bags: DataFrame, best: DataFrame, top_n: int, common_term: int,
+    rows: int, block: int, broadcast_rows: int,
+) -> DataFrame:
+    """`best` with the bags that only common terms lead to.
+
+    Two bags whose rarest shared term is x score at most the product of their
+    `rest` at x. So a bag looks, term by term, only at the steps of a term's
+    bags that could still reach its `top_n`-th score: first under its rarest
+    common term, then, with the scores found there, under the others. The bags
+    of a step are dealt over parts of about `block`.
+    """
+    postings = stage(_postings(weights, common_term), "postings")
+    sizes = postings.groupBy("slot").agg(
+        F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts")
+    )
+    sizes, slots = stage_counted(sizes, "slots")
+    part = F.pmod(F.xxhash64("bag"), F.col("parts")).cast("int")
+    held = lookup(postings, sizes, "slot", ["bag"], broadcast_rows, at_most=slots)
+    held = held.select("slot", part.alias("part"), F.col("bag").alias("other"), F.col("rest").alias("_rest"))
+    # A term has a row per step of `rest`, whatever the number of its bags.
+    steps = sizes.groupBy("slot.term").agg(
+        F.collect_list(F.struct("slot", "parts")).alias("steps")
+    )
+    vectors, _ = stage_counted(
         weights.groupBy("bag")
-        .agg(F.collect_list(F.struct("term", "weight")).alias("v"))
-        .join(bags.select("bag", "first_stock"), "bag")
-        .select("bag", "first_stock", F.col("v.term").alias("terms"), F.col("v.weight").alias("weights")),
+        .agg(F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("v"))
+        .join(bags.select("bag", "first_stock"), "bag"),
         "vectors",
-    )
-    left_blocks = -(-sources.count() // block)
-    right_blocks = -(-vectors.count() // block)
-    deal = lambda n: F.pmod(F.xxhash64("bag"), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = (
-        vectors.join(sources, "bag", "left_semi")
-        .withColumn("_l", deal(left_blocks))
-        .withColumn("_r", every(right_blocks))
     )
-    # Renamed to themselves, so that the two sides share no column identity.
-    others = vectors.toDF("bag", "first_stock", "terms", "weights")
-    right = others.withColumn("_r", deal(right_blocks)).withColumn("_l", every(left_blocks))
-    return (
-        left.groupBy("_l", "_r")
-        .cogroup(right.groupBy("_l", "_r"))
-        .applyInPandas(
-            _block_best(top_n), "bag string, other string, other_first string, cosine double"
+    wanted = bags.where("wanted").select("bag")
+    slack = 2 * 10.0**-PLACES
+    for places in ("at = 1", "at > 1"):
+        last = best.where(F.col("_at") == top_n).select("bag", F.col("cosine").alias("last"))
+        seeking = (
+            postings.where(places)
+            .select("bag", "term", "rest")
+            .join(wanted, "bag", "left_semi")
+            .join(last, "bag", "left")
+            .withColumn("least", F.coalesce("last", F.lit(0.0)) - slack)
+            .where("rest >= least")
         )
-    )
+        seeking, left_open = stage_counted(seeking, "seeking")
+        if not left_open:
+            continue
+        reach = lambda x: F.pow(F.lit(2.0), -x["slot"]["step"] / STEPS)
+        asked = lookup(seeking, steps, "term", ["bag"], broadcast_rows, at_most=slots)
+        asked = asked.select(
+            "bag", "rest", "least",
+            F.inline(F.filter("steps", lambda x: F.col("rest") * reach(x) >= F.col("least"))),
+        )
+        asked = asked.select(
+            "bag", "rest", "least", "slot",
+            F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        )
+        pairs = (
+            asked.join(held, ["slot", "part"])
+            .where((F.col("bag") != F.col("other")) & (F.col("rest") * F.col("_rest") >= F.col("least")))
+            .select("bag", "other")
+            .distinct()
+        )
+        pairs = stage(pairs, "candidates")
+        both = pairs
+        for end in ("bag", "other"):
+            side = vectors.select(
+                F.col("bag").alias(end), F.col("v").alias(f"_{end}"),
+                F.col("first_stock").alias(f"{end}_first"),
+            )
+            both = lookup(
+                both, side, end, ["bag", "other"], broadcast_rows // WIDE, measured_on=pairs,
+                at_most=rows,
+            )
+        found = both.select(
+            "bag", "other", "other_first", _rounded(_shared("_bag", "_other")).alias("cosine")
+        )
+        scored = best.select(found.columns).unionByName(found).where(F.col("cosine") > 0)
+        scored = scored.groupBy("bag", "other", "other_first").agg(F.max("cosine").alias("cosine"))
+        best = stage(_top(scored, top_n), "best")
+    return best
 
 
 def content_similar(
@@ -265,13 +287,9 @@ def content_similar(
     met = _through_rare_terms(weights, bags, common_term, any_common, rows, broadcast_rows)
     best = _top(met.where(F.col("cosine") > 0), top_n)
     if any_common:
-        best = stage(best, "best")
-        open_bags, left_open = stage_counted(
-            _unsettled(weights, bags, best, top_n, common_term), "open"
+        best = _through_common_terms(
+            weights, bags, stage(best, "best"), top_n, common_term, rows, block, broadcast_rows
         )
-        if left_open:
-            compared = _top(_through_blocks(weights, bags, open_bags, top_n, block), top_n)
-            best = best.join(open_bags, "bag", "left_anti").unionByName(compared)
 
     # A bag's own products match it fully, if any of its terms carries weight.
     own = weights.select("bag").distinct().join(bags.where("wanted").select("bag"), "bag", "left_semi")
