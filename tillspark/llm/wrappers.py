@@ -10,7 +10,8 @@ Every task folds its pages into one wrapper per host; partial wrappers are merge
 per (host, salt), then per host, so a host with a third of all pages is never
 gathered. Slots are judged on the finished wrapper: parts that are named or
 marked as menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles or comments go; on pages with an article or main part all else goes, on
+styles or comments go, but an article or main element goes only if it lies in another
+main part and all its names are such marks; on pages with an article or main part all else goes, on
 others parts that are mostly links over all pages of the host go. Pages are then
 read again with the judged wrapper. Wrappers are sent to all tasks only if their
 total size allows, else joined by host.
@@ -66,6 +67,11 @@ MARKED = re.compile(
     r"skip|hidden)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+# Names that say whether a page has such a part ('no-sidebar', 'comments-open') mark no part.
+STATE = re.compile(
+    r"(?:no|has|have|with|without|not)[_-].*|.*[_-](?:open|opened|closed|enabled|disabled|on|off)",
+    re.IGNORECASE,
+)
 MAIN = frozenset(("article", "main"))
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|noscript|template|iframe)\b"
@@ -182,6 +188,8 @@ def judged(wrapper: list) -> list:
 
     def walk(part: list, inside: bool, has_main: bool) -> list:
         kind = _kind(part[0])
+        if inside and _named_apart(part[0]):
+            kind = "apart"
         if kind == "apart" or (kind == "header" and not inside):
             return [False, {}]
         inside = inside or kind == "main"
@@ -201,13 +209,28 @@ def _holds(part: list, test) -> bool:
 
 def _kind(sign: str) -> str:
     tag, _, marks = sign.partition(" ")
-    if tag in APART or (marks and tag not in ("html", "body") and MARKED.search(marks)):
+    if tag in APART:
+        return "apart"
+    if tag in MAIN:
+        return "main"
+    names = marks.split()
+    if tag not in ("html", "body") and any(_marked(name) for name in names):
         return "apart"
-    if tag in MAIN or "main" in marks.split():
+    if "main" in names:
         return "main"
     return "header" if tag == "header" else ""
 
 
+def _marked(name: str) -> bool:
+    return bool(MARKED.search(name)) and not STATE.fullmatch(name)
+
+
+def _named_apart(sign: str) -> bool:
+    """Whether no class, id or role of an element says it is anything but a marked part."""
+    names = sign.split(" ")[1:]
+    return bool(names) and all(_marked(name) for name in names)
+
+
 def extracted(page: str, verdicts: list) -> str:
     """The text of a page by the first of `verdicts` that takes any part of it."""
     root = parsed(page)
