@@ -12,7 +12,9 @@ grouped aggregates, so no group, however large, meets in one task. Quantiles com
 from Spark's mergeable sketch. `LEAST_SPREAD` is added to the diagonal, so
 statistics that hardly vary within a group (symbols, repeats) reject only real
 excess. Cells of fewer than `LEAST_ROWS` documents are fitted together per
-language; where even those are too few, only the base limits apply.
+language; where even those are too few, they are judged by an estimate over all
+documents of the language, and if that is too small, over all documents. Only
+with too few of these do the base limits alone apply.
 
 Null texts have no words and fail the base limits; null languages and sources
 are cells of their own. Repeated rows get the same verdict. Nothing is sampled.
@@ -41,6 +43,7 @@ MEDIAN = 4.351
 #: share of repeated lines, share of repeated words.
 LEAST_SPREAD = (0.5, 0.15, 0.03, 0.1, 0.1)
 SMALL_CELLS = 20_000
+EVERY = "every document"
 X = [f"x{i}" for i in range(len(LEAST_SPREAD))]
 
 
@@ -131,10 +134,10 @@ def judge(counted: DataFrame) -> DataFrame:
     rows = counted.withColumns({**dict(zip(X, vector, strict=True)), "cell": cell, "wide": wide})
     fitted = rows.where(~base_failed()).select(*X, "cell", "wide")
     sizes = fitted.groupBy("wide", "cell").agg(F.count("*").alias("n"))
-    name = F.when(F.col("n") >= LEAST_ROWS, F.col("cell")).otherwise(F.col("wide"))
-    names, cells = stage_counted(sizes.select("cell", name.alias("fit")), "quality-cells")
+    names, cells = stage_counted(_fits(sizes), "quality-cells")
     small = cells <= SMALL_CELLS
-    fitted = _meet(fitted, names, "cell", small)
+    fitted = _meet(fitted, names.select("cell", F.explode("into").alias("fit")), "cell", small)
+    names = names.drop("into")
 
     middle = fitted.groupBy("fit").agg(
         F.count("*").alias("n"), *[F.percentile_approx(x, 0.5, 1000).alias(f"m_{x}") for x in X]
@@ -165,6 +168,26 @@ def judge(counted: DataFrame) -> DataFrame:
     )
 
 
+def _fits(sizes: DataFrame) -> DataFrame:
+    """cell, fit (the estimate that judges it) and into (the estimates it takes part in)."""
+    few = F.col("n") < LEAST_ROWS
+    languages = sizes.groupBy("wide").agg(
+        F.sum("n").alias("whole"), F.sum(F.when(few, F.col("n"))).alias("pool")
+    )
+    language = F.concat(F.lit("whole "), F.col("wide"))
+    own = F.when(~few, F.col("cell")).when(F.col("pool") >= LEAST_ROWS, F.col("wide"))
+    spread = (F.col("pool") < LEAST_ROWS) & (F.col("whole") >= LEAST_ROWS)
+    rest = F.col("whole") < LEAST_ROWS
+    seldom = F.broadcast(languages.agg(F.max(rest).alias("seldom")))
+    into = F.array_compact(
+        F.array(own, F.when(spread, language), F.when(F.col("seldom"), F.lit(EVERY)))
+    )
+    return sizes.join(languages, "wide").crossJoin(seldom).select(
+        "cell", F.coalesce(own, F.when(rest, F.lit(EVERY)).otherwise(language)).alias("fit"),
+        into.alias("into"),
+    )
+
+
 def _meet(rows: DataFrame, few: DataFrame, key: str, small: bool, how: str = "inner") -> DataFrame:
     """Join with a table of one row per cell, sent to all tasks only if its count allows."""
     return rows.join(F.broadcast(few) if small else few, key, how)
