@@ -113,9 +113,37 @@ select page_id, payload_bytes, payload_digest,
 from p left join f using (payload_digest)
 """
 
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SEARCH = f"""
+with docs as (select doc_id, row_number() over () as r, {_TERMS} as ts from documents),
+total as (
+  select count(*) filter (len(ts) > 0) as n_docs, sum(len(ts))::hugeint as n_terms from docs),
+held as (select r, t, count(*) as tf from (select r, unnest(ts) as t from docs) group by all),
+seen as (select t, count(*) as df from held group by t),
+items as (select item_id, row_number() over () as q, {_TERMS} as ts from benchmark),
+asked as (select q, t, count(*) as times from (select q, unnest(ts) as t from items) group by all),
+weights as (
+  select t, floor(1000 * ln((2 * n_docs + 2)::double / (2 * df + 1)::double))::hugeint as w
+  from seen, total),
+sizes as (
+  select r, doc_id, 100 - 25 + ((25 * len(ts)::hugeint * n_docs) // n_terms) as m from docs, total
+  where len(ts) > 0),
+scored as (
+  select q, r, doc_id,
+    sum(times * w * ((1000000000::hugeint * tf) // (1000 * tf + 12 * m)))::bigint as score
+  from asked join weights using (t) join held using (t) join sizes using (r)
+  group by all),
+ranked as (
+  select *, row_number() over (partition by q order by score desc, doc_id nulls last) as rank
+  from scored where score > 0)
+select item_id, rank::int as rank, doc_id, score from ranked join items using (q) where rank <= 20
+"""
+
 ORACLE: dict[str, str] = {
     "op3_substring_dedup": SUBSTRINGS,
     "op8_decontamination": DECONTAMINATION,
     "op9_mixing": MIXING,
     "op10_warc": WARC,
+    "op13_ranked_search": SEARCH,
 }

@@ -12,6 +12,7 @@ from tillspark.llm import (
     mixing,
     ngrams,
     quality,
+    retrieval,
     secrets,
     simhash,
     substrings,
@@ -101,6 +102,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieval.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -114,5 +119,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_mixing,
         op10_warc,
+        op13_ranked_search,
     )
 }
