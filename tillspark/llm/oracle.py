@@ -113,6 +113,53 @@ select page_id, payload_bytes, payload_digest,
 from p left join f using (payload_digest)
 """
 
+RUNS = f"""
+with recursive eighths as (
+  select k, k as c, 0 as step from range(256) bytes(k)
+  union all
+  select k, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, step + 1
+  from eighths where step < 8),
+crc as (select list(c order by k) as crcs from eighths where step = 8),
+plain as (
+  select row_number() over () as r, doc_id, {_WORDS} as ws,
+    xor(list_reduce(
+      list_prepend(4294967295::bigint, list_transform(
+        string_split(cast(doc_id as varchar), ''), lambda x: ascii(x)::bigint)),
+      lambda a, x: xor(a >> 8, crcs[1 + xor(a & 255, x)])), 4294967295::bigint) as h
+  from documents, crc),
+placed as (
+  select *, len(ws) as n, h // 10 as g,
+    case when h % 10 = 0 and len(ws) > 0 then (h // 10) % len(ws) end as a
+  from plain),
+sized as (select *, 1 + (n - a) // (3 + g % 8) as p from placed),
+docs as (
+  select r, doc_id, case when a is null then ws else
+    [ws[case when i < a then i + 1 else a + (i - a) % p + 1 end] for i in range(n)] end as ws
+  from sized),
+words as (select r, unnest(ws) as w, unnest(range(len(ws))) as i from docs),
+equal as (
+  select x.r, y.i - x.i as q, x.i from words x join words y on x.r = y.r and x.w = y.w and x.i < y.i),
+islands as (
+  select r, q, i, i - row_number() over (partition by r, q order by i) as island from equal),
+stretches as (
+  select r, q, min(i) as s, count(*) + q as size from islands group by r, q, island
+  having count(*) >= q),
+runs as (
+  select r, s, size, min(q) as q from stretches where size >= 12 group by r, s, size),
+gone as (select distinct r, unnest(range(s + q, s + size)) as i from runs),
+kept as (
+  select r, string_agg(w, ' ' order by i) as kept
+  from words anti join gone using (r, i) group by r),
+found as (
+  select r, count(*) as n_runs, string_agg(s || ',' || size || ',' || q || chr(10), '' order by s, q) as runs,
+    list({{'start': s, 'length': size, 'period': q}} order by size desc, s, q)[1] as longest
+  from runs group by r)
+select doc_id, coalesce(n_runs, 0) as n_runs, longest.start as start, longest.length as length,
+  longest.period as period, 1000 * longest.length // longest.period as exponent_milli,
+  sha256(coalesce(runs, '')) as runs_sha256, sha256(coalesce(kept, '')) as collapsed_sha256
+from docs left join found using (r) left join kept using (r)
+"""
+
 _TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
 SEARCH = f"""
@@ -145,5 +192,6 @@ ORACLE: dict[str, str] = {
     "op8_decontamination": DECONTAMINATION,
     "op9_mixing": MIXING,
     "op10_warc": WARC,
+    "op11_periodic_runs": RUNS,
     "op13_ranked_search": SEARCH,
 }

@@ -11,6 +11,7 @@ from tillspark.llm import (
     decontamination,
     mixing,
     ngrams,
+    periodic,
     quality,
     retrieval,
     secrets,
@@ -102,6 +103,30 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse(table(spark, sf_dir, "documents"), change=periodic.repeating)
+    first = F.array_min(F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"])))
+    named = found.withColumn(
+        "longest",
+        F.struct(first["start"].alias("start"), (-first["col1"]).alias("length"),
+                 first["period"].alias("period")),
+    )
+    lines = F.transform(
+        "runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])
+    )
+    exponent = F.expr("1000 * longest.length div longest.period")
+    return named.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "longest.start",
+        "longest.length",
+        "longest.period",
+        exponent.alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -119,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_mixing,
         op10_warc,
+        op11_periodic_runs,
         op13_ranked_search,
     )
 }
