@@ -162,6 +162,28 @@ from docs left join found using (r) left join kept using (r)
 
 _TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
+_JACCARD_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
+
+JACCARD = f"""
+with recursive docs as (
+  select row_number() over () as r, doc_id, {_JACCARD_WORDS} as ws from documents),
+sets as (
+  select r, doc_id, list_distinct(
+    [array_to_string(ws[i:i + 4], ' ') for i in range(1, greatest(len(ws) - 3, least(len(ws), 1) + 1))])
+    as gs
+  from docs),
+grams as (select r, unnest(gs) as g from sets),
+pairs as (
+  select x.r as x, y.r as y, count(*) as shared
+  from grams x join grams y on x.g = y.g and x.r <> y.r group by all),
+linked as (
+  select x, y from pairs join sets a on a.r = x join sets b on b.r = y
+  where 100 * shared >= 80 * (len(a.gs) + len(b.gs) - shared)),
+reached as (select r as x, r as y from sets union select l.x, m.y from linked l join reached m on l.y = m.x)
+select s.doc_id, len(s.gs) as n_shingles, min(t.doc_id) as component_id
+from sets s join reached on s.r = x join sets t on t.r = y group by s.r, s.doc_id, s.gs
+"""
+
 SEARCH = f"""
 with docs as (select doc_id, row_number() over () as r, {_TERMS} as ts from documents),
 total as (
@@ -193,5 +215,6 @@ ORACLE: dict[str, str] = {
     "op9_mixing": MIXING,
     "op10_warc": WARC,
     "op11_periodic_runs": RUNS,
+    "op12_jaccard_join": JACCARD,
     "op13_ranked_search": SEARCH,
 }

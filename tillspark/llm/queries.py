@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillspark.llm import (
     decontamination,
+    jaccard,
     mixing,
     ngrams,
     periodic,
@@ -127,6 +128,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents"))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -145,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_mixing,
         op10_warc,
         op11_periodic_runs,
+        op12_jaccard_join,
         op13_ranked_search,
     )
 }
