@@ -78,6 +78,48 @@ def test_pairs_match_brute_force_on_either_path(spark, broadcast_rows):
     assert rows(wide) == rows(narrow)
 
 
+@pytest.mark.parametrize(
+    "min_count, tile, bits, broadcast_rows",
+    [(1, 512, None, 200_000), (1, 3, None, 200_000), (3, 4, None, 0), (2, 512, 1, 200_000), (3, 2, 12, 0), (9, 5, 4, 9)],
+)
+def test_tiles_and_buckets_match_brute_force(spark, min_count, tile, bits, broadcast_rows):
+    random = Random(11)
+    contents = [
+        [f"P{int(random.paretovariate(0.7)) % 40:02d}" for _ in range(random.randrange(1, 25))] for _ in range(70)
+    ]
+    items = basket.basket_items(baskets(spark, *contents))
+    pairs = basket.pair_counts(
+        items, None, broadcast_rows, min_count=min_count, tile=tile, bucket_bits=bits
+    )
+    expected = {k: n for k, n in brute_pairs(contents, 999).items() if n >= min_count}
+    first = {}
+    for at, codes in enumerate(contents):
+        for pair in combinations(sorted(set(codes)), 2):
+            first.setdefault(pair, f"{at:04d}")
+    assert rows(pairs) == sorted(((*k, n, first[k]) for k, n in expected.items()), key=repr)
+
+
+def test_a_basket_of_a_hundred_thousand_products(spark):
+    """Without a size limit: no list is longer than a tile, and rare products are not paired."""
+    huge = spark.range(100_000).selectExpr("'0000' as invoice_no", "concat('P', lpad(id, 6, '0')) as stock_code")
+    few = spark.range(1_200).selectExpr("'0001' as invoice_no", "concat('P', lpad(id * 7, 6, '0')) as stock_code")
+    some = spark.range(40).selectExpr("'0002' as invoice_no", "concat('P', lpad(id * 14, 6, '0')) as stock_code")
+    items = huge.unionByName(few).unionByName(some)
+    part = items.where("invoice_no <> '0000' or stock_code < 'P020000'")
+    lists = basket.basket_lists(part, False, 512, 200_000, None)
+    longest = "greatest(max(size(basket)), max(size(beside)))"
+    assert lists.where("invoice_no = '0000'").selectExpr(longest).first()[0] < 700
+    pairs = basket.pair_counts(items, None, min_count=2)
+    counted = {r[0]: r[1] for r in pairs.groupBy("pair_baskets").count().collect()}
+    assert counted == {2: 1_200 * 1_199 // 2 - 40 * 39 // 2, 3: 40 * 39 // 2}
+
+
+def test_no_sort_aggregate(spark):
+    items = basket.basket_items(baskets(spark, "AB", "ABC", "BC"))
+    plan = basket.pair_counts(items, 60, min_count=2)._jdf.queryExecution().toString()
+    assert "SortAggregate" not in plan
+
+
 def test_empty_inputs_keep_the_columns(spark):
     fact = baskets(spark, "AB").where("false")
     products = spark.createDataFrame([], "stock_code string, description string")

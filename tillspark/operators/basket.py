@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from tillspark.operators.bitmap import bitmap_of, bits_for, bucket_of, may_hold
 from tillspark.operators.lookup import BROADCAST_ROWS, lookup
 from tillspark.settings import Recommend
-from tillspark.sources.staging import stage, stage_counted
+from tillspark.sources.staging import stage, stage_counted, stage_observed
 
 # An oversized basket's lines are dealt over this many keys.
 BASKET_SPREAD = 64
+# A basket of more products is paired in parts of about this many.
+TILE = 512
 
 
 def basket_items(fact: DataFrame, product: str = "stock_code") -> DataFrame:
@@ -60,33 +63,113 @@ def pairable_items(
     return dealt.join(struck, ["invoice_no", "_deal"], "left_anti").drop("_deal")
 
 
+def basket_lists(
+    items: DataFrame, whole: bool, tile: int, broadcast_rows: int, rows: int | None
+) -> DataFrame:
+    """(invoice_no, basket, beside, id): what is to be paired, no list longer than `tile`.
+
+    A basket over the tile size, if any can be (`whole` is false), is cut into parts by a hash
+    of the product: every part is a row, paired with itself, and every two parts are a row,
+    paired with each other (`beside` is the second, null otherwise), so its items travel once
+    for each part. Rows are in the order of invoice_no, and so are the ids.
+    """
+    if whole:
+        keys = ["invoice_no"]
+        listed = F.sort_array(F.collect_list("stock_code"))
+        lists = items.repartitionByRange(*keys).groupBy(*keys).agg(
+            listed.alias("basket"), F.lit(None).cast("array<string>").alias("beside")
+        )
+    else:
+        sizes = items.groupBy("invoice_no").agg(F.count(F.lit(1)).alias("_size"))
+        large = sizes.where(F.col("_size") > tile).select(
+            "invoice_no", F.ceil(F.col("_size") / tile).cast("int").alias("_parts")
+        )
+        at_most = None if rows is None else rows // (tile + 1)
+        cut = lookup(items, large, "invoice_no", ["stock_code"], broadcast_rows, at_most=at_most)
+        parts = F.coalesce("_parts", F.lit(1))
+        part = F.pmod(F.xxhash64("stock_code"), parts).cast("int")
+        other = F.explode(F.sequence(F.lit(0), parts - 1))
+        met = cut.select("invoice_no", "stock_code", part.alias("part"), other.alias("other"))
+        low, high = F.least("part", "other"), F.greatest("part", "other")
+        keys = ["invoice_no", "low", "high"]
+        met = met.withColumns({"low": low, "high": high}).repartitionByRange(*keys)
+        of_part = lambda end: F.sort_array(
+            F.collect_list(F.when(F.col("part") == F.col(end), F.col("stock_code")))
+        )
+        lists = met.groupBy(*keys).agg(of_part("low").alias("basket"), of_part("high").alias("_high"))
+        lists = lists.withColumn("beside", F.when(F.col("low") < F.col("high"), F.col("_high")))
+    ordered = lists.where(F.col("beside").isNotNull() | (F.size("basket") > 1))
+    ordered = ordered.sortWithinPartitions("invoice_no")
+    return ordered.select(
+        "invoice_no", "basket", "beside", F.monotonically_increasing_id().alias("id")
+    )
+
+
+def _pairs(lists: DataFrame, whole: bool) -> DataFrame:
+    """(id, a, b) with a < b of every pair in every list."""
+    heads = lists.where(F.col("beside").isNull()).select(
+        "id", "basket", F.posexplode("basket").alias("at", "a")
+    )
+    within = heads.select(
+        "id", "a", F.explode(F.slice("basket", F.col("at") + 2, F.size("basket"))).alias("b")
+    )
+    if whole:
+        return within
+    across = lists.where(F.col("beside").isNotNull()).select("id", "beside", F.explode("basket").alias("x"))
+    across = across.select("id", "x", F.explode("beside").alias("y")).select(
+        "id", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
+    )
+    return within.unionByName(across)
+
+
 def pair_counts(
     items: DataFrame,
     max_basket_size: int | None,
     broadcast_rows: int = BROADCAST_ROWS,
     rows: int | None = None,
+    min_count: int = 1,
+    products: int | None = None,
+    tile: int = TILE,
+    bucket_bits: int | None = None,
 ) -> DataFrame:
     """Per unordered pair (a < b): baskets holding both, and the first of them.
 
-    Only baskets within the limit reach the list below, so no list exceeds it;
-    each pair is counted where its basket is read before pairs are shuffled.
+    Only pairs of `min_count` baskets or more. With such a limit, products in fewer baskets are
+    left out first; then all pairs are counted by buckets of their hash, and only pairs in
+    buckets that reach the limit are counted by themselves, so that pairs too rare to matter are
+    folded where they arise and never shuffled. Both passes read the lists from a written table.
     """
-    basket = F.sort_array(F.collect_list("stock_code"))
-    lists = (
-        pairable_items(items, max_basket_size, broadcast_rows, rows)
-        .groupBy("invoice_no")
-        .agg(basket.alias("basket"))
-        .where(F.size("basket") > 1)
-    )
-    heads = lists.select("invoice_no", "basket", F.posexplode("basket").alias("at", "a"))
-    pairs = heads.select(
-        "invoice_no",
-        "a",
-        F.explode(F.slice("basket", F.col("at") + 2, F.size("basket"))).alias("b"),
-    )
-    return pairs.groupBy("a", "b").agg(
-        F.count(F.lit(1)).alias("pair_baskets"), F.min("invoice_no").alias("first_invoice")
+    kept = pairable_items(items, max_basket_size, broadcast_rows, rows)
+    if min_count > 1:
+        frequent = items.groupBy("stock_code").agg(F.count(F.lit(1)).alias("_n"))
+        frequent = frequent.where(F.col("_n") >= min_count)
+        kept = lookup(kept, frequent, "stock_code", ["invoice_no"], broadcast_rows, at_most=products)
+        kept = kept.where(F.col("_n").isNotNull()).drop("_n")
+    whole = max_basket_size is not None and max_basket_size <= tile
+    size = F.size("basket").cast("long")
+    both = F.coalesce(F.size("beside").cast("long") * size, size * (size - 1) / 2)
+    lists, seen = stage_observed(
+        basket_lists(kept, whole, tile, broadcast_rows, rows), "baskets",
+        lists=F.count(F.lit(1)), pairs=F.sum(both.cast("long")),
+    )
+    pairs = _pairs(lists, whole)
+    if min_count > 1:
+        bits = bucket_bits or bits_for(seen["pairs"] or 0)
+        pairs = pairs.withColumn("bucket", bucket_of(bits, "a", "b"))
+        full = pairs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+        buckets = bitmap_of(full.where(F.col("n") >= min_count), bits)
+        pairs = pairs.where(may_hold(buckets, F.col("bucket")))
+    # The order of ids is that of invoices: a minimum of numbers needs no sort.
+    counted = pairs.groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("pair_baskets"), F.min("id").alias("id")
     )
+    if min_count > 1:
+        counted = counted.where(F.col("pair_baskets") >= min_count)
+    if seen["lists"] > broadcast_rows:
+        counted = stage(counted, "pairs")
+    named = lists.select("id", F.col("invoice_no").alias("first_invoice"))
+    first = lookup(counted, named, "id", ["a", "b"], broadcast_rows, at_most=seen["lists"])
+    return first.select("a", "b", "pair_baskets", "first_invoice")
 
 
 def pair_rules(
@@ -102,11 +185,13 @@ def pair_rules(
     size limit included; only the pair counts leave them out. `rows` and
     `products` are the numbers of items and of products, when they are known.
     """
-    pairs = pair_counts(items, settings.max_basket_size, broadcast_rows, rows)
-    frequent = pairs.where(F.col("pair_baskets") >= settings.min_support_count)
     per_item = items.groupBy("stock_code").agg(F.count(F.lit(1)).alias("n"))
     if products is None or products > broadcast_rows:
         per_item, products = stage_counted(per_item, "items")
+    frequent = pair_counts(
+        items, settings.max_basket_size, broadcast_rows, rows,
+        settings.min_support_count, products,
+    )
     if products > broadcast_rows:
         frequent = stage(frequent, "pairs")
     baskets = items.select(F.count_distinct("invoice_no").alias("n")).scalar()

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillspark.sources.staging import stage, stage_counted
+from tillspark.sources.staging import stage, stage_counted, written_rows
 
 # A lookup table of up to this many narrow rows is sent to every executor.
 BROADCAST_ROWS = 200_000
 # A key is hot when it holds more than one row in this many, so that at most
 # this many keys can be hot, whatever the data.
 HOT_SLOTS = 2_000
+# Constant rows, such as unknown members, that a written table may be extended by.
+CONSTANTS = 8
 # Rows that need no partner from the shuffled side are dealt over this many.
 SPREAD = 1 << 20
 
@@ -25,6 +30,7 @@ def lookup(
     hot_slots: int = HOT_SLOTS,
     measured_on: DataFrame | None = None,
     at_most: int | None = None,
+    hot_keys: Sequence | None = None,
 ) -> DataFrame:
     """All rows of `left` with the columns `right` holds for their key, or nulls.
 
@@ -35,19 +41,26 @@ def lookup(
     matched by a shuffle. Rows already matched, and rows without a key, are
     dealt out by `spread_by` (columns that differ between rows), so no key
     gathers in a task. `measured_on` names a cheaper frame with the same keys on
-    the same rows, for a `left` that would be computed again to count its keys.
+    the same rows, for a `left` that would be computed again to count its keys;
+    `hot_keys` are its hot keys, if they are known.
     """
-    if at_most is None or at_most > broadcast_rows:
+    if at_most is None:
+        at_most = _rows_at_most(right)
+    if at_most is None or (at_most > broadcast_rows and hot_keys is None):
         right, at_most = stage_counted(right, "lookup")
     if at_most <= broadcast_rows:
         return left.join(F.broadcast(right), on, "left")
 
     extra = [c for c in right.columns if c != on]
-    rows = left if measured_on is None else measured_on
-    limit = rows.count() / hot_slots
-    hot_keys = rows.groupBy(on).count().where(F.col("count") > limit).select(on)
+    if hot_keys is None:
+        rows = left if measured_on is None else measured_on
+        limit = rows.count() / hot_slots
+        busy = rows.groupBy(on).count().where(F.col("count") > limit).select(on)
+    else:
+        kind = T.StructType([T.StructField(on, left.schema[on].dataType)])
+        busy = left.sparkSession.createDataFrame([(key,) for key in hot_keys], kind)
     # At most `hot_slots` keys can each hold more than 1/hot_slots of the rows.
-    hot = stage(right.join(F.broadcast(hot_keys), on, "left_semi"), "hot")
+    hot = stage(right.join(F.broadcast(busy), on, "left_semi"), "hot")
     settled = left.join(
         F.broadcast(hot.select(on, F.struct(*extra).alias("_hot"))), on, "left"
     )
@@ -62,3 +75,50 @@ def lookup(
         F.coalesce(F.col("_hot")[c], F.col("_rest")[c]).alias(c) for c in extra
     ]
     return dealt.join(rest, [on, "_deal"], "left").select(*left.columns, *found)
+
+
+def _rows_at_most(right: DataFrame) -> int | None:
+    """Rows of a lookup table that reads one staged table and constants; None if unknown."""
+    rows = written_rows(right)
+    return None if rows is None else rows + CONSTANTS
+
+
+def hot_values(rows: DataFrame, columns: Sequence[str], hot_slots: int = HOT_SLOTS) -> dict[str, list]:
+    """The values of each column that may hold more than one row in `hot_slots`, in one scan.
+
+    A mergeable sketch of the most frequent values, `hot_slots` at most of each column; which
+    ones are named decides how rows are dealt, not what comes out.
+    """
+    tracked = 8 * hot_slots
+    sketches = [
+        F.expr(f"approx_top_k(`{c}`, {hot_slots}, {tracked})").alias(c) for c in columns
+    ]
+    found = rows.agg(F.count(F.lit(1)).alias("_rows"), *sketches).first()
+    limit = found["_rows"] / hot_slots
+    return {
+        c: [x["item"] for x in found[c] or [] if x["item"] is not None and x["count"] > limit]
+        for c in columns
+    }
+
+
+def lookup_all(
+    left: DataFrame,
+    sides: Sequence[tuple[DataFrame, str]],
+    spread_by: list[str],
+    broadcast_rows: int = BROADCAST_ROWS,
+    hot_slots: int = HOT_SLOTS,
+) -> DataFrame:
+    """`lookup` in several tables (right, key), written ones each, one after the other.
+
+    The hot keys of all of them are found in one scan of `left`, which must be written too,
+    and only if some table is too large to be sent.
+    """
+    sizes = [_rows_at_most(right) for right, _ in sides]
+    large = [on for (_, on), rows in zip(sides, sizes) if rows is None or rows > broadcast_rows]
+    hot = hot_values(left, large, hot_slots) if large else {}
+    out = left
+    for (right, on), rows in zip(sides, sizes, strict=True):
+        out = lookup(
+            out, right, on, spread_by, broadcast_rows, hot_slots, left, rows, hot.get(on)
+        )
+    return out

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillspark.functions.dates import NTZ, calendar, midnight, required, year_start
 from tillspark.functions.numbers import half_even
 from tillspark.functions.rows import literal_rows
-from tillspark.operators.lookup import BROADCAST_ROWS, lookup
+from tillspark.operators.lookup import BROADCAST_ROWS, lookup, lookup_all
 from tillspark.operators.numbering import number_rows, value_ranks
 from tillspark.operators.quality import RULES, Rule
 from tillspark.settings import (
@@ -21,7 +21,7 @@ from tillspark.settings import (
     SEGMENTS,
     Semantic,
 )
-from tillspark.sources.staging import stage, stage_all
+from tillspark.sources.staging import side_by_side, stage, stage_all
 from tillspark.sources.transactions import SOURCE_POSITION
 
 # The members every missing key points at.
@@ -111,12 +111,11 @@ def dim_product(product: DataFrame, fact: DataFrame) -> DataFrame:
     span = fact.groupBy("stock_code").agg(
         F.min("date_key").alias("FirstSoldDate"), F.max("date_key").alias("LastSoldDate")
     )
+    described = product.select("stock_code", "description", "avg_unit_price")
     keyed = number_rows(
-        product.select("stock_code", "description", "avg_unit_price"),
-        [F.col("stock_code")],
-        "ProductKey",
+        described.join(span, "stock_code", "left"), [F.col("stock_code")], "ProductKey"
     )
-    rows = keyed.join(span, "stock_code", "left").select(
+    rows = keyed.select(
         "ProductKey",
         F.col("stock_code").alias("StockCode"),
         F.col("description").alias("Description"),
@@ -152,17 +151,16 @@ def segment_floors(customer: DataFrame) -> DataFrame:
 
 
 def dim_customer(customer: DataFrame, country: DataFrame) -> DataFrame:
-    floors = stage(segment_floors(customer), "floors")
+    floors = segment_floors(customer).first()
     segment = F.lit(LAST_SEGMENT)
     for at, (_, label) in reversed(list(enumerate(SEGMENTS))):
-        floor = floors.select(f"floor{at}").scalar()
+        floor = F.lit(floors[f"floor{at}"]).cast("double")
         segment = F.when(F.col("total_revenue") >= floor, F.lit(label)).otherwise(segment)
-    keyed = stage(number_rows(customer, [F.col("customer_id")], "CustomerKey"), "customers")
     homes = country.where(F.col("CountryKey") != UNKNOWN_KEY).select(
         F.col("Country").alias("country"), "CountryKey"
     )
-    placed = lookup(keyed, homes, "country", ["customer_id"])
-    rows = placed.select(
+    placed = lookup(customer, homes, "country", ["customer_id"])
+    rows = number_rows(placed, [F.col("customer_id")], "CustomerKey").select(
         "CustomerKey",
         F.col("customer_id").cast("string").alias("CustomerID"),
         F.coalesce("CountryKey", F.lit(UNKNOWN_KEY)).cast("long").alias("CountryKey"),
@@ -225,14 +223,12 @@ def fact_sales(
     row = ["invoice_no", "stock_code", "quantity", "unit_price", "invoice_ts"]
     ids = F.col("CustomerID").cast("long")
     known = customer.where(F.col("CustomerKey") != UNKNOWN_KEY).withColumn("_id", ids)
-    f = fact
-    for keys, on in (
+    sides = [
         (_keys(product, "ProductKey", "StockCode", "stock_code"), "stock_code"),
         (_keys(known, "CustomerKey", "_id", "customer_id"), "customer_id"),
         (_keys(country, "CountryKey", "Country", "country"), "country"),
-    ):
-        f = lookup(f, keys, on, row, broadcast_rows, measured_on=fact)
-    return f.select(
+    ]
+    return lookup_all(fact, sides, row, broadcast_rows).select(
         F.col("invoice_no").alias("InvoiceNo"),
         midnight(F.col("date_key")).alias("Date"),
         _key("ProductKey"),
@@ -256,13 +252,11 @@ def fact_quarantine(
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Rejected lines as a fact. `numbered` must be staged."""
-    q = numbered
-    for keys, on in (
+    sides = [
         (_keys(product, "ProductKey", "StockCode", "stock_code"), "stock_code"),
         (_keys(country, "CountryKey", "Country", "country"), "country"),
-    ):
-        q = lookup(q, keys, on, ["QuarantineKey"], broadcast_rows, measured_on=numbered)
-    return q.select(
+    ]
+    return lookup_all(numbered, sides, ["QuarantineKey"], broadcast_rows).select(
         "QuarantineKey",
         F.col("invoice_no").alias("InvoiceNo"),
         midnight(F.col("invoice_ts")).alias("Date"),
@@ -311,15 +305,17 @@ def build_model(
     settings: Semantic = Semantic(),
     rules: Sequence[Rule] = RULES,
 ) -> dict[str, DataFrame]:
-    """All nine tables from the four published ones, each staged once."""
-    country = stage(dim_country(fact, quarantine, settings), "dim_country")
-    first = stage_all(
-        {
-            "dim_date": dim_date(fact, quarantine),
-            "dim_product": dim_product(product, fact),
-            "dim_customer": dim_customer(customer, country),
-            "numbered": number_quarantine(quarantine),
-        }
+    """All nine tables from the four published ones, each staged once.
+
+    Numbered dimensions are read from the table their numbering wrote.
+    """
+    country = dim_country(fact, quarantine, settings)
+    first = side_by_side(
+        fact.sparkSession,
+        dim_date=lambda: stage(dim_date(fact, quarantine), "dim_date"),
+        dim_product=lambda: dim_product(product, fact),
+        dim_customer=lambda: dim_customer(customer, country),
+        numbered=lambda: number_quarantine(quarantine),
     )
     products, customers = first["dim_product"], first["dim_customer"]
     numbered = first.pop("numbered")

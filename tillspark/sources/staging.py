@@ -9,18 +9,22 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
+from functools import partial
+from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 # Temporary folders of local sessions that name none, by application.
 _own: dict[str, str] = {}
+# Rows of the tables staged here, by the name of their folder.
+_rows: dict[str, int] = {}
 _area: ContextVar[str | None] = ContextVar("staging_area", default=None)
 
 
@@ -54,32 +58,60 @@ def staging_area(spark: SparkSession) -> Iterator[None]:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once and return it as read back."""
-    return _write(df, df, name)
+    return stage_counted(df, name)[0]
 
 
-def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """`stage`, and the row count, taken while the rows are written."""
+def stage_observed(df: DataFrame, name: str, **totals: Column) -> tuple[DataFrame, dict[str, Any]]:
+    """`stage`, and totals over the rows, taken while they are written."""
     seen = Observation()
-    staged = _write(df.observe(seen, F.count(F.lit(1)).alias("rows")), df, name)
-    return staged, seen.get["rows"]
+    totals.setdefault("rows", F.count(F.lit(1)))
+    measured = df.observe(seen, *[total.alias(alias) for alias, total in totals.items()])
+    staged, folder = _write(measured, df, name)
+    _rows[folder] = seen.get["rows"]
+    return staged, seen.get
 
 
-def stage_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Stage tables that do not depend on each other side by side."""
+def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """`stage`, and the row count."""
+    staged, seen = stage_observed(df, name, rows=F.count(F.lit(1)))
+    return staged, seen["rows"]
+
+
+def written_rows(df: DataFrame) -> int | None:
+    """Rows of the staged table that `df`, which must not multiply rows, is read from.
+
+    None if it reads something else, or several tables. Rows added by a union with
+    constants are not counted. Runs no job.
+    """
+    folders = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
+    if len(folders) != 1:
+        return None
+    return _rows.get(folders.pop().rsplit("/", 1)[-1])
+
+
+def side_by_side(spark: SparkSession, **steps: Callable[[], Any]) -> dict[str, Any]:
+    """The results of steps that do not depend on each other, their jobs run together."""
     with ThreadPoolExecutor(max_workers=4) as pool:
         started = {
-            name: pool.submit(
-                copy_context().run, inheritable_thread_target(df.sparkSession)(stage), df, name
-            )
-            for name, df in frames.items()
+            name: pool.submit(copy_context().run, inheritable_thread_target(spark)(step))
+            for name, step in steps.items()
         }
         return {name: done.result() for name, done in started.items()}
 
 
-def _write(observed: DataFrame, df: DataFrame, name: str) -> DataFrame:
+def stage_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Stage tables that do not depend on each other side by side."""
+    if not frames:
+        return {}
+    spark = next(iter(frames.values())).sparkSession
+    steps = {name: partial(stage, df, name) for name, df in frames.items()}
+    return side_by_side(spark, **steps)
+
+
+def _write(observed: DataFrame, df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     app = spark.sparkContext.applicationId
     folder = _area.get() or f"{shared_folder(spark)}/{app}"
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
-    observed.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    own = f"{name}-{uuid.uuid4().hex}"
+    observed.write.parquet(f"{folder}/{own}")
+    return spark.read.schema(df.schema).parquet(f"{folder}/{own}"), own
