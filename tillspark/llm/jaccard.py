@@ -414,9 +414,12 @@ def components(
     named = classes.select(F.struct("a", "b").alias("text_key"), F.col("a").alias("node"), "size")
     named = named.join(least, "text_key").join(roots, "node", "left")
     named = stage(named.select("text_key", "size", "least", "root"), "jaccard-named")
-    reached = named.where("root is not null").groupBy("root").agg(F.min("least").alias("reached"))
-    named = named.join(reached, "root", "left").select(
-        "text_key", F.col("size").alias("n_shingles"), F.coalesce("reached", "least").alias("reached")
+    met = named.where("root is not null")
+    reached = met.groupBy("root").agg(F.min("least").alias("reached"))
+    # The many classes without links do not meet under the missing root.
+    alone = named.where("root is null").withColumn("reached", F.col("least"))
+    named = met.join(reached, "root").unionByName(alone).select(
+        "text_key", F.col("size").alias("n_shingles"), "reached"
     )
     answered = lookup(ids, named, "text_key", ["doc_id"])
     own = F.when(F.col("n_shingles") > 0, F.col("reached")).otherwise(F.col("doc_id"))
