@@ -123,22 +123,31 @@ def verdicts(docs, least_rows=60, subset=0.75, steps=3, cutoff=35.89, middle=4.3
         ]
     ).reshape(-1, 5)
     passed = [not base_failed(s) for s in stats]
-    cells = {}
+    cells, languages = {}, {}
     for at, doc in enumerate(docs):
         if passed[at]:
             cells.setdefault((doc[2], doc[3]), []).append(at)
-    fits = {}
+            languages.setdefault(doc[2], []).append(at)
+    pools = {}
+    for (lang, _), members in cells.items():
+        if len(members) < least_rows:
+            pools.setdefault(lang, []).extend(members)
+    # A cell is judged by itself, else with the small cells of its language, else by the
+    # language, else by all documents: by the first of these that is large enough.
+    everything = [at for at in range(len(docs)) if passed[at]]
+    fits = []
     for cell, members in cells.items():
-        fits.setdefault(cell if len(members) >= least_rows else cell[0], []).extend(members)
+        choices = (members, pools.get(cell[0], []), languages[cell[0]], everything)
+        chosen = next((c for c in choices if len(c) >= least_rows), None)
+        if chosen is not None:
+            fits.append((chosen, members))
     kept = list(passed)
 
     def quantile(values, share):
         return np.sort(values)[max(0, math.ceil(share * len(values)) - 1)]
 
-    for members in fits.values():
-        if len(members) < least_rows:
-            continue
-        x = rows[members]
+    for fitted, members in fits:
+        x = rows[fitted]
         center = np.array([quantile(column, 0.5) for column in x.T])
         shape = np.diag(np.square(spread))
 
@@ -151,9 +160,8 @@ def verdicts(docs, least_rows=60, subset=0.75, steps=3, cutoff=35.89, middle=4.3
             inner = x[d <= quantile(d, subset)]
             center = inner.mean(axis=0)
             shape = np.cov(inner.T, bias=True) + np.diag(np.square(spread))
-        d = distances()
-        scale = max(quantile(d, 0.5) / middle, 1.0)
-        for at, far in zip(members, d / scale, strict=True):
+        scale = max(quantile(distances(), 0.5) / middle, 1.0)
+        for at, far in zip(members, distances(rows[members]) / scale, strict=True):
             kept[at] = bool(far <= cutoff)
     return kept
 

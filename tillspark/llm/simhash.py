@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from tillspark.llm.components import smallest_reachable
 from tillspark.llm.text import byte_column, with_column
+from tillspark.operators.lookup import lookup
 from tillspark.sources.staging import stage, stage_counted
 
 BITS = 64
@@ -232,9 +233,9 @@ def _hooked(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def components(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET,
-               keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """`keep`, fp and component_id of every row."""
+def grouped(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET,
+            keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """`keep`, fp, root (the least fingerprint of the component) and component_id of every row."""
     wanted = list(dict.fromkeys([*keep, "doc_id", "text"]))
     marked = fingerprints(docs.select(*wanted), shingle)
     marked = stage(marked.select(*dict.fromkeys([*keep, "doc_id"]), "fp"), "simhash-fingerprints")
@@ -245,9 +246,37 @@ def components(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET,
     roots = stage(least.join(roots, least["fp"] == roots["node"], "left")
                   .select("fp", "least", F.coalesce("root", "fp").alias("root")), "simhash-roots")
     named = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked.join(roots.select("fp", "root").join(named, "root").drop("root"), "fp").select(
-        *keep, "fp", "component_id"
+    named = roots.select("fp", "root").join(named, "root")
+    # A fingerprint that a third of all rows have, as empty texts or copies do, is one key.
+    return lookup(marked, named, "fp", ["doc_id"], at_most=count).select(
+        *keep, "fp", "root", "component_id"
+    )
+
+
+def components(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET,
+               keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """`keep`, fp and component_id of every row."""
+    return grouped(docs, shingle, budget, keep).drop("root")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET) -> DataFrame:
+    """One row of `docs` for each component: that with the smallest doc_id.
+
+    Of rows that share it, the first by a hash of the text, then by the other columns, stays.
+    Rows without a doc_id all stay.
+    """
+    text = F.coalesce("text", F.lit(""))
+    key = ["doc_id", "_text_a", "_text_b"]
+    keyed = docs.withColumns(dict(zip(key[1:], (F.xxhash64(text), F.xxhash64(F.lit(SEED), text)))))
+    found = grouped(keyed, shingle, budget, tuple(key)).where("doc_id = component_id")
+    chosen = found.groupBy("root").agg(F.min(F.struct(*key)).alias("row")).select("row.*")
+    rest = [c for c in docs.columns if c != "doc_id"]
+    small = F.to_json(F.struct(*[c for c in rest if c != "text"], F.lit(0).alias("_")))
+    one = keyed.join(chosen, key, "left_semi").groupBy(*key).agg(
+        F.min_by(F.struct(*rest), small).alias("_row")
     )
+    kept = one.select("doc_id", "_row.*").select(*docs.columns)
+    return kept.unionByName(docs.where("doc_id is null"))
 
 
 def hexadecimal(fp: str = "fp"):
