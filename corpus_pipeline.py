@@ -18,7 +18,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillspark.llm import decontamination, mixing, near, quality, templates
+from tillspark.llm import decontamination, mixing, quality, simhash, templates
 from tillspark.llm.text import table
 from tillspark.sources.staging import shared_folder
 
@@ -61,20 +61,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @extras_aside
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies (five-word shingles,
-    similarity of 0.8 or more).
-
-    Of rows that share that doc_id, one stays: the first by text, language and source.
-    """
-    grouped = near.components(docs).distinct()
-    first = grouped.where("doc_id = component_id").select("doc_id").distinct()
-    nameless = docs.where("doc_id is null")
-    rest = [c for c in docs.columns if c != "doc_id"]
-    one = docs.join(first, "doc_id", "left_semi").groupBy("doc_id").agg(
-        F.min(F.struct(*rest)).alias("row")
-    )
-    kept = one.select("doc_id", "row.*").select(*docs.columns)
-    return kept.unionByName(nameless)
+    """One document of each group that SimHash near-dedup links by its own settings: the one with
+    the smallest doc_id."""
+    return simhash.one_of_each(docs)
 
 
 @extras_aside
