@@ -89,7 +89,8 @@ def test_tiles_and_buckets_match_brute_force(spark, min_count, tile, bits, broad
     ]
     items = basket.basket_items(baskets(spark, *contents))
     pairs = basket.pair_counts(
-        items, None, broadcast_rows, min_count=min_count, tile=tile, bucket_bits=bits
+        items, None, broadcast_rows, min_count=min_count, tile=tile, filter_from=0, bucket_bits=bits,
+        rows=items.count(),
     )
     expected = {k: n for k, n in brute_pairs(contents, 999).items() if n >= min_count}
     first = {}
@@ -109,14 +110,14 @@ def test_a_basket_of_a_hundred_thousand_products(spark):
     lists = basket.basket_lists(part, False, 512, 200_000, None)
     longest = "greatest(max(size(basket)), max(size(beside)))"
     assert lists.where("invoice_no = '0000'").selectExpr(longest).first()[0] < 700
-    pairs = basket.pair_counts(items, None, min_count=2)
+    pairs = basket.pair_counts(items, None, min_count=2, filter_from=100_000)
     counted = {r[0]: r[1] for r in pairs.groupBy("pair_baskets").count().collect()}
     assert counted == {2: 1_200 * 1_199 // 2 - 40 * 39 // 2, 3: 40 * 39 // 2}
 
 
 def test_no_sort_aggregate(spark):
     items = basket.basket_items(baskets(spark, "AB", "ABC", "BC"))
-    plan = basket.pair_counts(items, 60, min_count=2)._jdf.queryExecution().toString()
+    plan = basket.pair_counts(items, 60, min_count=2, filter_from=0)._jdf.queryExecution().toString()
     assert "SortAggregate" not in plan
 
 

@@ -218,8 +218,10 @@ def reach_change(events: DataFrame, settings: Adoption = Adoption()) -> DataFram
     )
 
 
-def measure_adoption(events: DataFrame, settings: Adoption = Adoption()) -> dict[str, DataFrame]:
-    facts = usage_facts(events, settings)
+def measure_adoption(
+    events: DataFrame, settings: Adoption = Adoption(), facts: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    facts = usage_facts(events, settings) if facts is None else facts
     return {
         "adoption_headline": adoption_headline(events, settings, facts),
         "adoption_weekly": adoption_weekly(events, settings, facts),

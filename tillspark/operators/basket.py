@@ -13,6 +13,8 @@ from tillspark.sources.staging import stage, stage_counted, stage_observed
 
 # An oversized basket's lines are dealt over this many keys.
 BASKET_SPREAD = 64
+# Items or pairs from which on rare ones are looked for before they are shuffled.
+FILTER_FROM = 8_000_000
 # A basket of more products is paired in parts of about this many.
 TILE = 512
 
@@ -130,6 +132,7 @@ def pair_counts(
     min_count: int = 1,
     products: int | None = None,
     tile: int = TILE,
+    filter_from: int = FILTER_FROM,
     bucket_bits: int | None = None,
 ) -> DataFrame:
     """Per unordered pair (a < b): baskets holding both, and the first of them.
@@ -138,9 +141,10 @@ def pair_counts(
     left out first; then all pairs are counted by buckets of their hash, and only pairs in
     buckets that reach the limit are counted by themselves, so that pairs too rare to matter are
     folded where they arise and never shuffled. Both passes read the lists from a written table.
+    Up to `filter_from` items or pairs, a step would cost more than what it saves from the shuffle.
     """
     kept = pairable_items(items, max_basket_size, broadcast_rows, rows)
-    if min_count > 1:
+    if min_count > 1 and (rows is None or rows > filter_from):
         frequent = items.groupBy("stock_code").agg(F.count(F.lit(1)).alias("_n"))
         frequent = frequent.where(F.col("_n") >= min_count)
         kept = lookup(kept, frequent, "stock_code", ["invoice_no"], broadcast_rows, at_most=products)
@@ -153,8 +157,8 @@ def pair_counts(
         lists=F.count(F.lit(1)), pairs=F.sum(both.cast("long")),
     )
     pairs = _pairs(lists, whole)
-    if min_count > 1:
-        bits = bucket_bits or bits_for(seen["pairs"] or 0)
+    if min_count > 1 and (seen["pairs"] or 0) > filter_from:
+        bits = bucket_bits or bits_for(seen["pairs"])
         pairs = pairs.withColumn("bucket", bucket_of(bits, "a", "b"))
         full = pairs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
         buckets = bitmap_of(full.where(F.col("n") >= min_count), bits)

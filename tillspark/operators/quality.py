@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillspark.functions.numbers import half_even
+from tillspark.functions.rows import literal_rows
 from tillspark.operators.bitmap import bitmap_of, bits_for, bucket_of, may_hold
 from tillspark.operators.lookup import BROADCAST_ROWS, HOT_SLOTS, lookup
 from tillspark.settings import Quality
@@ -199,13 +200,29 @@ def quarantined_lines(flagged: DataFrame, rules: Sequence[Rule] = RULES) -> Data
     )
 
 
-def rule_results(flagged: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """One row per rule: how many lines break it, and what share, from one scan."""
-    counts = flagged.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(F.col(r.name)).alias(r.name) for r in rules],
-    )
-    share = lambda n: F.coalesce(F.try_divide(n, F.col("_rows")), F.lit(0.0))
+def flag_totals(rules: Sequence[Rule] = RULES) -> dict[str, Column]:
+    """What results and gate need: all lines, quarantined lines, and lines that break each rule."""
+    return {
+        "rows": F.count(F.lit(1)),
+        "quarantined": F.count_if(_blocked(rules)),
+        **{r.name: F.count_if(F.col(r.name)) for r in rules},
+    }
+
+
+def count_flags(flagged: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """`flag_totals` in one row, from one scan."""
+    return flagged.agg(*[total.alias(name) for name, total in flag_totals(rules).items()])
+
+
+def rule_results(
+    flagged: DataFrame, rules: Sequence[Rule] = RULES, counts: DataFrame | None = None
+) -> DataFrame:
+    """One row per rule: how many lines break it, and what share.
+
+    `counts`, as `count_flags` gives it, saves the scan where it is known.
+    """
+    counts = count_flags(flagged, rules) if counts is None else counts
+    share = lambda n: F.coalesce(F.try_divide(n, F.col("rows")), F.lit(0.0))
     per_rule = [
         F.struct(
             F.lit(r.name).alias("check"),
@@ -221,18 +238,18 @@ def rule_results(flagged: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame
 
 
 def gate(
-    flagged: DataFrame, settings: Quality = Quality(), rules: Sequence[Rule] = RULES
+    flagged: DataFrame,
+    settings: Quality = Quality(),
+    rules: Sequence[Rule] = RULES,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """One row: source, quarantined and loaded counts, the rate, and whether it passes."""
-    counts = flagged.agg(
-        F.count(F.lit(1)).alias("rows_source"),
-        F.count_if(_blocked(rules)).alias("rows_quarantined"),
-    )
-    rate = F.coalesce(F.try_divide("rows_quarantined", "rows_source"), F.lit(0.0))
+    counts = count_flags(flagged, rules) if counts is None else counts
+    rate = F.coalesce(F.try_divide("quarantined", "rows"), F.lit(0.0))
     return counts.select(
-        "rows_source",
-        "rows_quarantined",
-        (F.col("rows_source") - F.col("rows_quarantined")).alias("rows_loaded"),
+        F.col("rows").alias("rows_source"),
+        F.col("quarantined").alias("rows_quarantined"),
+        (F.col("rows") - F.col("quarantined")).alias("rows_loaded"),
         rate.alias("quarantine_rate"),
         F.lit(float(settings.max_quarantine_rate)).alias("ceiling"),
         (rate <= settings.max_quarantine_rate).alias("passed"),
@@ -240,14 +257,31 @@ def gate(
 
 
 def enforce_gate(
-    flagged: DataFrame, settings: Quality = Quality(), rules: Sequence[Rule] = RULES
+    flagged: DataFrame,
+    settings: Quality = Quality(),
+    rules: Sequence[Rule] = RULES,
+    counts: DataFrame | None = None,
 ) -> dict:
     """The gate's row as a dict; raises, carrying the rule results, when it fails."""
-    row = gate(flagged, settings, rules).first().asDict()
+    row = gate(flagged, settings, rules, counts).first().asDict()
     if not row["passed"]:
         raise QualityGateError(
             f"quarantine rate {row['quarantine_rate']:.1%} exceeds the "
             f"{row['ceiling']:.0%} ceiling",
-            rule_results(flagged, rules),
+            rule_results(flagged, rules, counts),
         )
     return row
+
+
+def stage_flagged(
+    lines: DataFrame, settings: Quality = Quality(), rules: Sequence[Rule] = RULES
+) -> tuple[DataFrame, DataFrame]:
+    """Flagged lines, written, and their counts in one row, taken while they are written."""
+    flagged, seen = stage_observed(
+        flag_lines(lines, settings, rules), "flagged", **flag_totals(rules)
+    )
+    names = list(flag_totals(rules))
+    counts = literal_rows(
+        lines.sparkSession, [tuple(seen[n] for n in names)], ", ".join(f"`{n}` long" for n in names)
+    )
+    return flagged, counts

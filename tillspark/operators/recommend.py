@@ -26,16 +26,18 @@ def recommend(
     dim_product: DataFrame,
     settings: Recommend = Recommend(),
     products: int | None = None,
+    rules: DataFrame | None = None,
 ) -> DataFrame:
     """Co-purchase rules, then description matches for products without any.
 
     `products` is the number of rows of a staged `dim_product`; without it the
-    names are staged here.
+    names are staged here. `rules` are the co-purchase rules, if they are written.
     """
     names = dim_product.select("stock_code", "description")
     if products is None:
         names, products = stage_counted(names, "names")
-    rules = stage(co_purchase_rules(fact, settings, products=products), "rules")
+    if rules is None:
+        rules = stage(co_purchase_rules(fact, settings, products=products), "rules")
     recs = rules.unionByName(content_similar(names, rules, settings))
     if products > BROADCAST_ROWS:
         recs = stage(recs, "unnamed")

@@ -2,33 +2,31 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from contextvars import copy_context
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillspark.functions.numbers import percent
-from tillspark.operators.adoption import measure_adoption
+from tillspark.operators.adoption import measure_adoption, usage_facts
+from tillspark.operators.basket import co_purchase_rules
 from tillspark.operators.checks import IntegrityError, check_model
 from tillspark.operators.fingerprint import fingerprint
 from tillspark.operators.quality import (
     QualityGateError,
     clean_lines,
     enforce_gate,
-    flag_lines,
     gate,
     quarantined_lines,
     rule_results,
+    stage_flagged,
 )
 from tillspark.operators.recommend import coverage, recommend
 from tillspark.operators.semantic import build_model
 from tillspark.operators.star import build_star
 from tillspark.settings import Settings
 from tillspark.sources.published import publish, read_published
-from tillspark.sources.staging import stage, stage_all, stage_counted, staging_area
+from tillspark.sources.staging import side_by_side, stage, stage_all, staging_area, written_rows
 from tillspark.sources.transactions import check_lines, read_lines
 from tillspark.sources.usage import METRIC_COLUMNS, check_events, read_usage
 
@@ -51,6 +49,7 @@ def run_metrics(
     recs: DataFrame,
     headline: DataFrame,
     settings: Settings = Settings(),
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """One row describing a run: rows in and out, catalogue coverage, adoption."""
     covered = coverage(recs, products)
@@ -61,8 +60,7 @@ def run_metrics(
             for name in ("reach_pct", "activation_pct", "action_rate_pct", "csat")
         ]
     )
-    counts = gate(flagged, settings.quality)
-    return counts.select(
+    return gate(flagged, settings.quality, counts=counts).select(
         "rows_source",
         "rows_quarantined",
         F.coalesce(percent(F.col("rows_quarantined"), F.col("rows_source"), 2), F.lit(0.0)).alias(
@@ -88,39 +86,37 @@ def refresh(lines: DataFrame, events: DataFrame, settings: Settings = Settings()
     """Flag, gate, split, model, recommend and measure. Raises at the gate.
 
     Every table and the rule results are computed and staged; so should `lines` be.
+    Steps that do not read each other's tables run side by side.
     """
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        # Adoption reads nothing the lines lead to, so it is measured meanwhile.
-        measured = pool.submit(
-            copy_context().run,
-            inheritable_thread_target(lines.sparkSession)(
-                lambda: stage_all(measure_adoption(events, settings.adoption))
-            ),
-        )
-        flagged = stage(flag_lines(lines, settings.quality), "flagged")
-        enforce_gate(flagged, settings.quality)
-        star = build_star(clean_lines(flagged))
-        others = {name: star[name] for name in ("fact_sales", "dim_customer", "dim_date")}
-        others |= {
-            "quarantine": quarantined_lines(flagged), "quality_results": rule_results(flagged)
-        }
-        # What recommendations do not read is written beside them.
-        remaining = pool.submit(
-            copy_context().run, inheritable_thread_target(lines.sparkSession)(stage_all), others
-        )
-        star["dim_product"], products = stage_counted(star["dim_product"], "dim_product")
-        recs = stage(
-            recommend(star["fact_sales"], star["dim_product"], settings.recommend, products),
-            "recommendations",
-        )
-        adoption = measured.result()
-        rest = remaining.result()
-    star |= {name: rest[name] for name in ("fact_sales", "dim_customer", "dim_date")}
+    spark = lines.sparkSession
+    first = side_by_side(
+        spark,
+        flagged=lambda: stage_flagged(lines, settings.quality),
+        facts=lambda: usage_facts(events, settings.adoption),
+    )
+    flagged, counts = first["flagged"]
+    enforce_gate(flagged, settings.quality, counts=counts)
+    star = build_star(clean_lines(flagged))
+    quarantine = quarantined_lines(flagged)
+    done = side_by_side(
+        spark,
+        dim_product=lambda: stage(star["dim_product"], "dim_product"),
+        rules=lambda: stage(co_purchase_rules(star["fact_sales"], settings.recommend), "rules"),
+        fact_sales=lambda: stage(star["fact_sales"], "fact_sales"),
+        dim_customer=lambda: stage(star["dim_customer"], "dim_customer"),
+        dim_date=lambda: stage(star["dim_date"], "dim_date"),
+        quarantine=lambda: stage(quarantine, "quarantine"),
+        adoption=lambda: stage_all(measure_adoption(events, settings.adoption, first["facts"])),
+    )
+    adoption, rules, products = done.pop("adoption"), done.pop("rules"), done["dim_product"]
+    recs = recommend(
+        done["fact_sales"], products, settings.recommend, written_rows(products), rules
+    )
+    tables = {**done, "recommendations": stage(recs, "recommendations"), **adoption}
     metrics = run_metrics(
-        flagged, star["dim_product"], recs, adoption["adoption_headline"], settings
+        flagged, products, tables["recommendations"], adoption["adoption_headline"], settings, counts
     )
-    tables = {**star, "quarantine": rest["quarantine"], "recommendations": recs, **adoption}
-    return Refresh(tables, rest["quality_results"], metrics)
+    return Refresh(tables, rule_results(flagged, counts=counts), metrics)
 
 
 def refresh_files(

@@ -91,7 +91,7 @@ def written_rows(df: DataFrame) -> int | None:
 
 def side_by_side(spark: SparkSession, **steps: Callable[[], Any]) -> dict[str, Any]:
     """The results of steps that do not depend on each other, their jobs run together."""
-    with ThreadPoolExecutor(max_workers=4) as pool:
+    with ThreadPoolExecutor(max_workers=8) as pool:
         started = {
             name: pool.submit(copy_context().run, inheritable_thread_target(spark)(step))
             for name, step in steps.items()
