@@ -9,6 +9,7 @@ A measure without data is null, never zero.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,11 @@ from tillspark.sources.staging import stage
 
 Model = dict[str, DataFrame]
 
+# Keys in a word of a bitmap.
+KEYS = 64
+# The cuts the report pages show.
+CUTS = ("YearMonth", "Country", "Region", "CustomerSegment", "PriceBand", "Description")
+
 # Columns that tell the lines of the sales fact apart.
 _ROW = ["InvoiceNo", "ProductKey", "Date", "Quantity", "UnitPrice"]
 _DIMENSIONS = {
@@ -76,18 +82,57 @@ def sliced(model: Model, **chosen: Sequence) -> Model:
     return out
 
 
+def _met(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """`left` with the other columns of `right` for the same group, nulls being equal."""
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in by})
+    same = reduce(
+        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in by], F.lit(True)
+    )
+    return left.join(renamed, same, "left").drop(*[f"_r_{c}" for c in by])
+
+
+def key_words(rows: DataFrame, by: Sequence[str], key: str) -> DataFrame:
+    """(by, word, bits): the surrogate keys of each group as bitmaps of 64 keys a word.
+
+    Keys are dense, so a word takes the place of up to 64 rows, and words are merged like
+    sums: no set of keys is held or shuffled.
+    """
+    bit = F.call_function(
+        "shiftleft", F.lit(1).cast("long"), F.pmod(F.col(key), F.lit(KEYS)).cast("int")
+    )
+    word = F.floor(F.col(key) / KEYS).alias("word")
+    return rows.where(F.col(key).isNotNull()).groupBy(*by, word).agg(F.bit_or(bit).alias("bits"))
+
+
+def _keys_held(words: DataFrame, by: Sequence[str], out: str) -> DataFrame:
+    return words.groupBy(*by).agg(F.sum(F.bit_count("bits")).alias(out))
+
+
 def sales_measures(sales: DataFrame, *by: str) -> DataFrame:
-    """Base measures and the rates on them, per group or in total."""
-    base = sales.groupBy(*by).agg(
-        money_sum(F.col("Revenue")).alias("revenue"),
-        F.sum("Quantity").alias("units_sold"),
-        F.count_distinct("InvoiceNo").alias("orders"),
-        F.count(F.lit(1)).alias("sales_lines"),
-        F.count_distinct(F.when(F.col("CustomerKey") != UNKNOWN_KEY, F.col("CustomerKey"))).alias(
-            "customers"
-        ),
-        F.count_distinct("ProductKey").alias("products_sold"),
+    """Base measures and the rates on them, per group or in total.
+
+    Lines are folded to one row per group and invoice, which counts the invoices; customers
+    and products are counted by bitmaps of their keys.
+    """
+    folded = sales.groupBy(*by, "InvoiceNo").agg(
+        F.sum(ten_thousandths(F.col("Revenue"))).alias("_amount"),
+        F.sum("Quantity").alias("_units"),
+        F.count(F.lit(1)).alias("_lines"),
     )
+    base = folded.groupBy(*by).agg(
+        in_units(F.sum("_amount")).alias("revenue"),
+        F.sum("_units").alias("units_sold"),
+        F.count("InvoiceNo").alias("orders"),
+        F.coalesce(F.sum("_lines"), F.lit(0)).alias("sales_lines"),
+    )
+    known = sales.where(F.col("CustomerKey") != UNKNOWN_KEY)
+    for rows, key, out in ((known, "CustomerKey", "customers"), (sales, "ProductKey", "products_sold")):
+        base = _met(base, _keys_held(key_words(rows, by, key), by, out), by)
+        base = base.withColumn(out, F.coalesce(out, F.lit(0)))
+    return with_rates(base)
+
+
+def with_rates(base: DataFrame) -> DataFrame:
     return base.withColumns(
         {
             "average_order_value": ratio(F.col("revenue"), F.col("orders")),
@@ -98,21 +143,84 @@ def sales_measures(sales: DataFrame, *by: str) -> DataFrame:
     )
 
 
+def report_cuts(model: Model, *cuts: str) -> DataFrame:
+    """The base measures under every one of `cuts` (CUTS without any) and in total.
+
+    One row per cut and member: `cut` names the column, "" the total, `member` its value as
+    text. Grouping sets give all cuts in one pass over the lines, joined with their dimensions
+    once, for the sums and orders, and one each for the bitmaps of customers and products.
+    """
+    cuts = cuts or CUTS
+    context = in_context(model, *cuts)
+    sales = context.select(
+        "InvoiceNo", "ProductKey", "CustomerKey", "Quantity", "Revenue",
+        *[F.col(c).cast("string").alias(c) for c in cuts],
+    )
+
+    def cut(rows: DataFrame, *extra: str):
+        sets = [[c, *extra] for c in cuts] + [list(extra)]
+        return rows.groupingSets(sets, *cuts, *extra)
+
+    # Which column a grouping set keeps shows in the bits of its id, the first column highest.
+    width = len(cuts)
+    names = [F.when(F.col("_set").bitwiseAND(F.lit(1 << (width - 1 - k))) == 0, F.lit(c))
+             for k, c in enumerate(cuts)]
+    set_of = lambda extra: F.shiftright(F.grouping_id(), extra).alias("_set")
+    labelled = lambda rows: rows.select(
+        F.coalesce(*names, F.lit("")).alias("cut"), F.coalesce(*cuts).alias("member"),
+        *[c for c in rows.columns if c not in (*cuts, "_set")],
+    )
+    folded = cut(sales, "InvoiceNo").agg(
+        set_of(1),
+        F.sum(ten_thousandths(F.col("Revenue"))).alias("_amount"),
+        F.sum("Quantity").alias("_units"),
+        F.count(F.lit(1)).alias("_lines"),
+    )
+    by = ("cut", "member")
+    base = labelled(folded).groupBy(*by).agg(
+        in_units(F.sum("_amount")).alias("revenue"),
+        F.sum("_units").alias("units_sold"),
+        F.count("InvoiceNo").alias("orders"),
+        F.coalesce(F.sum("_lines"), F.lit(0)).alias("sales_lines"),
+    )
+    for key, out in (("CustomerKey", "customers"), ("ProductKey", "products_sold")):
+        rows = sales if key == "ProductKey" else sales.where(F.col(key) != UNKNOWN_KEY)
+        place = F.pmod(F.col(key), F.lit(KEYS)).cast("int")
+        rows = rows.select(
+            *cuts, F.floor(F.col(key) / KEYS).alias("word"),
+            F.call_function("shiftleft", F.lit(1).cast("long"), place).alias("bit"),
+        )
+        words = labelled(cut(rows, "word").agg(set_of(1), F.bit_or("bit").alias("bits")))
+        base = _met(base, _keys_held(words, by, out), by).withColumn(out, F.coalesce(out, F.lit(0)))
+    return with_rates(base)
+
+
 def sales_by(model: Model, *columns: str) -> DataFrame:
     return sales_measures(in_context(model, *columns), *columns)
 
 
-def _day_revenue(model: Model) -> DataFrame:
-    """Every calendar day with its revenue, null where nothing was sold."""
-    sold = model["fact_sales"].groupBy("Date").agg(money_sum(F.col("Revenue")).alias("revenue"))
-    return model["dim_date"].join(sold, "Date", "left")
-
+def _day_revenue(model: Model, *by: str) -> DataFrame:
+    """Every calendar day with its revenue, null where nothing was sold.
 
-def _month_revenue(model: Model) -> DataFrame:
+    With group columns, every day of each group that ever sold anything.
+    """
+    if not by:
+        sold = model["fact_sales"].groupBy("Date").agg(money_sum(F.col("Revenue")).alias("revenue"))
+        return model["dim_date"].join(sold, "Date", "left")
+    sold = in_context(model, *by).groupBy("Date", *by).agg(money_sum(F.col("Revenue")).alias("revenue"))
+    sold = stage(sold, "group_days")
+    calendar = model["dim_date"]
+    first, last = (calendar.agg(f("Date").alias("d")).scalar() for f in (F.min, F.max))
+    day = F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("Date")
+    days = sold.select(*by).distinct().select(*by, day)
+    return _met(days, sold, ["Date", *by]).join(calendar.drop(*by), "Date")
+
+
+def _month_revenue(model: Model, *by: str) -> DataFrame:
     """Every calendar month with its revenue and trading days."""
     return (
-        _day_revenue(model)
-        .groupBy("YearMonthSort", "YearMonth")
+        _day_revenue(model, *by)
+        .groupBy(*by, "YearMonthSort", "YearMonth")
         .agg(
             money_sum(F.col("revenue")).alias("revenue"),
             F.count_if("IsTradingDay").alias("trading_days"),
@@ -124,17 +232,18 @@ def _running(value: str, over) -> Column:
     return in_units(F.sum(ten_thousandths(F.col(value))).over(over))
 
 
-def revenue_by_day(model: Model) -> DataFrame:
+def revenue_by_day(model: Model, *by: str) -> DataFrame:
     """Revenue per calendar day, with a sentence where there is none."""
     message = F.when(F.col("revenue").isNull(), F.lit(NO_DATA_MESSAGE)).otherwise("")
-    return _day_revenue(model).select("Date", "revenue", message.alias("no_data_message"))
+    return _day_revenue(model, *by).select(*by, "Date", "revenue", message.alias("no_data_message"))
 
 
-def revenue_to_date(model: Model) -> DataFrame:
+def revenue_to_date(model: Model, *by: str) -> DataFrame:
     """Revenue since the start of the year and of the month, for every day."""
-    year = W.partitionBy("Year").orderBy("Date")
-    month = W.partitionBy("YearMonthSort").orderBy("Date")
-    return _day_revenue(model).select(
+    year = W.partitionBy(*by, "Year").orderBy("Date")
+    month = W.partitionBy(*by, "YearMonthSort").orderBy("Date")
+    return _day_revenue(model, *by).select(
+        *by,
         "Date",
         "revenue",
         _running("revenue", year).alias("revenue_ytd"),
@@ -150,59 +259,59 @@ def _growth() -> Column:
     )
 
 
-def revenue_year_on_year(model: Model) -> DataFrame:
+def revenue_year_on_year(model: Model, *by: str) -> DataFrame:
     """Each calendar month beside the same month a year earlier.
 
     The calendar covers whole years without a gap, so that is twelve rows back.
     """
-    months = W.orderBy("YearMonthSort")
-    compared = _month_revenue(model).withColumn("revenue_ly", F.lag("revenue", 12).over(months))
-    return compared.select("YearMonth", "revenue", "revenue_ly", _growth().alias("yoy"))
+    months = W.partitionBy(*by).orderBy("YearMonthSort")
+    compared = _month_revenue(model, *by).withColumn("revenue_ly", F.lag("revenue", 12).over(months))
+    return compared.select(*by, "YearMonth", "revenue", "revenue_ly", _growth().alias("yoy"))
 
 
-def revenue_year_on_year_daily(model: Model) -> DataFrame:
+def revenue_year_on_year_daily(model: Model, *by: str) -> DataFrame:
     """Each day beside the same day a year earlier; 29 February beside the 28th."""
-    days = _day_revenue(model).select("Date", "revenue")
-    prior = days.select(F.col("Date").alias("_prior"), F.col("revenue").alias("revenue_ly"))
+    days = _day_revenue(model, *by).select(*by, "Date", "revenue")
+    prior = days.select(*by, F.col("Date").alias("_prior"), F.col("revenue").alias("revenue_ly"))
     year_ago = F.add_months("Date", -12).cast(NTZ)
-    compared = days.withColumn("_prior", year_ago).join(prior, "_prior", "left")
-    return compared.select("Date", "revenue", "revenue_ly", _growth().alias("yoy"))
+    compared = _met(days.withColumn("_prior", year_ago), prior, ["_prior", *by])
+    return compared.select(*by, "Date", "revenue", "revenue_ly", _growth().alias("yoy"))
 
 
-def revenue_three_months(model: Model) -> DataFrame:
+def revenue_three_months(model: Model, *by: str) -> DataFrame:
     """Revenue of each calendar month and the two before it."""
-    window = W.orderBy("YearMonthSort").rowsBetween(-2, 0)
-    return _month_revenue(model).select(
-        "YearMonth", "revenue", _running("revenue", window).alias("revenue_r3m")
+    window = W.partitionBy(*by).orderBy("YearMonthSort").rowsBetween(-2, 0)
+    return _month_revenue(model, *by).select(
+        *by, "YearMonth", "revenue", _running("revenue", window).alias("revenue_r3m")
     )
 
 
-def revenue_three_months_daily(model: Model) -> DataFrame:
+def revenue_three_months_daily(model: Model, *by: str) -> DataFrame:
     """Revenue of the three months ending on each day.
 
     Each calendar day is handed to the days whose window holds it: some ninety
     per day, of a calendar already folded to one row per day.
     """
-    days = _day_revenue(model).select("Date", "revenue")
+    days = _day_revenue(model, *by).select(*by, "Date", "revenue")
     start = (F.add_months("Date", -3) + F.expr("interval 1 day")).cast(NTZ)
     held = days.select(
+        *by,
         F.col("Date").alias("_end"),
         F.explode(F.sequence(start, F.col("Date"), F.expr("interval 1 day"))).alias("Date"),
     )
-    sums = held.join(days, "Date").groupBy("_end").agg(
+    sums = _met(held, days, ["Date", *by]).groupBy(*by, F.col("_end").alias("Date")).agg(
         money_sum(F.col("revenue")).alias("revenue_r3m")
     )
-    return days.join(sums.withColumnRenamed("_end", "Date"), "Date", "left")
+    return _met(days, sums, ["Date", *by])
 
 
-def revenue_running_total(model: Model, first: str, last: str) -> DataFrame:
+def revenue_running_total(model: Model, first: str, last: str, *by: str) -> DataFrame:
     """Cumulative revenue inside a selection of days, starting from nothing."""
-    chosen = _day_revenue(model).where(
+    chosen = _day_revenue(model, *by).where(
         (F.col("Date") >= F.lit(first).cast(NTZ)) & (F.col("Date") <= F.lit(last).cast(NTZ))
     )
-    return chosen.select(
-        "Date", "revenue", _running("revenue", W.orderBy("Date")).alias("running_total")
-    )
+    over = W.partitionBy(*by).orderBy("Date")
+    return chosen.select(*by, "Date", "revenue", _running("revenue", over).alias("running_total"))
 
 
 def revenue_per_trading_day(model: Model) -> DataFrame:

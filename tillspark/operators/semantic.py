@@ -278,10 +278,16 @@ def bridge_quarantine_rule(numbered: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
-def security_user_country(country: DataFrame, settings: Semantic = Semantic()) -> DataFrame:
+def security_user_country(
+    country: DataFrame, settings: Semantic = Semantic(), entitlements: DataFrame | None = None
+) -> DataFrame:
+    """Who may see which country. `entitlements` (UserEmail, Country), a table of any size, takes
+    the place of those in the settings; repeated grants count once."""
     granted = literal_rows(
         country.sparkSession, settings.entitlements, "UserEmail string, Country string"
     )
+    if entitlements is not None:
+        granted = entitlements.select("UserEmail", "Country").distinct()
     known = country.select("Country", "CountryKey")
     key = F.when(F.col("Country") == ALL_COUNTRIES, F.lit(ALL_COUNTRIES_KEY)).otherwise(
         F.coalesce("CountryKey", F.lit(UNKNOWN_KEY))
@@ -304,6 +310,7 @@ def build_model(
     quarantine: DataFrame,
     settings: Semantic = Semantic(),
     rules: Sequence[Rule] = RULES,
+    entitlements: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """All nine tables from the four published ones, each staged once.
 
@@ -332,5 +339,5 @@ def build_model(
         **facts,
         "dim_country": country,
         "dim_quality_rule": rule,
-        "security_user_country": security_user_country(country, settings),
+        "security_user_country": security_user_country(country, settings, entitlements),
     }

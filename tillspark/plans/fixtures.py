@@ -7,6 +7,7 @@ the values of a row, and every row of every table takes part.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -155,3 +156,18 @@ def faulty_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
             "team", F.expr("case when user_id % 7 = 0 then '  ' when user_id % 11 = 0 then null else team end")
         )
     )
+
+
+def entitlements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user for every nation and region, one who sees all and one for a country that is none."""
+    nation = table(spark, sf_dir, "nation")
+    named = nation.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    first = nation.where("n_nationkey = 0")
+    mail = lambda name: f"concat(lower(replace({name}, ' ', '.')), '@example.com')"
+    grants = [
+        (named, mail("n_name"), "n_name"), (named, mail("r_name"), "n_name"),
+        (first, "'board@example.com'", "'*'"), (first, "'board@example.com'", "n_name"),
+        (first, "'nowhere@example.com'", "'Atlantis'"),
+    ]
+    parts = [df.selectExpr(f"{user} as UserEmail", f"{country} as Country") for df, user, country in grants]
+    return reduce(DataFrame.unionByName, parts)

@@ -365,6 +365,14 @@ CTES: dict[str, str] = {
                 cast(make_date(year(min(t)), 1, 1) as timestamp),
                 cast(make_date(year(max(t)), 12, 31) as timestamp), interval 1 day)) as d
             from (select date_key as t from sales union all select invoice_ts from rejected))""",
+    "entitled": """
+        select distinct UserEmail, Country from (
+            select lower(n_name) || '@example.com' as UserEmail, n_name as Country from nation
+            union all select lower(replace(r_name, ' ', '.')) || '@example.com', n_name
+            from nation join region on n_regionkey = r_regionkey
+            union all select 'board@example.com', '*'
+            union all select 'board@example.com', n_name from nation where n_nationkey = 0
+            union all select 'nowhere@example.com', 'Atlantis')""",
     "m_security": "select UserEmail, e.Country, case when e.Country = '*' then 0 "
     "else coalesce(CountryKey, -1) end::bigint as CountryKey from (values "
     + ", ".join(f"('{u}', '{c}')" for u, c in SEMANTIC.entitlements)
@@ -429,6 +437,34 @@ def sales_measures(by: str | None = None) -> str:
             from wide {f"group by {by}" if by else ""})"""
 
 
+CUTS = ("YearMonth", "Country", "Region", "CustomerSegment", "PriceBand", "Description")
+
+
+def all_cuts() -> str:
+    columns = """revenue, units_sold, orders, sales_lines, customers, products_sold,
+        average_order_value, units_per_order, average_selling_price, lines_per_order"""
+    parts = [
+        f"select '{cut}' as cut, {cut}::varchar as member, {columns} from ({sales_measures(cut)})"
+        for cut in CUTS
+    ]
+    parts.append(f"select '' as cut, null as member, {columns} from ({sales_measures()})")
+    return " union all ".join(parts)
+
+
+def group_days(*by: str) -> str:
+    """The calendar once for each group that sold anything."""
+    groups = ", ".join(by)
+    return f"""(select {groups}, d.*, revenue from m_date d
+        cross join (select distinct {groups} from wide)
+        left join (select Date, {groups}, {money("Revenue")} as revenue from wide group by all)
+            using (Date, {groups}))"""
+
+
+def group_months(*by: str) -> str:
+    return f"""(select {", ".join(by)}, YearMonth, YearMonthSort, {money("revenue")} as revenue
+        from {group_days(*by)} group by all)"""
+
+
 def guest_measures(by: str | None = None) -> str:
     group = f"{by}, " if by else ""
     return f"""
@@ -769,6 +805,64 @@ BODIES: dict[str, str] = {
                 where QuarantineKey in (select QuarantineKey from m_bridge)),
             (select count(*) as lines, max(Date) as last_refresh from m_sales),
             (select count(*) filter (Action = 'Quarantine') as blocking_rules from m_rule)""",
+    "rev_all_cuts": all_cuts(),
+    "rev_ytd_mtd_by_region": f"""
+        select Region, Date, revenue, {running("partition by Region, Year order by Date")} as revenue_ytd,
+            {running("partition by Region, YearMonthSort order by Date")} as revenue_mtd
+        from {group_days("Region")}""",
+    **{
+        f"rev_yoy_by_{name}": f"""
+            select {by}, m.YearMonth, m.revenue, p.revenue as revenue_ly,
+                {growth("p.revenue").replace("coalesce(revenue", "coalesce(m.revenue")}
+            from {group_months(by)} m left join {group_months(by)} p
+                on p.YearMonthSort = m.YearMonthSort - 100 and p.{by} = m.{by}""".replace(
+            f"select {by},", f"select m.{by},", 1
+        )
+        for name, by in (("region", "Region"), ("product", "Description"))
+    },
+    "rev_yoy_daily_by_region": f"""
+        select m.Region, m.Date, m.revenue, p.revenue as revenue_ly,
+            {growth("p.revenue").replace("coalesce(revenue", "coalesce(m.revenue")}
+        from {group_days("Region")} m left join {group_days("Region")} p
+            on p.Date = m.Date - interval 12 month and p.Region = m.Region""",
+    "rev_r3m_by_segment_band": f"""
+        select CustomerSegment, PriceBand, YearMonth, revenue,
+            {running("partition by CustomerSegment, PriceBand order by YearMonthSort rows between 2 preceding and current row")}
+                as revenue_r3m
+        from {group_months("CustomerSegment", "PriceBand")}""",
+    "rev_r3m_daily_by_region": f"""
+        select a.Region, a.Date, any_value(a.revenue) as revenue,
+            sum(cast(b.revenue as decimal(18,4)))::double as revenue_r3m
+        from {group_days("Region")} a join {group_days("Region")} b
+            on b.Region = a.Region and b.Date > a.Date - interval 3 month and b.Date <= a.Date
+        group by 1, 2""",
+    "rev_running_by_country": f"""
+        select Country, Date, revenue, {running("partition by Country order by Date")} as running_total
+        from {group_days("Country")}
+        where Date between timestamp '1996-03-01' and timestamp '1997-02-15'""",
+    "sem_security_users": """
+        select UserEmail, e.Country, case when e.Country = '*' then 0
+            else coalesce(CountryKey, -1) end::bigint as CountryKey
+        from entitled e left join m_country c on c.Country = e.Country""",
+    "rls_measures_by_user": f"""
+        select *, {ratio("revenue", "orders")} as average_order_value,
+            {ratio("units_sold", "orders")} as units_per_order,
+            {ratio("revenue", "units_sold")} as average_selling_price,
+            {ratio("sales_lines", "orders")} as lines_per_order
+        from (
+            select u.UserEmail, {money("Revenue")} as revenue, sum(Quantity)::bigint as units_sold,
+                count(distinct InvoiceNo) as orders, count(Revenue) as sales_lines,
+                count(distinct CustomerKey) filter (CustomerKey <> -1) as customers,
+                count(distinct ProductKey) as products_sold
+            from (select distinct UserEmail from entitled) u left join (
+                select distinct s.*, e.UserEmail, s.rowid_ from (
+                    select *, row_number() over () as rowid_ from m_sales) s
+                join m_country c on c.CountryKey = s.CountryKey
+                join m_customer k on k.CustomerKey = s.CustomerKey
+                join entitled e on e.Country in (c.Country, '*')
+                join entitled h on h.UserEmail = e.UserEmail
+                    and (k.IsGuest or h.Country in (k.Country, '*'))) v using (UserEmail)
+            group by 1)""",
     "rls_sales": secured("three@example.com", "fact_sales"),
     "rls_sales_one": secured("one@example.com", "fact_sales"),
     "rls_sales_all": secured("all@example.com", "fact_sales"),

@@ -289,6 +289,24 @@ QUERIES: dict[str, Query] = {
     "rls_countries": _secured("three@example.com", "dim_country"),
     "rls_quarantine": _secured("three@example.com", "fact_quarantine"),
     "rls_entitlements": _secured("three@example.com", "security_user_country"),
+    # every user of a table of entitlements
+    "sem_security_users": lambda s, d: semantic.security_user_country(
+        model(s, d)["dim_country"], SEMANTIC, fixtures.entitlements(s, d)
+    ),
+    "rls_measures_by_user": lambda s, d: security.measures_by_user(
+        model(s, d), fixtures.entitlements(s, d)
+    ),
+    # report cuts and time measures under group columns
+    "rev_all_cuts": _measure("report_cuts"),
+    "rev_ytd_mtd_by_region": _measure("revenue_to_date", "Region"),
+    "rev_yoy_by_region": _measure("revenue_year_on_year", "Region"),
+    "rev_yoy_by_product": _measure("revenue_year_on_year", "Description"),
+    "rev_yoy_daily_by_region": _measure("revenue_year_on_year_daily", "Region"),
+    "rev_r3m_by_segment_band": _measure("revenue_three_months", "CustomerSegment", "PriceBand"),
+    "rev_r3m_daily_by_region": _measure("revenue_three_months_daily", "Region"),
+    "rev_running_by_country": _measure(
+        "revenue_running_total", RUNNING_FIRST, RUNNING_LAST, "Country"
+    ),
     # slicers
     "rev_r3m_sliced": _sliced("revenue_three_months"),
     "rev_ytd_mtd_sliced": _sliced("revenue_to_date"),
