@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillspark.functions.numbers import money_sum
 from tillspark.operators.fingerprint import fingerprint
 from tillspark.settings import Adoption, Extract, Settings
-from tillspark.sources import transactions, usage
+from tillspark.sources import records, transactions, usage
 
 HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
 
@@ -149,3 +149,29 @@ def test_fingerprints_keep_fields_and_digits_apart(spark):
 def test_money_totals_have_room(spark):
     amounts = spark.range(20).select(F.lit(1e14).alias("v"))
     assert amounts.select(money_sum(F.col("v"))).first()[0] == 2e15
+
+
+def test_unreadable_records_are_kept_with_their_file(spark, folder):
+    good = "1,A,D,1,12/1/2010 8:26,1,1,France\n"
+    first = write(folder, "a.csv", HEADER + good + "2,B\n" + good + "3,C,D,1,12/1/2010 8:26,1,1,France,more\n")
+    second = write(folder, "b.csv", HEADER + '4,"D,1,12/1/2010 8:26,1,1,France\n' + good)
+    lines, rejects = transactions.read_lines_kept(spark, folder)
+    assert lines.columns == transactions.read_lines(spark, folder).columns
+    assert rows(lines, "invoice_no") == [("1",)] * 3
+    assert [r[0].split(",")[0] for r in rows(rejects, "record")] == ["2", "3", "4"]
+    counts = {r["file"].rsplit("/", 1)[1]: r["records"] for r in records.rejected_counts(rejects).collect()}
+    assert counts == {"a.csv": 2, "b.csv": 1}
+    assert sorted(v for v in records.check_rejects(rejects, 0.5).values()) == [1, 2]
+    with pytest.raises(records.FeedContractError, match=r"50.00% .*a.csv \(2\).*b.csv \(1\)"):
+        records.check_rejects(rejects, 0.4)
+    assert first != second
+    clean, none = transactions.read_lines_kept(spark, write(folder + "/..", f"{Path(folder).name}.csv", HEADER + good))
+    assert clean.count() == 1 and none.count() == 0 and records.check_rejects(none, 0.0) == {}
+
+
+def test_unreadable_events_are_kept(spark, folder):
+    head = "event_ts,user_id,team,event_type,stock_code,feedback_score\n"
+    path = write(folder, "u.csv", head + "2026-04-07 10:00:00,u,T,view,,\n2026-04-07,u\n,,,,,,,\n")
+    events, rejects = usage.read_usage_kept(spark, path)
+    assert rows(events, "user_id", "event_type") == [("u", "view")]
+    assert rows(rejects, "feed", "record") == [("usage", ",,,,,,,"), ("usage", "2026-04-07,u")]

@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -7,9 +8,10 @@ from conftest import line, lines_frame, rows
 from tillspark.operators.checks import IntegrityError
 from tillspark.operators.quality import QualityGateError
 from tillspark.plans.refresh import refresh_files, semantic_from_published
-from tillspark.settings import Adoption, Quality, Recommend, Settings
+from tillspark.settings import Adoption, Extract, Quality, Recommend, Settings
 from tillspark.sources import published
 from tillspark.sources.published import PublishError
+from tillspark.sources.records import FeedContractError
 from tillspark.sources.staging import shared_folder
 
 
@@ -99,8 +101,11 @@ def test_files_to_published_tables_to_semantic_star(spark, folder):
     assert rows(recs.where("stock_code = 'M1'"), "recommended_stock_code", "lift") == [("M2", 2.05)]
     offered = recs.where("stock_code = 'M5'").orderBy("rank").first()
     assert offered["method"] == "content_tfidf" and offered["lift"] is None
-    model = semantic_from_published(spark, root, settings)
+    model = semantic_from_published(spark, root, settings, export=f"{folder}/semantic")
     assert model["fact_sales"].count() == 81 and model["dim_product"].count() == 6
+    exported = spark.read.csv(f"{folder}/semantic/fact_sales", header=True)
+    assert exported.count() == 81 and exported.first()["Date"].startswith("2011-03-")
+    assert len(list(Path(folder, "semantic").iterdir())) == 9
     assert manifest["tables"]["quality_results"] == 9
     assert set(manifest["tables"]) >= {"dim_customer", "dim_date", "quarantine", "fact_sales"}
     # A failing gate leaves its results and the published version.
@@ -112,6 +117,20 @@ def test_files_to_published_tables_to_semantic_star(spark, folder):
     # Staged tables of a run are gone when it ends.
     staged = Path(shared_folder(spark).removeprefix("file:"), spark.sparkContext.applicationId)
     assert not list(staged.glob("run-*"))
+    # Records that cannot be read stop a run, unless a share of them is allowed.
+    Path(folder, "broken.csv").write_text("\n".join([*feed, "1,M1,RED MUG"]) + "\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed|malformed"):
+        refresh_files(spark, f"{folder}/broken.csv", str(events), root, "r2", settings)
+    for limit in (0.001, 0.05):
+        allowed = replace(settings, extract=Extract(max_reject_rate=limit))
+        if limit < 0.01:
+            with pytest.raises(FeedContractError, match="broken.csv \\(1\\)"):
+                refresh_files(spark, f"{folder}/broken.csv", str(events), root, "r2", allowed)
+            continue
+        kept = refresh_files(spark, f"{folder}/broken.csv", str(events), root, "r2", allowed)
+    assert kept["tables"]["rejected_records"] == 1 and kept["metrics"]["rows_source"] == 82
+    assert [*kept["metrics"]["rejected"].values()] == [1]
+    assert published.read_published(spark, root, "rejected_records").first()["record"] == "1,M1,RED MUG"
     # A published table that holds a product twice breaks the star.
     published.publish(spark, root, "r3", {
         **{n: published.read_published(spark, root, n) for n in ("fact_sales", "dim_customer", "quarantine")},

@@ -8,6 +8,7 @@ task.
 
 from __future__ import annotations
 
+import warnings
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -20,19 +21,30 @@ from tillspark.functions.rows import literal_rows
 from tillspark.settings import Adoption
 from tillspark.sources.staging import stage
 
+
+class UnpinnedAnalysisWarning(UserWarning):
+    """No analysis date is configured."""
+
+
 _TALLIES = ("views", "applies", "score_sum", "scores")
 
 
 def as_of(events: DataFrame, settings: Adoption = Adoption()) -> Column:
     """The moment every window is measured back from, as a one-value column.
 
-    A configured day means its last microsecond; without one, the newest event.
+    A configured day means its last microsecond; without one, the newest event, with a
+    warning: events that arrive later then change what an earlier report said.
     """
     if settings.analysis_as_of:
         moment = datetime.fromisoformat(str(settings.analysis_as_of))
         if moment == datetime(moment.year, moment.month, moment.day):
             moment += timedelta(days=1) - timedelta(microseconds=1)
         return F.lit(moment.isoformat(sep=" ")).cast(NTZ)
+    warnings.warn(
+        "analysis_as_of is not set: windows end at the newest event, and a rerun may differ",
+        UnpinnedAnalysisWarning,
+        stacklevel=2,
+    )
     return events.agg(F.max("event_ts").alias("as_of")).scalar()
 
 

@@ -25,10 +25,11 @@ from tillspark.operators.recommend import coverage, recommend
 from tillspark.operators.semantic import build_model
 from tillspark.operators.star import build_star
 from tillspark.settings import Settings
-from tillspark.sources.published import publish, read_published
+from tillspark.sources.published import export_csv, publish, read_published
+from tillspark.sources.records import check_rejects
 from tillspark.sources.staging import side_by_side, stage, stage_all, staging_area, written_rows
-from tillspark.sources.transactions import check_lines, read_lines
-from tillspark.sources.usage import METRIC_COLUMNS, check_events, read_usage
+from tillspark.sources.transactions import check_lines, read_lines, read_lines_kept
+from tillspark.sources.usage import METRIC_COLUMNS, check_events, read_usage, read_usage_kept
 
 LINE_COLUMNS = (
     "invoice_no", "stock_code", "description", "quantity", "invoice_ts", "unit_price",
@@ -131,12 +132,22 @@ def refresh_files(
 
     The rule results are published with the tables. If the gate fails they are
     written to `failed/<run_id>/quality_results`, and the version that is being
-    read stays.
+    read stays. With `extract.max_reject_rate`, records that cannot be read are
+    published as `rejected_records` and counted by file in the manifest.
     """
+    limit = settings.extract.max_reject_rate
     with staging_area(spark):
-        lines = stage(read_lines(spark, lines_csv, settings.extract), "lines")
+        extra, rejected = {}, {}
+        if limit is None:
+            lines = stage(read_lines(spark, lines_csv, settings.extract), "lines")
+            events = stage(read_usage(spark, usage_csv), "usage")
+        else:
+            lines, bad_lines = read_lines_kept(spark, lines_csv, settings.extract)
+            events, bad_events = read_usage_kept(spark, usage_csv)
+            rejected = check_rejects(bad_lines, limit) | check_rejects(bad_events, limit)
+            lines, events = stage(lines, "lines"), stage(events, "usage")
+            extra = {"rejected_records": bad_lines.unionByName(bad_events)}
         check_lines(lines, settings.extract)
-        events = stage(read_usage(spark, usage_csv), "usage")
         check_events(events, settings.adoption)
         try:
             done = refresh(lines, events, settings)
@@ -148,16 +159,24 @@ def refresh_files(
             for r in input_fingerprints(lines, events).collect()
         }
         metrics = {**done.metrics.first().asDict(), "inputs": inputs}
-        tables = {**done.tables, "quality_results": done.results}
+        if limit is not None:
+            metrics["rejected"] = rejected
+        tables = {**done.tables, "quality_results": done.results, **extra}
         return publish(spark, root, run_id, tables, metrics)
 
 
 def semantic_from_published(
-    spark: SparkSession, root: str, settings: Settings = Settings()
+    spark: SparkSession,
+    root: str,
+    settings: Settings = Settings(),
+    entitlements: DataFrame | None = None,
+    export: str | None = None,
 ) -> dict[str, DataFrame]:
     """The semantic star over the version currently published under `root`.
 
-    Raises, naming the tables, when keys are lost or doubled.
+    Raises, naming the tables, when keys are lost or doubled. `entitlements` (UserEmail,
+    Country) replaces the list in the settings. With `export`, a new folder, the nine tables
+    are written there as CSV, once they are checked.
     """
     names = ("fact_sales", "dim_product", "dim_customer", "quarantine")
     fact, product, customer, quarantine = (read_published(spark, root, n) for n in names)
@@ -166,6 +185,10 @@ def semantic_from_published(
     ):
         if dim.groupBy(key).count().where("count > 1").limit(1).count():
             raise IntegrityError(f"published {name} holds a {key} twice")
-    model = build_model(fact, product, customer, quarantine, settings.semantic)
+    model = build_model(
+        fact, product, customer, quarantine, settings.semantic, entitlements=entitlements
+    )
     check_model(model)
+    if export:
+        export_csv(model, export)
     return model

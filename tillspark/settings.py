@@ -102,6 +102,8 @@ class Extract:
     na_tokens: tuple[str, ...] = NA_TOKENS
     # Fields may hold line breaks; each file is then read by one task.
     multi_line: bool = False
+    # The share of records that may be unreadable and are then kept aside; None: none may.
+    max_reject_rate: float | None = None
 
 
 @dataclass(frozen=True)

@@ -4,18 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillspark.functions.dates import midnight, parsed
 from tillspark.settings import Extract
+from tillspark.sources.records import SOURCE_POSITION, FeedContractError, scan, split_records
 
-# Position of a line in the feed; any column or struct that orders lines will do.
-SOURCE_POSITION = "src_pos"
-NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-
+__all__ = ["SOURCE_POSITION", "FeedContractError"]
 
-class FeedContractError(ValueError):
-    """The feed does not look the way the settings say it does."""
+NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def _or_null(value: Column, na_tokens: tuple[str, ...]) -> Column:
@@ -74,24 +70,20 @@ def read_lines(spark: SparkSession, path: str, settings: Extract = Extract()) ->
 
     Quotes inside quoted fields are doubled. A file whose header differs from the
     first one's, or a record with another number of fields, stops the scan with
-    an error that names the file. Line breaks inside fields need
-    `Extract.multi_line`, as such files cannot be split between tasks.
+    an error that names the file; `read_lines_kept` keeps such records. Line breaks
+    inside fields need `Extract.multi_line`: such a file cannot be split, so one task
+    reads it, at some 50 MB a second; feeds of that kind should come in files of up to
+    a few GB.
     """
-    feed = spark.read.options(
-        header=True, quote='"', escape='"', multiLine=settings.multi_line,
-        enforceSchema=False, columnPruning=False, mode="FAILFAST",
-    )
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in feed.csv(path).columns])
-    raw = feed.schema(schema).csv(path)
-    placed = raw.withColumn(
-        SOURCE_POSITION,
-        F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ),
-    )
-    return type_lines(placed, settings)
+    return type_lines(scan(spark, path, settings.multi_line), settings)
+
+
+def read_lines_kept(
+    spark: SparkSession, path: str, settings: Extract = Extract()
+) -> tuple[DataFrame, DataFrame]:
+    """Canonical lines, and the records that cannot be read."""
+    good, rejects = split_records(scan(spark, path, settings.multi_line, keep=True), "lines")
+    return type_lines(good, settings), rejects
 
 
 def extract_profile(lines: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillspark.functions.dates import NTZ
 from tillspark.settings import NA_TOKENS, Adoption
+from tillspark.sources.records import scan, split_records
 from tillspark.sources.transactions import number
 
 EVENT_SCHEMA = (
@@ -21,11 +22,15 @@ class UsageContractError(ValueError):
     """An event would enter a metric with a value the metric cannot mean."""
 
 
-def read_usage(spark: SparkSession, path: str) -> DataFrame:
-    """Scan the event CSV by header name."""
-    names = ("event_ts", "user_id", "team", "event_type", "stock_code", "feedback_score")
-    raw = spark.read.options(header=True, quote='"', escape='"').csv(path).select(*names)
-    said = raw.select(*[F.when(~F.col(c).isin(*NA_TOKENS), F.col(c)).alias(c) for c in names])
+# The columns an event feed must have, by header name.
+FEED_COLUMNS = ("event_ts", "user_id", "team", "event_type", "stock_code", "feedback_score")
+
+
+def type_events(raw: DataFrame) -> DataFrame:
+    """Type a frame of text columns; what cannot be read becomes null."""
+    said = raw.select(
+        *[F.when(~F.col(c).isin(*NA_TOKENS), F.col(c)).alias(c) for c in FEED_COLUMNS]
+    )
     return said.withColumns(
         {
             "event_ts": F.col("event_ts").try_cast(NTZ),
@@ -34,6 +39,17 @@ def read_usage(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_usage(spark: SparkSession, path: str) -> DataFrame:
+    """Scan the event CSV by header name."""
+    return type_events(spark.read.options(header=True, quote='"', escape='"').csv(path))
+
+
+def read_usage_kept(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Events, and the records that cannot be read."""
+    good, rejects = split_records(scan(spark, path, keep=True), "usage")
+    return type_events(good), rejects
+
+
 def event_violations(events: DataFrame, settings: Adoption = Adoption()) -> DataFrame:
     """The events that break a rule, with the rule's name."""
     low, high = settings.csat_scale
