@@ -24,8 +24,12 @@ from tillspark.sources.staging import stage, stage_counted
 COMMON_TERM = 256
 # Bags of one step of a common term that a task looks at together.
 BLOCK = 512
-# Steps in which the length that is left of a vector halves.
+# Steps in which a weight, or the length that is left of a vector, halves; the last one holds
+# all that is smaller.
 STEPS = 4
+LAST_STEP = 32
+# A bag without a score to beat looks at this many times `top_n` bags to get one.
+SEEDS = 8
 # A vector counts as so many narrow rows where a table is sent.
 WIDE = 16
 # Similarities equal to this many places count as tied.
@@ -144,24 +148,33 @@ def _through_rare_terms(
     return both.select("bag", "other", "other_first", _rounded(cosine).alias("cosine"))
 
 
+def _step(value: Column) -> Column:
+    """The step a weight or length falls in; `_most` gives the most it can be."""
+    falls = F.floor(-F.log2(F.greatest(value, F.lit(2.0 ** (-LAST_STEP / STEPS)))) * STEPS)
+    return F.greatest(falls, F.lit(0)).cast("int")
+
+
+def _most(step: Column) -> Column:
+    return F.pow(F.lit(2.0), -step / F.lit(STEPS))
+
+
 def _postings(weights: DataFrame, common_term: int) -> DataFrame:
-    """(bag, term, rest, at, slot) of every common term of a bag.
+    """(bag, term, weight, after, slot) of every common term of a bag.
 
-    Terms stand in one order, rarest first: `at` is the place in the bag, `rest`
-    the length of the bag's common part from that term on. `slot` is the term
-    with the step of `rest` (STEPS steps halve it).
+    Terms stand in one order, rarest first; `after` is the length of the bag's common part
+    behind that term. `slot` is the term with the steps of both (STEPS steps halve them).
     """
     rare_first = W.partitionBy("bag").orderBy("holders", "term")
-    onward = rare_first.rowsBetween(W.currentRow, W.unboundedFollowing)
+    behind = rare_first.rowsBetween(1, W.unboundedFollowing)
     square = F.col("weight") * F.col("weight")
     common = weights.where(F.col("holders") > common_term).select(
         "bag",
         "term",
-        F.sqrt(F.sum(square).over(onward)).alias("rest"),
-        F.row_number().over(rare_first).alias("at"),
+        "weight",
+        F.sqrt(F.coalesce(F.sum(square).over(behind), F.lit(0.0))).alias("after"),
     )
-    step = F.floor(-F.log2("rest") * STEPS).cast("int")
-    return common.withColumn("slot", F.struct("term", step.alias("step")))
+    slot = F.struct("term", _step(F.col("weight")).alias("own"), _step(F.col("after")).alias("rest"))
+    return common.withColumn("slot", slot)
 
 
 def _through_common_terms(
@@ -170,23 +183,31 @@ def _through_common_terms(
 ) -> DataFrame:
     """`best` with the bags that only common terms lead to.
 
-    Two bags whose rarest shared term is x score at most the product of their
-    `rest` at x. So a bag looks, term by term, only at the steps of a term's
-    bags that could still reach its `top_n`-th score: first under its rarest
-    common term, then, with the scores found there, under the others. The bags
-    of a step are dealt over parts of about `block`.
+    Two bags whose rarest shared term is x score at most the product of their weights there
+    and the product of what is left of them behind it. Postings lie in slots by the steps of
+    both, so a slot has a bound for each bag that may look into it. A bag that has no `top_n`
+    offers yet first looks into some of its slots, in the order of that bound, until it has
+    seen enough bags: this gives it a score to beat. Then every bag looks into all slots whose
+    bound reaches its score, and into no other. Inside a slot the same bound, with the true
+    weights, decides which bags are compared in full.
+
+    Both sides of a slot are dealt in parts of about `block`: its postings, and the bags that
+    look into it, so a slot that very many bags open is work for many tasks.
     """
     postings = stage(_postings(weights, common_term), "postings")
     sizes = postings.groupBy("slot").agg(
-        F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts")
+        F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts")
     )
     sizes, slots = stage_counted(sizes, "slots")
     part = F.pmod(F.xxhash64("bag"), F.col("parts")).cast("int")
     held = lookup(postings, sizes, "slot", ["bag"], broadcast_rows, at_most=slots)
-    held = held.select("slot", part.alias("part"), F.col("bag").alias("other"), F.col("rest").alias("_rest"))
-    # A term has a row per step of `rest`, whatever the number of its bags.
+    held = held.select(
+        "slot", part.alias("part"), F.col("bag").alias("other"),
+        F.col("weight").alias("_weight"), F.col("after").alias("_after"),
+    )
+    # A term has a row per pair of steps, whatever the number of its bags.
     steps = sizes.groupBy("slot.term").agg(
-        F.collect_list(F.struct("slot", "parts")).alias("steps")
+        F.collect_list(F.struct("slot", "n", "parts")).alias("steps")
     )
     vectors, _ = stage_counted(
         weights.groupBy("bag")
@@ -194,34 +215,51 @@ def _through_common_terms(
         .join(bags.select("bag", "first_stock"), "bag"),
         "vectors",
     )
-    wanted = bags.where("wanted").select("bag")
+    wanted = postings.join(bags.where("wanted").select("bag"), "bag", "left_semi")
     slack = 2 * 10.0**-PLACES
-    for places in ("at = 1", "at > 1"):
+    bound = lambda x: (
+        F.col("weight") * _most(x["slot"]["own"]) + F.col("after") * _most(x["slot"]["rest"])
+    )
+    ask = ["bag", "weight", "after", "least"]
+    for seeding in (True, False):
         last = best.where(F.col("_at") == top_n).select("bag", F.col("cosine").alias("last"))
         seeking = (
-            postings.where(places)
-            .select("bag", "term", "rest")
-            .join(wanted, "bag", "left_semi")
-            .join(last, "bag", "left")
+            wanted.join(last, "bag", "left")
             .withColumn("least", F.coalesce("last", F.lit(0.0)) - slack)
-            .where("rest >= least")
+            .where(F.sqrt(F.pow("weight", 2) + F.pow("after", 2)) >= F.col("least"))
+            .where(F.col("last").isNull() | F.lit(not seeding))
+            .select(*ask, "term")
         )
-        seeking, left_open = stage_counted(seeking, "seeking")
-        if not left_open:
-            continue
-        reach = lambda x: F.pow(F.lit(2.0), -x["slot"]["step"] / STEPS)
         asked = lookup(seeking, steps, "term", ["bag"], broadcast_rows, at_most=slots)
-        asked = asked.select(
-            "bag", "rest", "least",
-            F.inline(F.filter("steps", lambda x: F.col("rest") * reach(x) >= F.col("least"))),
-        )
-        asked = asked.select(
-            "bag", "rest", "least", "slot",
+        open_ = F.filter("steps", lambda x: bound(x) >= F.col("least"))
+        one = lambda x: F.struct(bound(x).alias("bound"), x["slot"].alias("slot"),
+                                 x["n"].alias("n"), x["parts"].alias("parts"))
+        asked = asked.select(*ask, F.inline(F.transform(open_, one)))
+        if seeding:
+            # A bag's slots are no more than its terms have pairs of steps.
+            order = W.partitionBy("bag").orderBy(F.col("bound").desc(), "slot")
+            before = order.rowsBetween(W.unboundedPreceding, -1)
+            asked = asked.withColumn("seen", F.coalesce(F.sum(F.least("n", F.lit(block))).over(before), F.lit(0)))
+            asked = asked.where(F.col("seen") < SEEDS * top_n).withColumn("parts", F.lit(1))
+        asked, opened = stage_counted(asked.select(*ask, "slot", "parts"), "seeking")
+        if not opened:
+            continue
+        fans = asked.groupBy("slot").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("fans"))
+        fans, many = stage_counted(fans.where("fans > 1"), "fans")
+        fan = F.coalesce("fans", F.lit(1))
+        asked = lookup(asked, fans, "slot", ["bag"], broadcast_rows, at_most=many).select(
+            "bag", "weight", "after", "least", "slot",
+            F.pmod(F.xxhash64("bag"), fan).cast("int").alias("fan"),
             F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
         )
+        spread = lookup(held, fans, "slot", ["other"], broadcast_rows, at_most=many).select(
+            "slot", "part", "other", "_weight", "_after",
+            F.explode(F.sequence(F.lit(0), fan - 1)).alias("fan"),
+        )
+        reach = F.col("weight") * F.col("_weight") + F.col("after") * F.col("_after")
         pairs = (
-            asked.join(held, ["slot", "part"])
-            .where((F.col("bag") != F.col("other")) & (F.col("rest") * F.col("_rest") >= F.col("least")))
+            asked.join(spread, ["slot", "part", "fan"])
+            .where((F.col("bag") != F.col("other")) & (reach >= F.col("least")))
             .select("bag", "other")
             .distinct()
         )
