@@ -21,19 +21,19 @@ are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillspark.llm.text import mixed, packed, unpacked, word_codes, word_hashes
+from tillspark.llm.text import mixed, packed, unpacked, word_digests
 
 WINDOW = 13
 CHUNK_CHARS = 8 << 20
 BUCKET_CHARS = 12 << 20
 LAST = np.iinfo(np.int64).max  # stands for a null doc_id
-SEEDS = (11, 23)
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -75,9 +75,12 @@ def remove_repeats(
             for ids, ranks in zip(rows["ids"], rows["holder"], strict=True)
         ]
         holder = np.concatenate(holders)
-        order = np.lexsort((second, first))
-        new = np.ones(len(order), bool)
-        new[1:] = (np.diff(first[order]) != 0) | (np.diff(second[order]) != 0)
+        order = np.argsort(first)
+        new, other = (np.diff(v[order], prepend=v[order[:1]] + v.dtype.type(1)) != 0 for v in (first, second))
+        if (other & ~new).any():  # equal in the first hash alone
+            order = np.lexsort((second, first))
+            new, other = (np.diff(v[order], prepend=v[order[:1]] + v.dtype.type(1)) != 0 for v in (first, second))
+            new |= other
         least = np.minimum.reduceat(holder[order], np.flatnonzero(new))
         beaten = np.empty(len(order), bool)
         beaten[order] = holder[order] > least[np.cumsum(new) - 1]
@@ -125,18 +128,19 @@ class _Chunk:
         self.null = ids.isna().to_numpy()
         self.ids = np.array([LAST if n else int(i) for i, n in zip(ids, self.null)], np.int64)
         self.rows = [t.encode().split() if isinstance(t, str) else [] for t in rows["text"]]
-        codes, distinct, self.ends = word_codes(self.rows)
-        sizes = np.diff(self.ends)
-        starts = np.arange(len(codes))
+        digests, sizes = word_digests(self.rows)
+        self.ends = np.concatenate(([0], np.cumsum(sizes)))
+        starts = np.arange(len(digests))
         self.doc = np.repeat(np.arange(len(sizes)), sizes)
         self.starts = starts[starts + window <= np.repeat(self.ends[1:], sizes)]
         first, second = (
-            _rolling(word_hashes(distinct, seed)[codes], self.starts, window, base)
-            for seed, base in zip(SEEDS, BASES, strict=True)
+            _rolling(digests[:, k], self.starts, window, base) for k, base in enumerate(BASES)
         )
         second = (second >> np.uint64(48)).astype(np.uint16)
         owner = self.ids[self.doc[self.starts]]
-        order = np.lexsort((second, first))
+        # Equal windows are equal in both; windows equal in the first alone, if there are any,
+        # may give more entries than needed, and the bucket joins those again.
+        order = np.argsort(first)
         first, second, owner = first[order], second[order], owner[order]
         new = np.ones(len(order), bool)
         new[1:] = (np.diff(first) != 0) | (np.diff(second) != 0)
@@ -182,15 +186,21 @@ class _Chunk:
         return frame
 
 
+@lru_cache(maxsize=2 * len(BASES))
+def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of `base` and of its inverse modulo 2^64."""
+    both = []
+    for factor in (base, pow(base, -1, 1 << 64)):
+        powers = np.full(size + 1, factor, np.uint64)
+        powers[0] = 1
+        both.append(np.cumprod(powers, dtype=np.uint64))
+    return both[0], both[1]
+
+
 def _rolling(digests: np.ndarray, starts: np.ndarray, window: int, base: int) -> np.ndarray:
     """Polynomial hash of the window at each start, from prefix sums modulo 2^64."""
     size = len(digests)
-    powers = np.ones(size + 1, np.uint64)
-    powers[1:] = np.uint64(base)
-    powers = np.cumprod(powers, dtype=np.uint64)
+    powers, back = _powers(base, 1 << max(16, size.bit_length()))
     sums = np.zeros(size + 1, np.uint64)
-    np.cumsum(digests * powers[:-1], out=sums[1:])
-    back = np.ones(size + 1, np.uint64)
-    back[1:] = np.uint64(pow(base, -1, 1 << 64))
-    back = np.cumprod(back, dtype=np.uint64)
+    np.cumsum(digests * powers[:size], out=sums[1:])
     return mixed((sums[starts + window] - sums[starts]) * back[starts])

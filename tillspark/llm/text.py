@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +64,20 @@ def word_hashes(distinct: Sequence[bytes], seed: int) -> np.ndarray:
     return np.fromiter((digest(word, seed) for word in distinct), np.uint64, len(distinct))
 
 
+def word_digests(documents: Sequence[Sequence[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """(two 64-bit hashes of each word in order, words of each document). A word is hashed once."""
+    sizes = np.fromiter(map(len, documents), np.int64, len(documents))
+    seen: dict[bytes, int] = {}
+    # A word's code is where it occurs first.
+    codes = np.fromiter(
+        map(seen.setdefault, chain.from_iterable(documents), count()), np.int64, int(sizes.sum())
+    )
+    digests = np.empty((len(codes), 2), np.uint64)
+    whole = b"".join(map(xxhash.xxh3_128_digest, seen))
+    digests[np.fromiter(seen.values(), np.int64, len(seen))] = np.frombuffer(whole, ">u8").reshape(-1, 2)
+    return digests[codes], sizes
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """The 64-bit finaliser that makes every output bit depend on every input bit."""
     values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
