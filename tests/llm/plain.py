@@ -51,35 +51,35 @@ def spark_hash(tokens):
     return seed - (1 << 64) if seed >> 63 else seed
 
 
-def dropped_lines(docs, least_docs=10, similarity=0.7, least_words=3):
+def dropped_lines(docs, least_docs=10, similarity=0.7, long_words=20, short_docs=100):
     """{(doc_id, text): numbers of the lines that go}."""
-    leaves = {}
-    for doc_id, text in {(d[0], d[1]) for d in docs if d[1] is not None}:
+    leaves, keys = {}, {}
+    for doc_id, text in ((d[0], d[1]) for d in docs if d[1] is not None):
         for at, line in enumerate(text.split("\n")):
             tokens = tuple(ANY if re.search("[0-9]", w) else w for w in found_words(line))
-            if len(tokens) >= least_words:
-                leaf = leaves.setdefault((len(tokens), tokens[:2]), {})
-                leaf.setdefault(tokens, []).append((doc_id, text, at))
+            if tokens and sum(w != ANY for w in tokens) >= similarity * len(tokens):
+                leaves.setdefault((len(tokens), tokens[:2]), []).append((tokens, doc_id, text, at))
+    for (size, _), lines in leaves.items():
+        common = {}
+        for tokens, *_ in lines:
+            for place in enumerate(tokens):
+                common[place] = common.get(place, 0) + 1
+        least = short_docs if size <= 2 else 2 if size >= long_words else least_docs
+        for tokens, *place in lines:
+            keys.setdefault(("line", tokens, least), []).append(place)
+            if size > 2:
+                general = tuple(
+                    w if w != ANY and common[at, w] >= least_docs else ANY for at, w in enumerate(tokens)
+                )
+                if sum(w != ANY for w in general) >= similarity * size:
+                    keys.setdefault(("template", general, least_docs), []).append(place)
     gone = {}
-    for leaf in leaves.values():
-        templates = []
-        for tokens in sorted(leaf, key=lambda t: (-len(leaf[t]), spark_hash(t))):
-            best, most = None, -1
-            for template in templates:
-                shared = sum(a == b != ANY for a, b in zip(template[0], tokens, strict=True))
-                if shared > most:
-                    best, most = template, shared
-            if best and most >= similarity * len(tokens):
-                best[0] = [a if a == b else ANY for a, b in zip(best[0], tokens, strict=True)]
-                best[1].extend(leaf[tokens])
-            else:
-                templates.append([list(tokens), list(leaf[tokens])])
-        for _, places in templates:
-            if len({(d, t) for d, t, _ in places}) >= least_docs:
-                first = min((d for d, _, _ in places if d is not None), default=None)
-                for doc_id, text, at in places:
-                    if doc_id != first:
-                        gone.setdefault((doc_id, text), set()).add(at)
+    for (_, _, least), places in keys.items():
+        if len({text for _, text, _ in places}) >= least:
+            first = min((d for d, _, _ in places if d is not None), default=None)
+            for doc_id, text, at in places:
+                if doc_id != first:
+                    gone.setdefault((doc_id, text), set()).add(at)
     return gone
 
 

@@ -91,6 +91,30 @@ def test_secret_spans(spark):
             assert [x for x in kept if x.startswith("live")] == (["live:5:29"] if doc_id == 5 else [])
 
 
+def test_secret_verdicts_on_the_given_table(spark, sql):
+    """Owners and repositories of every value, counted plainly; the smallest table has none."""
+    path = SF_DIR.replace("0.001", "0.01") + "/documents.parquet"
+    docs = sql.execute(f"select doc_id, text, source, lang from '{path}'").fetchall()
+    found = {r["doc_id"]: r["spans"] or [] for r in secrets.scan(spark.read.parquet(path)).collect()}
+    owners, repositories = {}, {}
+    for doc_id, _, source, lang in docs:
+        for x in found[doc_id]:
+            owners.setdefault(x["value"], set()).add(source)
+            repositories.setdefault(x["value"], set()).add((source, lang))
+    said = Counter()
+    for spans in found.values():
+        for x in spans:
+            value = x["value"]
+            assert (x["n_owners"], x["n_repositories"]) == (len(owners[value]), len(repositories[value]))
+            plain = (
+                "copied" if len(owners[value]) > 1 else "placeholder" if re.search(secrets.PLACEHOLDER, value)
+                else "spread" if len(repositories[value]) > 1 else "live"
+            )
+            assert x["verdict"] == plain
+            said[plain] += 1
+    assert said.total()
+
+
 def plain_fingerprint(text):
     words = text.encode().lower().split()
     shingles = [b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []

@@ -149,6 +149,7 @@ def test_templates_with_tables_too_large_to_send(spark, edges, monkeypatch):
     sent = bag(templates.drop_templates(docs).collect())
     monkeypatch.setattr(templates, "SENT_ROWS", 0)
     assert bag(templates.drop_templates(docs).collect()) == sent
+    assert bag(templates.drop_templates(docs, sent_rows=3).collect()) == sent
 
 
 def test_components_at_the_edges(spark, edges):
@@ -193,22 +194,36 @@ def test_line_templates(spark, edges, table):
         assert sum(r["n_dropped"] for r in found) == 29
 
 
-def test_large_leaves_are_split_by_further_words(spark):
-    # 4 leading words in common, 60 different ends: a leaf limit of 5 leaves no line unsplit.
-    ends = ["ab", "cd", "ef", "gh", "ij", "kl"]
-    lines = [f"served by the same {a} {b} {c} node" for a in ends for b in ends for c in ends[:2]]
-    docs = [(i, f"{lines[i % len(lines)]}\nown{'x' * i} line here") for i in range(3 * len(lines))]
+@pytest.mark.parametrize("forms", [3_500, 4_500, 20_000])
+def test_a_template_does_not_depend_on_the_size_of_its_leaf(spark, forms):
+    """One line a document with a name of its own, among lines of the same leaf that differ."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def name(k):
+        return "".join(letters[k // 26**at % 26] for at in range(4))
+
+    docs = [(k, f"posted by {name(k)} in the news today ok\nposted by {' '.join(name(k + at) for at in range(6))}")
+            for k in range(forms)]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
-    for limit, least in ((4_000, 10), (5, 3), (1, 3), (1, 4)):
-        found = templates.drop_templates(frame, leaf_lines=limit, least_docs=least).collect()
-        gone = sum(r["n_dropped"] for r in found)
-        if limit == 1:  # every line by itself, in three documents
-            assert gone == (2 * len(lines) if least == 3 else 0)
-        elif limit == 4_000:
-            expected = plain.dropped_lines(docs, least_docs=least)
-            assert gone == sum(map(len, expected.values()))
-        else:
-            assert gone >= 2 * len(lines)
+    found = templates.drop_templates(frame).agg({"n_dropped": "sum", "n_lines": "sum"}).first()
+    assert (found["sum(n_dropped)"], found["sum(n_lines)"]) == (forms - 1, 2 * forms)
+
+
+def test_lines_of_few_documents_short_lines_and_copies(spark):
+    long, middle = (" ".join(f"{c}{chr(97 + k)}" for k in range(n)) for c, n in (("l", 24), ("m", 12)))
+    docs = [(k, f"own{chr(97 + k)} text\n{long}\n{middle}\nread more\n1 2 3 4") for k in range(9)]
+    docs += [(100 + k, f"other{chr(97 + k % 26)}{chr(97 + k // 26)} text\nread more\n1 2 3 4") for k in range(120)]
+    docs += [(300 + k, "a whole copy has\nmany equal lines here") for k in range(50)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = {r["doc_id"]: r["text"].split("\n") for r in templates.drop_templates(frame).collect()}
+    assert all((long in kept[k]) == (k == 0) for k in range(9))  # long: from two texts on
+    assert all(middle in kept[k] for k in range(9))  # nine texts are too few for a shorter one
+    assert sum("read more" in text for text in kept.values()) == 1
+    assert all("1 2 3 4" in text for k, text in kept.items() if k < 300)
+    assert all(len(kept[300 + k]) == 2 for k in range(50))
+    assert plain.dropped_lines([(*d, "en", "a") for d in docs]).keys() == {
+        (d, t) for d, t in docs if kept[d] != t.split("\n")
+    }
 
 
 def test_operators_leave_clashing_columns(spark, edges):

@@ -122,10 +122,10 @@ with recursive eighths as (
 crc as (select list(c order by k) as crcs from eighths where step = 8),
 plain as (
   select row_number() over () as r, doc_id, {_WORDS} as ws,
-    xor(list_reduce(
+    case when doc_id is not null then xor(list_reduce(
       list_prepend(4294967295::bigint, list_transform(
         string_split(cast(doc_id as varchar), ''), lambda x: ascii(x)::bigint)),
-      lambda a, x: xor(a >> 8, crcs[1 + xor(a & 255, x)])), 4294967295::bigint) as h
+      lambda a, x: xor(a >> 8, crcs[1 + xor(a & 255, x)])), 4294967295::bigint) end as h
   from documents, crc),
 placed as (
   select *, len(ws) as n, h // 10 as g,

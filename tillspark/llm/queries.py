@@ -45,6 +45,7 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         count(2).cast("long").alias("n_hex"),
         F.sha2(secrets.joined(base), 256).alias("base_sha256"),
         secrets.joined(F.col("spans")).alias("spans"),
+        F.array_join(F.transform("spans", lambda x: x["verdict"]), ",").alias("verdicts"),
     )
 
 

@@ -13,6 +13,10 @@ more owners are widely copied examples.
 Positions come from the text between finds: the gap before each find and its own
 length, summed in order. They count code points, end exclusive.
 
+Every span, base ones too, says what its value is (`verdict`): a `copied` example, of more than
+`max_owners` owners; a `placeholder` by its wording; `spread` through several repositories of
+its owners; or `live`, which only one repository has.
+
 A null text is empty and has no spans; null repositories and owners count as one
 each. Repeated rows each get their spans. The result has one row per document.
 """
@@ -63,7 +67,8 @@ def scan(
     owner: Sequence[str] = ("source",),
     max_owners: int = MAX_OWNERS,
 ) -> DataFrame:
-    """doc_id, spans (array of start, kind, stop, value, n_owners, n_repositories) by start."""
+    """doc_id, spans (array of start, kind, stop, value, n_owners, n_repositories, verdict) by
+    start."""
     text = F.coalesce(F.col("text"), F.lit(""))
     arrays = [
         _finds(text, 0, ASSIGN, 2),
@@ -122,7 +127,15 @@ def scan(
     )
     counted = lookup(finds, spread, "hash", ["row", "start"])
     counted = counted.where(base | (F.col("n_owners") <= max_owners))
-    span = F.struct("start", "kind", "stop", "value", "n_owners", "n_repositories")
+    verdict = (
+        F.when(F.col("n_owners") > max_owners, "copied")
+        .when(F.col("value").rlike(PLACEHOLDER), "placeholder")
+        .when(F.col("n_repositories") > 1, "spread")
+        .otherwise("live")
+    )
+    span = F.struct(
+        "start", "kind", "stop", "value", "n_owners", "n_repositories", verdict.alias("verdict")
+    )
     spans = counted.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"))
     return rows.select("row", "doc_id").join(spans, "row", "left").drop("row")
 

@@ -1,28 +1,28 @@
 """Line dedup with a log-template tree.
 
-Lines are masked (a word with a digit becomes `<*>`) and parsed in a tree of
-fixed depth: by number of words, then by leading words. In a leaf, masked lines
-are taken from the most frequent down; each joins the template it shares most
-words with, if it shares at least `similarity` of all, and its other words
-become `<*>`. A template found in at least `least_docs` documents is dropped
-from all of them but the one with the smallest doc_id, so no text leaves the
-corpus altogether.
-
-Lines travel as hashes. Leaves with too few lines to hold a recurring template
-are left out before any text is shuffled, and equal lines are one counted row. A
-leaf with over `leaf_lines` different lines is split by further leading words,
-and if that is not enough each masked line is its own template there; so the
-work of a leaf is bounded while every line is still counted.
-
-Lines of fewer than `least_words` words stay. Null texts stay null. A document
-may become empty but is never dropped. Rows equal in doc_id and text are one
-document; a null doc_id comes after all others. Other columns are kept.
+Lines are masked (a word with a digit becomes `<*>`) and parsed in a tree of fixed depth: by
+number of words, then by leading words. In a leaf, a word stays if at least `least_docs` lines of
+the leaf have it at that place; the others are variable fields and become `<*>` too. That is the
+line's template, if `similarity` of its words are left, else the masked line is. So what becomes
+of a line depends on counts alone: a leaf of any size gives the same templates in one task or in
+many, and equal lines are one counted row before any word is counted.
+
+A template found in at least `least_docs` different texts is dropped from all documents but the
+one with the smallest doc_id, so no text leaves the corpus altogether. A masked line of
+`long_words` or more is dropped from two different texts on, and lines of one or two words only
+from `short_docs` on. Lines with less than `similarity` of their words unmasked stay, as tables
+of numbers do. Documents with equal texts count as one: whole copies are not evidence of a
+template, and are left to the operators that remove them whole.
+
+Lines travel as hashes, words only for leaves with enough lines to hold a template. Hot leaves,
+words, lines and templates are met by lookups that split them.
+
+Null texts stay null. A document may become empty but is never dropped. Rows equal in doc_id and
+text are one document; a null doc_id comes after all others. Other columns are kept.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,135 +30,136 @@ from tillspark.llm.text import words
 from tillspark.operators.lookup import lookup
 from tillspark.sources.staging import stage, stage_counted
 
-DEPTH, DEEPER = 2, 6
+DEPTH = 2
 SIMILARITY = 0.7
 LEAST_DOCS = 10
-LEAST_WORDS = 3
-LEAF_LINES = 4_000
-GROUP_LINES = 20_000
+LONG_WORDS = 20
+SHORT_WORDS, SHORT_DOCS = 2, 100
 SENT_ROWS = 200_000
 ANY = "<*>"
+DIGITS = "123456789"
 
 
-def _lines(docs: DataFrame, least_words: int) -> DataFrame:
-    """doc_id, body (hash of the text), line, tokens, leaf of every line that can be a template."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+def _masked(found: Column) -> Column:
+    return F.transform(found, lambda w: F.when(w.contains("0"), ANY).otherwise(w))
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    """doc_id, body (hash of the text), line, found (words, digits being 0), leaf of every line
+    with a word."""
+    text = F.translate(F.coalesce(F.col("text"), F.lit("")), DIGITS, "0" * len(DIGITS))
     rows = docs.select("doc_id", F.xxhash64("text").alias("body"), F.posexplode(F.split(text, "\n")))
-    rows = rows.withColumn("found", words(F.col("col"))).where(F.size("found") >= least_words)
-    masked = F.transform("found", lambda w: F.when(w.rlike("[0-9]"), ANY).otherwise(w))
-    rows = rows.select("doc_id", "body", F.col("pos").alias("line"), masked.alias("tokens"))
-    return rows.withColumn("leaf", _node(DEPTH))
+    rows = rows.select("doc_id", "body", F.col("pos").alias("line"), words(F.col("col")).alias("found"))
+    rows = rows.where(F.size("found") > 0)
+    return rows.withColumn(
+        "leaf", F.xxhash64(F.size("found"), _masked(F.slice("found", 1, DEPTH)))
+    )
 
 
-def _node(depth: int) -> Column:
-    return F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth))
+def line_templates(
+    distinct: DataFrame, least_docs: int, similarity: float, sent_rows: int | None = None
+) -> DataFrame:
+    """mask and template (a hash) of each masked line of `distinct` (leaf, mask, tokens, n), for
+    lines whose template is not the masked line itself."""
+    sent_rows = SENT_ROWS if sent_rows is None else sent_rows
+    places = distinct.select("leaf", "mask", "n", F.posexplode("tokens").alias("at", "word"))
+    places = places.where(F.col("word") != ANY)
+    held = F.struct("leaf", "at", "word")
+    common = places.groupBy(held.alias("held")).agg(F.sum("n").alias("lines"))
+    common = common.where(F.col("lines") >= least_docs).select("held", F.lit(True).alias("stays"))
+    places = places.select("mask", held.alias("held"))
+    kept = lookup(places, common, "held", ["mask"], sent_rows, measured_on=places)
+    kept = kept.where("stays").groupBy("mask").agg(
+        F.array_sort(F.collect_list(F.struct("held.at", "held.word"))).alias("words")
+    )
+    sizes = distinct.select("leaf", "mask", F.size("tokens").alias("size"))
+    named = kept.join(sizes, "mask").where(F.size("words") >= F.col("size") * F.lit(similarity))
+    return named.select("mask", F.xxhash64("leaf", "size", "words").alias("template"))
 
 
 def recurring_lines(
     docs: DataFrame,
     least_docs: int = LEAST_DOCS,
     similarity: float = SIMILARITY,
-    least_words: int = LEAST_WORDS,
-    leaf_lines: int = LEAF_LINES,
+    long_words: int = LONG_WORDS,
+    short_docs: int = SHORT_DOCS,
+    sent_rows: int | None = None,
 ) -> DataFrame:
     """(doc_id, body, dropped): numbers of the lines each document loses."""
-    lines = _lines(docs, least_words)
+    sent_rows = SENT_ROWS if sent_rows is None else sent_rows
+    unmasked = F.size(F.filter("found", lambda w: ~w.contains("0")))
+    lines = _lines(docs).where(unmasked >= F.size("found") * F.lit(similarity))
+    tokens = _masked(F.col("found"))
     places = stage(
-        lines.select("doc_id", "body", "line", "leaf", F.xxhash64("tokens").alias("mask")),
+        lines.select(
+            "doc_id", "body", "line", "leaf", F.xxhash64(tokens).alias("mask"),
+            F.size("found").alias("size"),
+        ),
         "template-lines",
-    )
-    counts = places.groupBy("leaf", "mask").agg(F.count("*").alias("n"))
+    )
+    counts = places.groupBy("leaf", "mask", "size").agg(F.count("*").alias("n"))
+    counts = stage(counts.where((F.col("n") > 1) | (F.col("size") > SHORT_WORDS)), "template-counts")
+    # Leaves whose lines can have a template of their own, or recur.
     leaves, many = stage_counted(
-        counts.groupBy("leaf")
+        counts.where(F.col("size") > SHORT_WORDS).groupBy("leaf")
         .agg(F.sum("n").alias("rows"), F.count("*").alias("masks"))
-        .where(F.col("rows") >= least_docs),
+        .where((F.col("rows") >= least_docs) & (F.col("masks") > 1))
+        .select("leaf", F.lit(True).alias("held")),
         "template-leaves",
-    )
-    held = lookup(
-        lines, leaves.select("leaf", "masks"), "leaf", ["doc_id", "line"], SENT_ROWS,
-        measured_on=places, at_most=many,
     )
+    held = lookup(
+        lines, leaves, "leaf", ["doc_id", "line"], sent_rows, measured_on=places, at_most=many
+    )
     distinct = (
-        held.where("masks is not null")
-        .groupBy("leaf", "masks", "tokens")
+        held.where("held")
+        .groupBy("leaf", tokens.alias("tokens"))
         .agg(F.count("*").alias("n"))
-        .select("leaf", "masks", "tokens", "n", _node(DEEPER).alias("deeper"))
+        .withColumn("mask", F.xxhash64("tokens"))
     )
-    distinct, total = stage_counted(distinct, "template-distinct")
-    # Nodes that stay too large one level down: at most one for every `leaf_lines` rows.
-    full = distinct.where(F.col("masks") > leaf_lines).groupBy("deeper")
-    full = full.agg(F.count("*").alias("below")).where(F.col("below") > leaf_lines)
-    full, many = stage_counted(full, "template-full")
-    distinct = distinct.join(F.broadcast(full) if many <= SENT_ROWS else full, "deeper", "left")
-    mask = F.xxhash64("tokens")
-    node = F.when(F.col("masks") <= leaf_lines, F.col("leaf")).otherwise(
-        F.when(F.col("below").isNull(), F.col("deeper")).otherwise(mask)
+    distinct = stage(distinct, "template-distinct")
+    templates = line_templates(distinct, least_docs, similarity, sent_rows)
+    # A line recurs as its template, or as a masked line by itself.
+    recurs = (F.col("n") >= least_docs) | ((F.col("n") > 1) & (F.col("size") >= long_words))
+    masks = counts.select("mask", "size", recurs.alias("recurs"))
+    named = masks.join(templates, "mask", "left").where("recurs or template is not null")
+    alone = F.when(F.col("size") <= SHORT_WORDS, short_docs).otherwise(
+        F.when(F.col("size") >= long_words, 2).otherwise(least_docs)
     )
-    groups = 1 + total // GROUP_LINES
-    distinct = distinct.select(
-        "tokens", "n", mask.alias("mask"), node.alias("node"),
-        F.pmod(F.xxhash64(node), F.lit(groups)).alias("bucket"),
-    )
-
-    def parse(rows: pd.DataFrame) -> pd.DataFrame:
-        masks, names = [], []
-        for _, leaf in rows.groupby("node", sort=True):
-            if leaf["n"].sum() >= least_docs:
-                leaf = leaf.sort_values(["n", "mask"], ascending=[False, True])
-                own = leaf["mask"].to_numpy()
-                masks.append(own)
-                names.append(own[leaf_templates(list(leaf["tokens"]), similarity)])
-        empty = [np.empty(0, np.int64)]
-        return pd.DataFrame(
-            {"mask": np.concatenate(masks or empty), "template": np.concatenate(names or empty)}
+    keys = F.array_compact(
+        F.array(
+            F.when(F.col("recurs"), F.struct(F.col("mask").alias("key"), alone.alias("least"))),
+            F.when(
+                F.col("template").isNotNull(),
+                F.struct(F.col("template").alias("key"), F.lit(least_docs).alias("least")),
+            ),
         )
-
-    parsed = distinct.groupBy("bucket").applyInPandas(parse, "mask long, template long")
-    found = lookup(places.drop("leaf"), parsed, "mask", ["doc_id", "line"], SENT_ROWS)
-    found = found.where("template is not null").select("doc_id", "body", "line", "template")
-    found = stage(found, "template-found")
-    held = found.select("template", "doc_id", "body").distinct()
+    )
+    named, masks = stage_counted(named.select("mask", keys.alias("keys")), "template-keys")
+    found = lookup(
+        places.select("doc_id", "body", "line", "mask"), named, "mask", ["doc_id", "line"],
+        sent_rows, at_most=masks,
+    )
+    found = stage(
+        found.where("keys is not null").select("doc_id", "body", "line", F.inline("keys")),
+        "template-found",
+    )
+    bodies = found.groupBy("key", "least", "body").agg(F.min("doc_id").alias("first"))
     drop = (
-        held.groupBy("template")
-        .agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
-        .where(F.col("n") >= least_docs)
-        .select("template", "first")
+        bodies.groupBy("key", "least")
+        .agg(F.count("*").alias("n"), F.min("first").alias("first"))
+        .where("n >= least")
+        .select("key", "first", F.lit(True).alias("goes"))
     )
     drop, recurring = stage_counted(drop, "template-recurring")
-    held = lookup(
-        found, drop.withColumn("dropped", F.lit(True)), "template", ["doc_id", "line"], SENT_ROWS,
-        at_most=recurring,
-    )
+    gone = lookup(found, drop, "key", ["doc_id", "line"], sent_rows, at_most=recurring)
     return (
-        held.where("dropped")
+        gone.where("goes")
         .where(~F.col("doc_id").eqNullSafe(F.col("first")))
         .groupBy("doc_id", "body")
         .agg(F.collect_set("line").alias("dropped"))
     )
 
 
-def leaf_templates(lines: list, similarity: float) -> np.ndarray:
-    """For each line, most frequent first, the line that began its template."""
-    ids: dict[str, int] = {ANY: 0}
-    codes = np.array([[ids.setdefault(w, len(ids)) for w in line] for line in lines], np.int32)
-    size, width = codes.shape
-    templates = np.empty_like(codes)
-    began = np.empty(size, np.int64)
-    owner = np.empty(size, np.int64)
-    count = 0
-    for at, line in enumerate(codes):
-        if count:
-            shared = ((templates[:count] == line) & (line != 0)).sum(axis=1)
-            best = int(shared.argmax())
-            if shared[best] >= similarity * width:
-                templates[best][templates[best] != line] = 0
-                owner[at] = began[best]
-                continue
-        templates[count], began[count], owner[at] = line, at, at
-        count += 1
-    return owner
-
-
 def drop_templates(docs: DataFrame, **limits) -> DataFrame:
     """`docs` with recurring lines gone from `text`, and n_lines, n_dropped, which replace columns
     of those names."""

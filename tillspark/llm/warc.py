@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillspark.llm.text import byte_column
+from tillspark.operators.lookup import lookup
 from tillspark.sources.staging import stage
 
 REVISIT_BYTES = 100
@@ -48,11 +49,10 @@ def write_archives(
         hashed.where(F.length(payload) >= revisit_bytes).select("page_id", "digest"), "warc-ids"
     )
     first = ids.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n"))
-    revisits = (
-        ids.join(first.where("n > 1").drop("n"), "digest")
-        .where("page_id is null or page_id > refers_to")
-        .distinct()
-    )
+    # A page copied through a third of the crawl is one digest: its rows are dealt out.
+    several = lookup(ids, first.where("n > 1").withColumn("held", F.lit(True)), "digest", ["page_id"])
+    later = F.col("page_id").isNull() | (F.col("page_id") > F.col("refers_to"))
+    revisits = several.where(F.col("held") & later).select("page_id", "digest", "refers_to").distinct()
     chosen = [revisits[c].alias(f"r_{c}") for c in ("page_id", "digest", "refers_to")]
     revisits = revisits.select(*chosen)
     same = hashed["page_id"].eqNullSafe(revisits["r_page_id"])

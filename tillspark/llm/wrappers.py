@@ -3,13 +3,15 @@
 A page is a stream of tags and texts. The streams of a host are aligned one after
 the other into a wrapper: where both have the same tag, they go on inside it; a
 tag that comes again makes a repeated group, one that only some pages have an
-optional group, and texts become slots. A wrapper has as many parts as a host has
-different tag paths, however many pages are aligned.
+optional group, and texts become slots, which keep a hash of the text as long as
+all pages agree on it. A wrapper has as many parts as a host has different tag
+paths, however many pages are aligned; where a page has too many names for them,
+unmarked parts are told apart by their tags alone.
 
 Every task folds its pages into one wrapper per host; partial wrappers are merged
 per (host, salt), then per host, so a host with a third of all pages is never
-gathered. Slots are judged on the finished wrapper: parts that are named or
-marked as menus, headers, footers, sidebars, notices, adverts, forms, scripts,
+gathered. Slots are judged on the finished wrapper: text that all pages have in
+common is the template's; parts that are tagged or wholly named as menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles or comments go, but an article or main element goes only if it lies in another
 main part and all its names are such marks; on pages with an article or main part all else goes, on
 others parts that are mostly links over all pages of the host go. Pages are then
@@ -31,12 +33,18 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillspark.operators.lookup import lookup
 from tillspark.sources.staging import stage
 
 SALTS = 64
+#: Pages a text must be the same on to be the template's.
+LEAST_PAGES = 5
+VARIES = "varies"
+MOST_PARTS = 256
 SENT_BYTES = 32 << 20
 LINK_SHARE = 0.5
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
@@ -57,20 +65,22 @@ APART = frozenset(
     "head title script style noscript template iframe object svg canvas nav menu footer aside form "
     "button select textarea input dialog audio video".split()
 )
-MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|banners?|promos?|promotions?|"
-    r"sponsor(?:ed|s)?|cookies?|consent|notices?|notifications?|alerts?|popups?|modals?|overlays?|"
-    r"sidebars?|side|aside|menus?|nav|navbar|navigation|breadcrumbs?|masthead|topbar|header|"
-    r"footers?|comments?|comment-?list|replies|reply|disqus|discussion|related|recommended|"
-    r"recommendations|share|sharing|social|newsletter|subscribe|subscription|signup|login|search|"
-    r"toolbar|widgets?|pagination|pager|copyright|disclaimer|banner|complementary|contentinfo|"
-    r"skip|hidden)(?:$|[\s_-])",
-    re.IGNORECASE,
+# Names of such parts, and of the boxes around them. A class, id or role is a mark if it is made
+# of these alone, with a name of a part among them: 'site-footer' is one, 'entry-header' is not.
+MARKS = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising aside banner banners breadcrumb "
+    "breadcrumbs comment commentlist comments complementary consent contentinfo cookie cookies "
+    "copyright disclaimer discussion disqus footer footers header hidden login masthead menu menus "
+    "modal modals nav navbar navigation newsletter notice notices notification notifications "
+    "overlay overlays pager pagination popup popups promo promos promotion promotions "
+    "recommendations recommended related replies reply search share sharing side sidebar sidebars "
+    "signup skip social sponsor sponsored sponsors subscribe subscription toolbar topbar widget "
+    "widgets".split()
 )
-# Names that say whether a page has such a part ('no-sidebar', 'comments-open') mark no part.
-STATE = re.compile(
-    r"(?:no|has|have|with|without|not)[_-].*|.*[_-](?:open|opened|closed|enabled|disabled|on|off)",
-    re.IGNORECASE,
+BOXES = frozenset(
+    "area bar bottom box buttons column container form global group inner item items left links "
+    "list main mobile outer panel placeholder primary region right row secondary section site slot "
+    "thread top unit wrap wrapper zone".split()
 )
 MAIN = frozenset(("article", "main"))
 TOKEN = re.compile(
@@ -131,14 +141,24 @@ def signature(tag: str, attributes: str) -> str:
 
 
 def folded(node: Node, linked: bool = False) -> list:
-    """The wrapper of one page: [signature, optional, repeated, pages, text, link text, parts]."""
-    part = [node.sign, 0, 0, 1, 0, 0, []]
+    """The wrapper of one page: [signature, optional, repeated, pages, text, link text, parts,
+    slot], the slot being the text's hash."""
+    part = _part(node, linked)
+    part[7] = _slot(part[7])
+    return part
+
+
+def _part(node: Node, linked: bool) -> list:
+    """`folded`, with the text itself in the place of the slot."""
+    part = [node.sign, 0, 0, 1, 0, 0, [], ""]
+    said = []
     for kid in node.kids:
         if isinstance(kid, Node):
             if kid.tag in INLINE:
-                below = folded(kid, linked or kid.tag == "a")
+                below = _part(kid, linked or kid.tag == "a")
                 part[4] += below[4]
                 part[5] += below[5]
+                said.append(below[7])
                 _aligned(part[6], below[6], True)
             else:
                 _aligned(part[6], [folded(kid, linked)], True)
@@ -146,9 +166,17 @@ def folded(node: Node, linked: bool = False) -> list:
             size = len(kid.strip())
             part[4] += size
             part[5] += size if linked else 0
+            said.append(kid)
+    part[7] = "".join(said)
     return part
 
 
+def _slot(text: str) -> str | None:
+    """A hash of a text without its outer and repeated white space; None for no text."""
+    plain = " ".join(text.split())
+    return xxhash.xxh64_hexdigest(plain.encode()) if plain else None
+
+
 def _aligned(parts: list, more: list, same_page: bool) -> None:
     """Align `more` with `parts` in place."""
     at = 0 if not same_page else len(parts)
@@ -170,6 +198,26 @@ def _aligned(parts: list, more: list, same_page: bool) -> None:
     if not same_page:
         for skipped in parts[at:]:
             skipped[1] = 1
+    if len(parts) > MOST_PARTS:
+        _gathered(parts)
+
+
+def _gathered(parts: list) -> None:
+    """Parts of too many names, as one per page, become one part a tag, in place.
+
+    Marked and main parts keep their names; so the size of a wrapper does not grow with the
+    pages of its host. Pages read such a part by its tag.
+    """
+    kept: dict[str, list] = {}
+    for part in parts:
+        sign = part[0] if _kind(part[0]) else part[0].partition(" ")[0]
+        if sign in kept:
+            _merged(kept[sign], part)
+            kept[sign][2] = 1
+        else:
+            part[0] = sign
+            kept[sign] = part
+    parts[:] = kept.values()
 
 
 def _merged(one: list, other: list, same_page: bool = False) -> list:
@@ -178,15 +226,24 @@ def _merged(one: list, other: list, same_page: bool = False) -> list:
     one[3] += 0 if same_page else other[3]
     one[4] += other[4]
     one[5] += other[5]
+    if one[7] is None or other[7] is None:
+        one[7] = one[7] or other[7]
+    elif one[7] != other[7]:
+        one[7] = VARIES
     _aligned(one[6], other[6], False)
     return one
 
 
 def judged(wrapper: list) -> list:
     """Which slots are the article: nested [taken, {signature: parts}], first for pages with a
-    main part, if the host has any, last for other pages."""
+    main part, if the host has any, last for other pages.
+
+    A slot whose text is the same on all the pages that have it, at least half of the host's and
+    `LEAST_PAGES`, is text of the template, not of an article, provided that other slots of the
+    article vary: pages that are all alike have no template to tell.
+    """
 
-    def walk(part: list, inside: bool, has_main: bool) -> list:
+    def walk(part: list, inside: bool, has_main: bool, met: list) -> list:
         kind = _kind(part[0])
         if inside and _named_apart(part[0]):
             kind = "apart"
@@ -195,10 +252,21 @@ def judged(wrapper: list) -> list:
         inside = inside or kind == "main"
         links = part[5] > LINK_SHARE * part[4]
         taken = inside if has_main else not links
-        return [taken, {p[0]: walk(p, inside, has_main) for p in part[6]}]
+        out = [taken, {p[0]: walk(p, inside, has_main, met) for p in part[6]}]
+        if taken and part[7] is not None:
+            met.append((part, out))
+        return out
 
     main = _holds(wrapper, lambda p: _kind(p[0]) == "main")
-    return [walk(wrapper, False, has_main) for has_main in ([True, False] if main else [False])]
+    verdicts = []
+    for has_main in [True, False] if main else [False]:
+        met: list = []
+        verdicts.append(walk(wrapper, False, has_main, met))
+        if any(part[7] == VARIES for part, _ in met):
+            for part, out in met:
+                often = part[3] >= LEAST_PAGES and 2 * part[3] >= wrapper[3]
+                out[0] = part[7] == VARIES or not often
+    return verdicts
 
 
 def _holds(part: list, test) -> bool:
@@ -222,7 +290,8 @@ def _kind(sign: str) -> str:
 
 
 def _marked(name: str) -> bool:
-    return bool(MARKED.search(name)) and not STATE.fullmatch(name)
+    parts = [part for part in re.split("[-_]+", name.lower()) if part]
+    return any(p in MARKS for p in parts) and all(p in MARKS or p in BOXES for p in parts)
 
 
 def _named_apart(sign: str) -> bool:
@@ -248,7 +317,7 @@ def extracted(page: str, verdicts: list) -> str:
                 met |= walk(kid, taken, parts)
             else:
                 blocks.append([])
-                met |= walk(kid, *parts.get(kid.sign, (False, {})))
+                met |= walk(kid, *(parts.get(kid.sign) or parts.get(kid.tag) or (False, {})))
                 blocks.append([])
         return met
 
@@ -296,8 +365,12 @@ def extract(pages: DataFrame, sent_bytes: int = SENT_BYTES) -> DataFrame:
     """page_id, url, text of every page."""
     wrappers = stage(infer(pages), "html-wrappers")
     size = wrappers.agg(F.sum(F.length("wrapper"))).first()[0] or 0
-    chosen = F.broadcast(wrappers) if size <= sent_bytes else wrappers
-    rows = _host(pages).join(chosen, "host", "left").select("page_id", "url", "html", "host", "wrapper")
+    rows = _host(pages)
+    if size <= sent_bytes:
+        rows = rows.join(F.broadcast(wrappers), "host", "left")
+    else:  # hosts with very many pages are split
+        rows = lookup(rows, wrappers, "host", ["page_id", "url"], 0, measured_on=rows.select("host"))
+    rows = rows.select("page_id", "url", "html", "host", "wrapper")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         verdicts: dict[str, list] = {}
