@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,3 +40,32 @@ def neighbours(words: Column) -> Column:
     rest = F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
     pairs = F.zip_with(words, rest, lambda a, b: F.concat_ws(" ", a, b))
     return F.slice(pairs, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
+
+
+def tallied(found: Column) -> Column:
+    """The distinct members of an array with how often each occurs, by member: the runs of the
+    sorted array, so a row is counted by itself and nothing is shuffled."""
+    ordered = F.array_sort(found)
+
+    def runs(array: Column) -> Column:
+        starts = F.filter(
+            F.transform(array, lambda x, i: F.when(~x.eqNullSafe(F.get(array, i - 1)), i)),
+            lambda i: i.isNotNull(),
+        )
+        return once(
+            starts,
+            lambda at: F.transform(
+                at,
+                lambda i, k: F.struct(
+                    F.get(array, i).alias("term"),
+                    (F.coalesce(F.get(at, k + 1), F.size(array)) - i).cast("long").alias("tf"),
+                ),
+            ),
+        )
+
+    return once(ordered, runs)
+
+
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often `body` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -14,11 +14,11 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tillspark.functions.text import terms
+from tillspark.functions.text import tallied, terms
 from tillspark.operators.lookup import BROADCAST_ROWS, lookup
 from tillspark.operators.star import UNKNOWN_DESCRIPTION
 from tillspark.settings import Recommend
-from tillspark.sources.staging import stage, stage_counted
+from tillspark.sources.staging import stage, stage_counted, stage_observed
 
 # A term held by more bags than this is common: bags are not paired through it.
 COMMON_TERM = 256
@@ -51,29 +51,35 @@ def term_weights(
     documents a row stands for, and `holders` how many rows hold the term. Terms
     in a single document are left out, unless that leaves no term at all.
     """
-    weight = F.col(copies) if copies else F.lit(1)
-    counted, rows = stage_counted(
-        docs.select(key, weight.cast("long").alias("_copies"), F.explode(found).alias("term"))
-        .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("tf"), F.first("_copies").alias("_copies")),
-        "terms",
-    )
-    n = docs.select(F.sum(weight.cast("long")).alias("n")).scalar()
+    weight = (F.col(copies) if copies else F.lit(1)).cast("long")
+    # A document stays one row with its terms counted in it; terms are shuffled to be counted,
+    # and once more to come together with their counts.
+    held = F.when(F.size(found) > 0, tallied(found))
+    bags, seen = stage_observed(
+        docs.select(key, weight.alias("_copies"), held.alias("_terms")), "terms",
+        copies=F.sum("_copies"), terms=F.sum(F.size("_terms")),
+    )
+    n, rows = F.lit(seen["copies"] or 0), seen["terms"] or 0
+    counted = bags.select(key, "_copies", F.inline("_terms"))
     df = counted.groupBy("term").agg(
         F.sum("_copies").alias("df"), F.count(F.lit(1)).alias("holders")
     )
+    df, terms_known = stage_counted(df, "vocabulary") if rows > broadcast_rows else (df, rows)
     floor = df.select(F.least(F.lit(2), F.max("df")).alias("floor")).scalar()
     vocabulary = df.where(F.col("df") >= floor)
     idf = F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0
     weighted = (
-        lookup(counted, vocabulary, "term", [key, "term"], broadcast_rows, at_most=rows)
+        lookup(counted, vocabulary, "term", [key, "term"], broadcast_rows, at_most=terms_known)
         .where(F.col("df").isNotNull())
         .withColumn("_raw", F.col("tf") * idf)
     )
     # A document's terms are no more than its text held in one row.
-    length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(W.partitionBy(key)))
-    return weighted.select(
-        key, "term", "tf", "df", "holders", (F.col("_raw") / length).alias("weight")
+    one = F.struct("term", "tf", "df", "holders", "_raw")
+    whole = weighted.groupBy(key).agg(
+        F.sqrt(F.sum(F.col("_raw") * F.col("_raw"))).alias("_length"), F.collect_list(one).alias("_all")
+    )
+    return whole.select(key, "_length", F.inline("_all")).select(
+        key, "term", "tf", "df", "holders", (F.col("_raw") / F.col("_length")).alias("weight")
     )
 
 
