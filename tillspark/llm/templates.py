@@ -23,10 +23,9 @@ text are one document; a null doc_id comes after all others. Other columns are k
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillspark.llm.text import words
 from tillspark.operators.lookup import lookup
 from tillspark.sources.staging import stage, stage_counted
 
@@ -37,23 +36,28 @@ LONG_WORDS = 20
 SHORT_WORDS, SHORT_DOCS = 2, 100
 SENT_ROWS = 200_000
 ANY = "<*>"
-DIGITS = "123456789"
+SPACES = r"[\x20\x09-\x0D]+"
 
 
-def _masked(found: Column) -> Column:
-    return F.transform(found, lambda w: F.when(w.contains("0"), ANY).otherwise(w))
+def _lines(docs: DataFrame, similarity: float) -> DataFrame:
+    """doc_id, body (hash of the text), line, masked (words joined by one space), size, leaf of
+    every line with a word and `similarity` of its words unmasked.
 
-
-def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, body (hash of the text), line, found (words, digits being 0), leaf of every line
-    with a word."""
-    text = F.translate(F.coalesce(F.col("text"), F.lit("")), DIGITS, "0" * len(DIGITS))
+    Lines stay strings until a leaf is known to matter: a line is masked, measured and hashed
+    whole, and only lines with a digit are searched for the words that hold one.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", F.xxhash64("text").alias("body"), F.posexplode(F.split(text, "\n")))
-    rows = rows.select("doc_id", "body", F.col("pos").alias("line"), words(F.col("col")).alias("found"))
-    rows = rows.where(F.size("found") > 0)
-    return rows.withColumn(
-        "leaf", F.xxhash64(F.size("found"), _masked(F.slice("found", 1, DEPTH)))
-    )
+    plain = F.trim(F.regexp_replace("col", SPACES, " "))
+    rows = rows.select("doc_id", "body", F.col("pos").alias("line"), plain.alias("plain"))
+    rows = rows.where(F.col("plain") != "")
+    digits = F.regexp_replace("plain", "[^ ]*[0-9][^ ]*", ANY)
+    masked = F.when(F.col("plain").rlike("[0-9]"), digits).otherwise(F.col("plain"))
+    rows = rows.select("doc_id", "body", "line", masked.alias("masked"))
+    without = lambda part: F.length("masked") - F.length(F.replace("masked", F.lit(part)))
+    rows = rows.withColumns({"size": without(" ") + 1, "_any": without(ANY) / len(ANY)})
+    rows = rows.where(F.col("size") - F.col("_any") >= F.col("size") * F.lit(similarity)).drop("_any")
+    return rows.withColumn("leaf", F.xxhash64("size", F.substring_index("masked", " ", DEPTH)))
 
 
 def line_templates(
@@ -87,16 +91,11 @@ def recurring_lines(
 ) -> DataFrame:
     """(doc_id, body, dropped): numbers of the lines each document loses."""
     sent_rows = SENT_ROWS if sent_rows is None else sent_rows
-    unmasked = F.size(F.filter("found", lambda w: ~w.contains("0")))
-    lines = _lines(docs).where(unmasked >= F.size("found") * F.lit(similarity))
-    tokens = _masked(F.col("found"))
+    lines = _lines(docs, similarity)
     places = stage(
-        lines.select(
-            "doc_id", "body", "line", "leaf", F.xxhash64(tokens).alias("mask"),
-            F.size("found").alias("size"),
-        ),
+        lines.select("doc_id", "body", "line", "leaf", F.xxhash64("masked").alias("mask"), "size"),
         "template-lines",
-    )
+    )
     counts = places.groupBy("leaf", "mask", "size").agg(F.count("*").alias("n"))
     counts = stage(counts.where((F.col("n") > 1) | (F.col("size") > SHORT_WORDS)), "template-counts")
     # Leaves whose lines can have a template of their own, or recur.
@@ -112,9 +111,9 @@ def recurring_lines(
     )
     distinct = (
         held.where("held")
-        .groupBy("leaf", tokens.alias("tokens"))
+        .groupBy("leaf", "masked")
         .agg(F.count("*").alias("n"))
-        .withColumn("mask", F.xxhash64("tokens"))
+        .select("leaf", "n", F.xxhash64("masked").alias("mask"), F.split("masked", " ").alias("tokens"))
     )
     distinct = stage(distinct, "template-distinct")
     templates = line_templates(distinct, least_docs, similarity, sent_rows)
