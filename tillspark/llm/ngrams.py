@@ -14,12 +14,12 @@ asked and what is counted are folded per chunk before they are shuffled, and the
 answers are bytes. The counts cover every training document.
 
 A level is a sorted sequence in Elias-Fano form. Successors of one context are
-sought relative to it: context rank times the word range plus the word ascends
-over the whole level, and pointers, monotone as well, tell where a context
-starts. The levels lie in one file that is mapped into memory and already
+stored relative to the last one of the context before, so the whole level
+ascends; the pointers of a context, monotone as well, tell where its successors
+start and stop, and a word is sought among them. The levels lie in one file that is mapped into memory and already
 unlinked, so nothing stays on the executor.
 
-Tokens are the words of the lower-cased (A-Z) text and one end. Null and empty
+Words are compared by 64-bit hashes. Tokens are the words of the lower-cased (A-Z) text and one end. Null and empty
 texts have the end only. A null doc_id is never held out. Repeated rows count
 each time. Without training documents everything is scored by the uniform law.
 """
@@ -50,40 +50,69 @@ LOWEST = -9.0
 
 
 class EliasFano:
-    """An ascending sequence: low bits in full, high bits as a unary run in a bit vector."""
+    """An ascending sequence: low bits in full, high bits as a unary run in a bit vector.
+
+    The bit vector lies in 64-bit words with the ones before each word; the k-th one or zero is
+    found by a search among these and inside one word, all in the mapped file.
+    """
 
     def __init__(self, values: np.ndarray, levels: Levels):
         self.size = len(values)
         top = int(values[-1]) + 1 if self.size else 1
         self.shift = np.uint64(max(0, (top // max(1, self.size)).bit_length() - 1))
         high = (values >> self.shift).astype(np.int64)
-        bits = np.zeros(self.size + (int(high[-1]) if self.size else 0) + 1, bool)
+        self.zeros = (int(high[-1]) if self.size else 0) + 1
+        bits = np.zeros(-(-(self.size + self.zeros) // 64) * 64, bool)
         bits[high + np.arange(self.size)] = True
         low = values & ((np.uint64(1) << self.shift) - np.uint64(1))
         width = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64)
                      if int(self.shift) <= np.dtype(k).itemsize * 8)
+        words = np.packbits(bits, bitorder="little").view("<u8")
+        before = np.concatenate(([0], np.cumsum(np.bitwise_count(words), dtype=np.int64)[:-1]))
         self.low = levels.kept(low.astype(width))
-        self.bits = levels.kept(np.packbits(bits))
-        self.slots = len(bits)
-        #: Where each high part ends; fixed once, as every search starts from it.
-        self.zeros = np.flatnonzero(~bits)
+        self.words = levels.kept(words)
+        self.before = levels.kept(before.astype(np.uint32 if self.size < 1 << 32 else np.int64))
+
+    def _placed(self, k: np.ndarray, ones: bool) -> np.ndarray:
+        """Where in the bit vector the k-th one, or zero, stands."""
+        words, before = self.words(), self.before()
+        if ones:
+            word = np.searchsorted(before, k.astype(before.dtype), "right") - 1
+            left = k - before[word].astype(np.int64)
+            bits = words[word]
+        else:
+            gone = np.arange(len(before)) * 64 - before
+            word = np.searchsorted(gone, k, "right") - 1
+            left = k - gone[word]
+            bits = ~words[word]
+        place = word * 64
+        for width in (32, 16, 8, 4, 2, 1):
+            part = bits & np.uint64((1 << width) - 1)
+            held = np.bitwise_count(part).astype(np.int64)
+            further = left >= held
+            left = np.where(further, left - held, left)
+            bits = np.where(further, bits >> np.uint64(width), part)
+            place = place + further * width
+        return place
+
+    def at(self, places: np.ndarray) -> np.ndarray:
+        """The values at some places."""
+        high = (self._placed(places, True) - places).astype(np.uint64)
+        return (high << self.shift) | self.low()[places].astype(np.uint64)
 
     def decoded(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.bits(), count=self.slots))
-        high = (ones - np.arange(self.size)).astype(np.uint64)
-        return (high << self.shift) | self.low().astype(np.uint64)
+        return self.at(np.arange(self.size))
 
     def found(self, wanted: np.ndarray) -> np.ndarray:
         """Position of each wanted value, or -1. Successor search: the unary run of the high bits
         gives the range in which the low bits are sought."""
         if not self.size:
             return np.full(len(wanted), -1)
-        zeros = self.zeros
         high = (wanted >> self.shift).astype(np.int64)
-        inside = high < len(zeros)
-        high = np.minimum(high, len(zeros) - 1)
-        first = np.where(high > 0, zeros[high - 1] - (high - 1), 0)
-        end = zeros[high] - high
+        inside = high < self.zeros
+        high = np.minimum(high, self.zeros - 1)
+        first = np.where(high > 0, self._placed(np.maximum(high - 1, 0), False) - (high - 1), 0)
+        end = self._placed(high, False) - high
         low = self.low()
         sought = (wanted & ((np.uint64(1) << self.shift) - np.uint64(1))).astype(low.dtype)
         at, stop = first.copy(), end.copy()
@@ -123,12 +152,14 @@ class TrieShard:
         """Distinct (context, word) pairs in order, their counts and the context's count."""
         levels = Levels()
         heads = np.flatnonzero(np.diff(context, prepend=context[:1] ^ np.uint64(1)) != 0)
-        rank = np.cumsum(np.isin(np.arange(len(context)), heads)) - 1
         self.words, word_rank = np.unique(word, return_inverse=True)
-        self.range = len(self.words) + 1
         self.contexts = EliasFano(context[heads], levels)
         self.pointers = EliasFano(np.append(heads, len(context)).astype(np.uint64), levels)
-        self.successors = EliasFano((rank * self.range + word_rank).astype(np.uint64), levels)
+        # A context's successors stand above the last one of the context before.
+        last = np.append(heads[1:], len(context)) - 1
+        above = np.cumsum(np.concatenate(([0], word_rank[last][:-1] + 1))) if len(heads) else heads
+        base = np.repeat(above, np.diff(np.append(heads, len(context))))
+        self.successors = EliasFano((base + word_rank).astype(np.uint64), levels)
         taken = np.minimum(discount(count), count)
         self.codes = levels.kept(quantised((count - taken) / np.maximum(total, 1)))
         share = taken / np.maximum(total, 1)
@@ -150,8 +181,14 @@ class TrieShard:
         rank = self.contexts.found(context)
         place = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
         known = (rank >= 0) & (self.words[place] == word)
-        at = self.successors.found((np.maximum(rank, 0) * self.range + place).astype(np.uint64))
-        return np.where(known & (at >= 0), self.codes()[at], 0).astype(np.uint8)
+        # The pointers name the context's range; its successors are relative to the one before.
+        start = self.pointers.at(np.maximum(rank, 0)).astype(np.int64)
+        stop = self.pointers.at(np.maximum(rank, 0) + 1).astype(np.int64)
+        before = self.successors.at(np.maximum(start - 1, 0)).astype(np.int64)
+        base = np.where(start > 0, before + 1, 0)
+        at = self.successors.found((base + place).astype(np.uint64))
+        known &= (at >= start) & (at < stop)
+        return np.where(known, self.codes()[at], 0).astype(np.uint8)
 
 
 def discount(count: np.ndarray) -> np.ndarray:
