@@ -23,7 +23,7 @@ text are one document; a null doc_id comes after all others. Other columns are k
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillspark.operators.lookup import lookup
@@ -36,7 +36,9 @@ LONG_WORDS = 20
 SHORT_WORDS, SHORT_DOCS = 2, 100
 SENT_ROWS = 200_000
 ANY = "<*>"
-SPACES = r"[\x20\x09-\x0D]+"
+# White space but for the line feed, and words with a digit.
+SPACES = r"[\x20\x09\x0B-\x0D]+"
+NUMBERED = "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
 
 
 def _lines(docs: DataFrame, similarity: float) -> DataFrame:
@@ -44,20 +46,29 @@ def _lines(docs: DataFrame, similarity: float) -> DataFrame:
     every line with a word and `similarity` of its words unmasked.
 
     Lines stay strings until a leaf is known to matter: a line is masked, measured and hashed
-    whole, and only lines with a digit are searched for the words that hold one.
+    whole, and only lines with a digit are searched for the words that hold one. Lines are
+    masked before they become rows, as a row's expressions may be computed again for each use.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("body"), F.posexplode(F.split(text, "\n")))
-    plain = F.trim(F.regexp_replace("col", SPACES, " "))
-    rows = rows.select("doc_id", "body", F.col("pos").alias("line"), plain.alias("plain"))
-    rows = rows.where(F.col("plain") != "")
-    digits = F.regexp_replace("plain", "[^ ]*[0-9][^ ]*", ANY)
-    masked = F.when(F.col("plain").rlike("[0-9]"), digits).otherwise(F.col("plain"))
-    rows = rows.select("doc_id", "body", "line", masked.alias("masked"))
-    without = lambda part: F.length("masked") - F.length(F.replace("masked", F.lit(part)))
-    rows = rows.withColumns({"size": without(" ") + 1, "_any": without(ANY) / len(ANY)})
-    rows = rows.where(F.col("size") - F.col("_any") >= F.col("size") * F.lit(similarity)).drop("_any")
-    return rows.withColumn("leaf", F.xxhash64("size", F.substring_index("masked", " ", DEPTH)))
+    text = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), SPACES, " ")
+    plain = F.transform(F.split(text, "\n"), lambda x: F.trim(x))
+    masked = F.transform(
+        plain, lambda x: F.when(x.rlike("[0-9]"), F.regexp_replace(x, NUMBERED, ANY)).otherwise(x)
+    )
+
+    def measured(x: Column) -> Column:
+        held = lambda part: F.length(x) - F.length(F.replace(x, F.lit(part)))
+        hidden = F.when(x.contains(ANY), held(ANY) / len(ANY)).otherwise(0)
+        return F.struct(x.alias("masked"), (held(" ") + 1).alias("size"), hidden.alias("hidden"))
+
+    rows = docs.select(
+        "doc_id", F.xxhash64("text").alias("body"),
+        F.posexplode(F.transform(masked, measured)).alias("line", "x"),
+    ).select("doc_id", "body", "line", "x.*")
+    rows = rows.where("masked <> ''").where(
+        F.col("size") - F.col("hidden") >= F.col("size") * F.lit(similarity)
+    )
+    leaf = F.xxhash64("size", F.substring_index("masked", " ", DEPTH))
+    return rows.drop("hidden").withColumn("leaf", leaf)
 
 
 def line_templates(
