@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tillspark.llm import decontamination, mixing, quality, simhash, templates
 from tillspark.llm.text import table
-from tillspark.sources.staging import shared_folder
+from tillspark.sources.staging import delete, shared_folder, staging_area
 
 OWN = ("doc_id", "text", "lang", "source", "n_chars")
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -95,10 +95,14 @@ ORACLE_SQL = None  # outliers, templates and fingerprints are beyond SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the last stage, read from where it wrote them. What a stage staged, and
+    what the stage before wrote, is deleted when it is done."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/pipeline-{uuid.uuid4().hex}"
     for number, (_, stage) in enumerate(STAGES):
-        path = f"{folder}/{number}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with staging_area(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
+        docs = spark.read.parquet(f"{folder}/{number}")
+        if number:
+            delete(spark, f"{folder}/{number - 1}")
     return docs
