@@ -51,9 +51,9 @@ from tillspark.sources.staging import stage, stage_counted
 SHINGLE = 5
 PERCENT = 80
 SEED = 42
-CHUNK_BYTES = 6 << 20
-SENT_BYTES = 24 << 20
-RANGE_CHARS = 16 << 20
+CHUNK_BYTES = 4 << 20
+SENT_BYTES = 16 << 20
+RANGE_CHARS = 10 << 20
 SPARE_BITS = 6
 PART_ROWS = 2_000
 PART_TOKENS = 2_000_000
