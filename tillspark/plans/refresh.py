@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillspark.functions.numbers import percent
-from tillspark.operators.adoption import measure_adoption, usage_facts
+from tillspark.operators.adoption import measure_adoption
 from tillspark.operators.basket import co_purchase_rules
 from tillspark.operators.checks import IntegrityError, check_model
 from tillspark.operators.fingerprint import fingerprint
@@ -89,35 +90,41 @@ def refresh(lines: DataFrame, events: DataFrame, settings: Settings = Settings()
     Every table and the rule results are computed and staged; so should `lines` be.
     Steps that do not read each other's tables run side by side.
     """
-    spark = lines.sparkSession
-    first = side_by_side(
-        spark,
-        flagged=lambda: stage_flagged(lines, settings.quality),
-        facts=lambda: usage_facts(events, settings.adoption),
+    done = side_by_side(
+        lines.sparkSession,
+        lines=lambda: _line_tables(lines, settings),
+        adoption=lambda: stage_all(measure_adoption(events, settings.adoption)),
     )
-    flagged, counts = first["flagged"]
+    flagged, counts, tables = done["lines"]
+    tables |= done["adoption"]
+    metrics = run_metrics(
+        flagged, tables["dim_product"], tables["recommendations"], tables["adoption_headline"],
+        settings, counts,
+    )
+    return Refresh(tables, rule_results(flagged, counts=counts), metrics)
+
+
+def _line_tables(
+    lines: DataFrame, settings: Settings
+) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
+    """Flagged lines, their counts, and every table made of them; raises at the gate."""
+    flagged, counts = stage_flagged(lines, settings.quality)
     enforce_gate(flagged, settings.quality, counts=counts)
     star = build_star(clean_lines(flagged))
     quarantine = quarantined_lines(flagged)
-    done = side_by_side(
-        spark,
-        dim_product=lambda: stage(star["dim_product"], "dim_product"),
-        rules=lambda: stage(co_purchase_rules(star["fact_sales"], settings.recommend), "rules"),
-        fact_sales=lambda: stage(star["fact_sales"], "fact_sales"),
-        dim_customer=lambda: stage(star["dim_customer"], "dim_customer"),
-        dim_date=lambda: stage(star["dim_date"], "dim_date"),
+    rules = lambda: co_purchase_rules(star["fact_sales"], settings.recommend)
+    # The rules take longest and are needed next, so their jobs are the first in the queue.
+    tables = side_by_side(
+        lines.sparkSession,
+        rules=lambda: stage(rules(), "rules"),
+        **{name: partial(stage, df, name) for name, df in star.items()},
         quarantine=lambda: stage(quarantine, "quarantine"),
-        adoption=lambda: stage_all(measure_adoption(events, settings.adoption, first["facts"])),
     )
-    adoption, rules, products = done.pop("adoption"), done.pop("rules"), done["dim_product"]
+    known, products = tables.pop("rules"), tables["dim_product"]
     recs = recommend(
-        done["fact_sales"], products, settings.recommend, written_rows(products), rules
-    )
-    tables = {**done, "recommendations": stage(recs, "recommendations"), **adoption}
-    metrics = run_metrics(
-        flagged, products, tables["recommendations"], adoption["adoption_headline"], settings, counts
+        tables["fact_sales"], products, settings.recommend, written_rows(products), known
     )
-    return Refresh(tables, rule_results(flagged, counts=counts), metrics)
+    return flagged, counts, {**tables, "recommendations": stage(recs, "recommendations")}
 
 
 def refresh_files(
