@@ -44,8 +44,6 @@ def lookup(
     the same rows, for a `left` that would be computed again to count its keys;
     `hot_keys` are its hot keys, if they are known.
     """
-    if at_most is None:
-        at_most = _rows_at_most(right)
     if at_most is None or (at_most > broadcast_rows and hot_keys is None):
         right, at_most = stage_counted(right, "lookup")
     if at_most <= broadcast_rows:
@@ -77,8 +75,9 @@ def lookup(
     return dealt.join(rest, [on, "_deal"], "left").select(*left.columns, *found)
 
 
-def _rows_at_most(right: DataFrame) -> int | None:
-    """Rows of a lookup table that reads one staged table and constants; None if unknown."""
+def rows_at_most(right: DataFrame) -> int | None:
+    """Rows of a lookup table that is a projection or a part of one staged table, with constant
+    rows at most; None if it reads anything else. Not for tables that explode what they read."""
     rows = written_rows(right)
     return None if rows is None else rows + CONSTANTS
 
@@ -108,12 +107,12 @@ def lookup_all(
     broadcast_rows: int = BROADCAST_ROWS,
     hot_slots: int = HOT_SLOTS,
 ) -> DataFrame:
-    """`lookup` in several tables (right, key), written ones each, one after the other.
+    """`lookup` in several tables (right, key), each a part of a written one, one after the other.
 
     The hot keys of all of them are found in one scan of `left`, which must be written too,
     and only if some table is too large to be sent.
     """
-    sizes = [_rows_at_most(right) for right, _ in sides]
+    sizes = [rows_at_most(right) for right, _ in sides]
     large = [on for (_, on), rows in zip(sides, sizes) if rows is None or rows > broadcast_rows]
     hot = hot_values(left, large, hot_slots) if large else {}
     out = left

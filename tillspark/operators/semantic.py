@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillspark.functions.dates import NTZ, calendar, midnight, required, year_start
 from tillspark.functions.numbers import half_even
 from tillspark.functions.rows import literal_rows
-from tillspark.operators.lookup import BROADCAST_ROWS, lookup, lookup_all
+from tillspark.operators.lookup import BROADCAST_ROWS, lookup, lookup_all, rows_at_most
 from tillspark.operators.numbering import number_rows, value_ranks
 from tillspark.operators.quality import RULES, Rule
 from tillspark.settings import (
@@ -159,7 +159,7 @@ def dim_customer(customer: DataFrame, country: DataFrame) -> DataFrame:
     homes = country.where(F.col("CountryKey") != UNKNOWN_KEY).select(
         F.col("Country").alias("country"), "CountryKey"
     )
-    placed = lookup(customer, homes, "country", ["customer_id"])
+    placed = lookup(customer, homes, "country", ["customer_id"], at_most=rows_at_most(country))
     rows = number_rows(placed, [F.col("customer_id")], "CustomerKey").select(
         "CustomerKey",
         F.col("customer_id").cast("string").alias("CustomerID"),
