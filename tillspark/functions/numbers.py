@@ -40,7 +40,6 @@ def in_units(amount: Column) -> Column:
     return amount.cast("double") / F.lit(1e4)
 
 
-def price_mean(value: Column) -> Column:
-    """Plain mean of unit prices, independent of row order."""
-    total = F.sum(value.cast("decimal(18,6)")).cast("double")
-    return F.try_divide(total, F.count(value).cast("double"))
+def exact_price(value: Column) -> Column:
+    """A unit price as a decimal, so that a mean does not depend on row order."""
+    return value.cast("decimal(18,6)")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillspark.functions.dates import calendar, midnight, required
-from tillspark.functions.numbers import half_even, money_sum, price_mean
+from tillspark.functions.numbers import exact_price, half_even, in_units, money_sum, ten_thousandths
+from tillspark.operators.lookup import HOT_SLOTS, SPREAD, hot_values
 
 UNKNOWN_DESCRIPTION = "UNKNOWN"
 UNKNOWN_COUNTRY = "Unknown"
@@ -39,14 +40,48 @@ def most_used(df: DataFrame, key: str, value: str) -> DataFrame:
     return counts.groupBy(key).agg(best.alias(value))
 
 
-def dim_product(clean: DataFrame) -> DataFrame:
-    sales = fact_sales(clean)
-    measures = sales.groupBy("stock_code").agg(
-        F.count_distinct("invoice_no").alias("n_invoices"),
-        F.sum("quantity").alias("units_sold"),
-        money_sum(F.col("revenue")).alias("revenue"),
-        price_mean(F.col("unit_price")).alias("avg_unit_price"),
+def dim_product(clean: DataFrame, hot_slots: int = HOT_SLOTS) -> DataFrame:
+    """One row per product. `clean` should be read from a written table.
+
+    Lines are shuffled once for the figures, by product, without running sums beside them, and
+    folded where they arrive; only one row a product travels on. Lines of hot products are dealt
+    out, and their invoices counted by themselves.
+    """
+    hot = hot_values(clean, ["stock_code"], hot_slots)["stock_code"]
+    busy = F.col("stock_code").isNull()
+    if hot:
+        busy = busy | F.col("stock_code").isin(*hot)
+    deal = 1 + F.pmod(F.xxhash64("invoice_no", "quantity", "unit_price", "invoice_ts"), F.lit(SPREAD))
+    dealt = clean.select(
+        "stock_code", "invoice_no", "quantity", "unit_price",
+        F.when(busy, deal).otherwise(0).alias("_part"),
+    ).repartition("stock_code", "_part")
+    revenue = half_even(F.col("quantity") * F.col("unit_price"), 4)
+    parts = dealt.groupBy("stock_code", "_part").agg(
+        F.count_distinct(F.when(F.col("_part") == 0, F.col("invoice_no"))).alias("_invoices"),
+        F.sum("quantity").alias("_units"),
+        F.sum(ten_thousandths(revenue)).alias("_amount"),
+        F.sum(exact_price(F.col("unit_price"))).alias("_prices"),
+        F.count("unit_price").alias("_priced"),
+    )
+    measures = parts.groupBy("stock_code").agg(
+        F.sum("_invoices").alias("_invoices"),
+        F.sum("_units").alias("units_sold"),
+        in_units(F.sum("_amount")).alias("revenue"),
+        F.try_divide(F.sum("_prices").cast("double"), F.sum("_priced").cast("double")).alias(
+            "avg_unit_price"
+        ),
+    )
+    # One row per hot product and one without a code.
+    apart = clean.where(busy).groupBy(F.col("stock_code").alias("_code")).agg(
+        F.count_distinct("invoice_no").alias("_apart")
     )
+    measures = measures.join(
+        F.broadcast(apart), F.col("stock_code").eqNullSafe(F.col("_code")), "left"
+    ).select(
+        "stock_code", F.coalesce("_apart", "_invoices").alias("n_invoices"),
+        "units_sold", "revenue", "avg_unit_price",
+    )
     names = most_used(clean, "stock_code", "description")
     return measures.join(names, "stock_code", "left").withColumn(
         "description", F.coalesce("description", F.lit(UNKNOWN_DESCRIPTION))
