@@ -14,9 +14,12 @@ LEAST_BITS, MOST_BITS = 10, 26
 WORD = 64
 
 
-def bits_for(values: int) -> int:
-    """Bits that give so many values two buckets each, within the bounds."""
-    return max(LEAST_BITS, min(MOST_BITS, values.bit_length() + 1))
+def bits_for(values: int, spare: int = 1) -> int:
+    """Bits that give so many values 2 ** `spare` buckets each, within the bounds.
+
+    With few full buckets, one value in about 2 ** (`spare` + 1) is let through by chance.
+    """
+    return max(LEAST_BITS, min(MOST_BITS, values.bit_length() + spare))
 
 
 def bucket_of(bits: int, *columns: str | Column) -> Column:
@@ -29,9 +32,14 @@ def bitmap_of(buckets: DataFrame, bits: int) -> Column:
     held = buckets.groupBy(F.floor(F.col("bucket") / WORD).alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place)).alias("bits")
     )
-    every = buckets.sparkSession.range(max(1, (1 << bits) // WORD)).withColumnRenamed("id", "word")
+    return words_of(held, max(1, (1 << bits) // WORD))
+
+
+def words_of(held: DataFrame, count: int) -> Column:
+    """The words (word, bits) 0 to `count` - 1 as one array; those not held are zero."""
+    every = held.sparkSession.range(count).withColumnRenamed("id", "word")
     word = F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
-    # One row of fixed size: all words, in order.
+    # One row of bounded size: all words, in order.
     whole = every.join(held, "word", "left").agg(F.array_sort(F.collect_list(word)).alias("words"))
     return whole.select(F.col("words.bits").alias("bitmap")).scalar()
 

@@ -19,6 +19,9 @@ from tillspark.sources.transactions import SOURCE_POSITION
 
 LINE_KEY = ("invoice_no", "stock_code", "quantity", "unit_price", "invoice_ts")
 FIRST_POSITION = "_first_pos"
+# A hash seen twice takes one of 2 to the power of so many buckets: lines without a copy that are
+# let through travel three times.
+SPARE = 4
 
 
 class QualityGateError(ValueError):
@@ -153,7 +156,7 @@ def with_first(
             keyed, first_positions(copies), "_line", [SOURCE_POSITION], broadcast_rows,
             hot_slots, at_most=at_most,
         )
-    bits = bits_for(seen["rows"])
+    bits = bits_for(seen["rows"], SPARE)
     buckets = bitmap_of(twice.select(bucket_of(bits, "_hash").alias("bucket")), bits)
     perhaps = may_hold(buckets, bucket_of(bits, "_hash"))
     copies = hashed.where(perhaps).withColumn("_line", F.struct(*LINE_KEY))
