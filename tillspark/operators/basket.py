@@ -17,6 +17,8 @@ BASKET_SPREAD = 64
 FILTER_FROM = 8_000_000
 # A basket of more products is paired in parts of about this many.
 TILE = 512
+# Frequent products take one of 2 to the power of so many buckets of their bitmap.
+SPARE = 4
 
 
 def basket_items(fact: DataFrame, product: str = "stock_code") -> DataFrame:
@@ -55,7 +57,7 @@ def pairable_items(
     sizes = items.groupBy("invoice_no").agg(F.count(F.lit(1)).alias("size"))
     oversized = sizes.where(F.col("size") > max_basket_size).select("invoice_no")
     at_most = None if rows is None else rows // (max_basket_size + 1)
-    if at_most is None or at_most > broadcast_rows:
+    if rows is None or rows > FILTER_FROM or at_most > broadcast_rows:
         oversized, at_most = stage_counted(oversized, "oversized")
     if at_most <= broadcast_rows:
         return items.join(F.broadcast(oversized), "invoice_no", "left_anti")
@@ -130,25 +132,39 @@ def pair_counts(
     broadcast_rows: int = BROADCAST_ROWS,
     rows: int | None = None,
     min_count: int = 1,
-    products: int | None = None,
     tile: int = TILE,
     filter_from: int = FILTER_FROM,
     bucket_bits: int | None = None,
+    per_item: DataFrame | None = None,
 ) -> DataFrame:
     """Per unordered pair (a < b): baskets holding both, and the first of them.
 
     Only pairs of `min_count` baskets or more. With such a limit, products in fewer baskets are
-    left out first; then all pairs are counted by buckets of their hash, and only pairs in
-    buckets that reach the limit are counted by themselves, so that pairs too rare to matter are
-    folded where they arise and never shuffled. Both passes read the lists from a written table.
-    Up to `filter_from` items or pairs, a step would cost more than what it saves from the shuffle.
+    left out first, by a bitmap of the others, if they hold a tenth of the items; then all pairs
+    are counted by buckets of their hash, and only pairs in buckets that reach the limit are
+    counted by themselves, so that pairs too rare to matter are folded where they arise and never
+    shuffled. Both passes read the lists from a written table. Up to `filter_from` items or pairs,
+    or with so many pairs that most buckets would reach the limit, a step would cost more than
+    what it saves from the shuffle. `per_item` (stock_code, n) are the baskets of each product,
+    if they are written.
     """
     kept = pairable_items(items, max_basket_size, broadcast_rows, rows)
     if min_count > 1 and (rows is None or rows > filter_from):
-        frequent = items.groupBy("stock_code").agg(F.count(F.lit(1)).alias("_n"))
-        frequent = frequent.where(F.col("_n") >= min_count)
-        kept = lookup(kept, frequent, "stock_code", ["invoice_no"], broadcast_rows, at_most=products)
-        kept = kept.where(F.col("_n").isNotNull()).drop("_n")
+        if per_item is None:
+            per_item = stage(
+                items.groupBy("stock_code").agg(F.count(F.lit(1)).alias("n")), "items"
+            )
+        often = F.col("n") >= min_count
+        held = per_item.agg(
+            F.count_if(often).alias("often"), F.sum("n").alias("items"),
+            F.sum(F.when(~often, F.col("n"))).alias("rare"),
+        ).first()
+        if (held["rare"] or 0) * 10 >= (held["items"] or 1):
+            bits = bits_for(held["often"], SPARE)
+            bucket = bucket_of(bits, "stock_code")
+            frequent = bitmap_of(per_item.where(often).select(bucket.alias("bucket")), bits)
+            # Rare products it lets through are left out with their pairs.
+            kept = kept.where(may_hold(frequent, bucket))
     whole = max_basket_size is not None and max_basket_size <= tile
     size = F.size("basket").cast("long")
     both = F.coalesce(F.size("beside").cast("long") * size, size * (size - 1) / 2)
@@ -157,8 +173,10 @@ def pair_counts(
         lists=F.count(F.lit(1)), pairs=F.sum(both.cast("long")),
     )
     pairs = _pairs(lists, whole)
-    if min_count > 1 and (seen["pairs"] or 0) > filter_from:
-        bits = bucket_bits or bits_for(seen["pairs"])
+    bits = bucket_bits or bits_for(seen["pairs"] or 0)
+    # Pairs a bucket gets by chance stay well below the limit.
+    sparse = bucket_bits is not None or 2 * (seen["pairs"] or 0) <= (min_count - 1) << bits
+    if min_count > 1 and (seen["pairs"] or 0) > filter_from and sparse:
         pairs = pairs.withColumn("bucket", bucket_of(bits, "a", "b"))
         full = pairs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
         buckets = bitmap_of(full.where(F.col("n") >= min_count), bits)
@@ -194,7 +212,7 @@ def pair_rules(
         per_item, products = stage_counted(per_item, "items")
     frequent = pair_counts(
         items, settings.max_basket_size, broadcast_rows, rows,
-        settings.min_support_count, products,
+        settings.min_support_count, per_item=per_item if products > broadcast_rows else None,
     )
     if products > broadcast_rows:
         frequent = stage(frequent, "pairs")
