@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillspark.functions.rows import literal_rows
+from tillspark.operators.bitmap import WORD, words_of
 from tillspark.sources.staging import stage, stage_counted, written_rows
 
 # A lookup table of up to this many narrow rows is sent to every executor.
@@ -19,6 +23,9 @@ HOT_SLOTS = 2_000
 CONSTANTS = 8
 # Rows that need no partner from the shuffled side are dealt over this many.
 SPREAD = 1 << 20
+# The most bits of a packed table (16 MB), and the most different rows it may hold.
+PACKED_BITS = 1 << 27
+PACKED_ROWS = 4_095
 
 
 def lookup(
@@ -110,14 +117,108 @@ def lookup_all(
     """`lookup` in several tables (right, key), each a part of a written one, one after the other.
 
     The hot keys of all of them are found in one scan of `left`, which must be written too,
-    and only if some table is too large to be sent.
+    and only if some table is too large to be sent. Tables that are sent come first: keys
+    nobody reads afterwards then take no part in the shuffles for the others. Columns do not
+    come in the order of `sides`.
     """
-    sizes = [rows_at_most(right) for right, _ in sides]
-    large = [on for (_, on), rows in zip(sides, sizes) if rows is None or rows > broadcast_rows]
+    sized = [(right, on, rows_at_most(right)) for right, on in sides]
+    is_large = lambda rows: rows is None or rows > broadcast_rows
+    large = [on for _, on, rows in sized if is_large(rows)]
     hot = hot_values(left, large, hot_slots) if large else {}
     out = left
-    for (right, on), rows in zip(sides, sizes, strict=True):
+    for right, on, rows in sorted(sized, key=lambda side: is_large(side[2])):
         out = lookup(
             out, right, on, spread_by, broadcast_rows, hot_slots, left, rows, hot.get(on)
         )
     return out
+
+
+@dataclass(frozen=True)
+class Packed:
+    """A lookup table by dense whole-number key: a code of `bits` bits a key, in `words` from
+    the key `low` to `high`, and the different rows by code. Code 0: no such key."""
+
+    words: Column
+    low: int
+    high: int
+    bits: int
+    rows: DataFrame
+
+
+def packed(right: DataFrame, on: str, most_bits: int = PACKED_BITS) -> Packed | None:
+    """`right`, unique on the long `on`, in one value of at most 16 MB; None if it does not fit.
+
+    Made for attributes of dimensions: few different rows, keys numbered without gaps. None also
+    if a key comes twice, has another type, or there are more than PACKED_ROWS different rows.
+    """
+    if right.schema[on].dataType != T.LongType():
+        return None
+    extra = [c for c in right.columns if c != on]
+    if any(isinstance(right.schema[c].dataType, T.MapType) for c in extra):
+        return None
+    ends = right.agg(F.min(on).alias("low"), F.max(on).alias("high")).first()
+    if ends["low"] is None or ends["high"] - ends["low"] >= most_bits:
+        return None
+    distinct = right.where(F.col(on).isNotNull()).select(*extra).distinct()
+    found = distinct.limit(PACKED_ROWS + 1).collect()
+    bits = next((b for b in (1, 2, 4, 8, 16) if len(found) < 1 << b))
+    span = ends["high"] - ends["low"] + 1
+    if len(found) > PACKED_ROWS or span * bits > most_bits:
+        return None
+    kind = T.StructType([T.StructField("_code", T.LongType()), *distinct.schema.fields])
+    numbered = [(at, *row) for at, row in enumerate(found, start=1)]
+    codes = literal_rows(right.sparkSession, numbered, kind)
+    renamed = codes.withColumnsRenamed({c: f"_c_{c}" for c in extra})
+    same = reduce(
+        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in extra], F.lit(True)
+    )
+    coded = right.where(F.col(on).isNotNull()).join(F.broadcast(renamed), same)
+    held = WORD // bits
+    place = F.col(on) - ends["low"]
+    shift = F.pmod(place, F.lit(held)).cast("int")
+    put = lambda value, by: F.call_function("shiftleft", value, by)
+    words = stage(
+        coded.groupBy(F.floor(place / held).alias("word")).agg(
+            F.bit_or(put(F.col("_code"), shift * bits)).alias("bits"),
+            (F.bit_count(F.bit_or(put(F.lit(1).cast("long"), shift))) == F.count(F.lit(1))).alias("once"),
+        ),
+        "packed",
+    )
+    if words.where(~F.col("once")).limit(1).count():
+        return None
+    return Packed(words_of(words, span // held + 1), ends["low"], ends["high"], bits, codes)
+
+
+def unpacked(left: DataFrame, pack: Packed, on: str) -> DataFrame:
+    """All rows of `left` with the columns the packed table holds for their key, or nulls.
+
+    Nothing is shuffled, and no key is hot."""
+    held = WORD // pack.bits
+    place = F.col(on).cast("long") - pack.low
+    word = F.get(pack.words, F.floor(place / held).cast("int"))
+    shift = (F.pmod(place, F.lit(held)) * pack.bits).cast("int")
+    code = F.call_function("shiftrightunsigned", word, shift).bitwiseAND(
+        F.lit((1 << pack.bits) - 1).cast("long")
+    )
+    inside = F.col(on).between(pack.low, pack.high)
+    coded = left.withColumn("_code", F.when(inside, code))
+    return coded.join(F.broadcast(pack.rows), "_code", "left").drop("_code")
+
+
+def lookup_attributes(
+    left: DataFrame,
+    right: DataFrame,
+    on: str,
+    spread_by: list[str],
+    broadcast_rows: int = BROADCAST_ROWS,
+    measured_on: DataFrame | None = None,
+    at_most: int | None = None,
+) -> DataFrame:
+    """`lookup` of attributes by surrogate key: too many rows to be sent go packed, if they can."""
+    if at_most is None or at_most > broadcast_rows:
+        pack = packed(right, on)
+        if pack is not None:
+            return unpacked(left, pack, on)
+    return lookup(
+        left, right, on, spread_by, broadcast_rows, measured_on=measured_on, at_most=at_most
+    )

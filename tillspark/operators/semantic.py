@@ -34,6 +34,12 @@ NON_PRODUCT_CODE = "(non-product)"
 NON_PRODUCT_DESCRIPTION = "Non-product stock code (postage, fees, adjustments)"
 NO_BAND = "0. Not applicable"
 
+# What the semantic model reads of a rejected line.
+REJECTED = (
+    "invoice_no", "stock_code", "quantity", "unit_price", "invoice_ts", "country", "reasons",
+    SOURCE_POSITION,
+)
+
 
 def dim_date(fact: DataFrame, quarantine: DataFrame) -> DataFrame:
     """Whole years around every date either fact holds, one row per day."""
@@ -322,7 +328,7 @@ def build_model(
         dim_date=lambda: stage(dim_date(fact, quarantine), "dim_date"),
         dim_product=lambda: dim_product(product, fact),
         dim_customer=lambda: dim_customer(customer, country),
-        numbered=lambda: number_quarantine(quarantine),
+        numbered=lambda: number_quarantine(quarantine.select(*REJECTED)),
     )
     products, customers = first["dim_product"], first["dim_customer"]
     numbered = first.pop("numbered")
