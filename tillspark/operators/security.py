@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillspark.functions.numbers import in_units, ten_thousandths
-from tillspark.operators.lookup import lookup, lookup_all
+from tillspark.operators.lookup import lookup, lookup_attributes, rows_at_most
 from tillspark.operators.measures import _ROW, Model, with_rates
 from tillspark.operators.semantic import ALL_COUNTRIES, UNKNOWN_KEY
 from tillspark.sources.staging import stage
@@ -40,7 +40,9 @@ def secure(model: Model, user: str) -> Model:
 
     sales = of_country(model["fact_sales"], _ROW)
     known = customers.select("CustomerKey", F.lit(True).alias("_customer"))
-    sales = lookup(sales, known, "CustomerKey", _ROW, measured_on=model["fact_sales"])
+    sales = lookup_attributes(
+        sales, known, "CustomerKey", _ROW, measured_on=model["fact_sales"], at_most=rows_at_most(known)
+    )
     rejected = of_country(model["fact_quarantine"], ["QuarantineKey"]).select(
         *model["fact_quarantine"].columns
     )
@@ -71,7 +73,9 @@ def visibility_cells(model: Model) -> DataFrame:
         F.col("IsGuest").alias("_guest"),
     )
     fact = model["fact_sales"]
-    rows = lookup_all(fact, [(sale, "CountryKey"), (home, "CustomerKey")], _ROW)
+    rows = fact
+    for side, key in ((sale, "CountryKey"), (home, "CustomerKey")):
+        rows = lookup_attributes(rows, side, key, _ROW, measured_on=fact, at_most=rows_at_most(side))
     cell = F.struct(
         F.col("_sale").alias("sale"), F.col("_home").alias("home"), F.col("_guest").alias("guest")
     )
