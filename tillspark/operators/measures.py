@@ -17,7 +17,7 @@ from pyspark.sql.window import Window as W
 
 from tillspark.functions.dates import NTZ
 from tillspark.functions.numbers import in_units, money_sum, ratio, ten_thousandths
-from tillspark.operators.lookup import lookup, rows_at_most
+from tillspark.operators.lookup import hot_values, lookup, lookup_attributes, rows_at_most
 from tillspark.operators.numbering import number_rows, value_ranks
 from tillspark.operators.semantic import UNKNOWN_KEY
 from tillspark.settings import NO_DATA_MESSAGE
@@ -57,7 +57,7 @@ def in_context(model: Model, *columns: str, fact: str = "fact_sales") -> DataFra
             c for c in columns if c in dim.columns and c not in joined.columns and c not in hidden
         ]
         if wanted:
-            joined = lookup(
+            joined = lookup_attributes(
                 joined, dim.select(key, *wanted), key, row, measured_on=rows, at_most=rows_at_most(dim)
             )
     return joined
