@@ -51,20 +51,22 @@ def dim_product(clean: DataFrame, hot_slots: int = HOT_SLOTS) -> DataFrame:
     busy = F.col("stock_code").isNull()
     if hot:
         busy = busy | F.col("stock_code").isin(*hot)
+    # As many parts as a shuffle starts with: merged by their size they would not fit the folds.
+    parts = int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     deal = 1 + F.pmod(F.xxhash64("invoice_no", "quantity", "unit_price", "invoice_ts"), F.lit(SPREAD))
     dealt = clean.select(
         "stock_code", "invoice_no", "quantity", "unit_price",
         F.when(busy, deal).otherwise(0).alias("_part"),
-    ).repartition("stock_code", "_part")
+    ).repartition(parts, "stock_code", "_part")
     revenue = half_even(F.col("quantity") * F.col("unit_price"), 4)
-    parts = dealt.groupBy("stock_code", "_part").agg(
+    folded = dealt.groupBy("stock_code", "_part").agg(
         F.count_distinct(F.when(F.col("_part") == 0, F.col("invoice_no"))).alias("_invoices"),
         F.sum("quantity").alias("_units"),
         F.sum(ten_thousandths(revenue)).alias("_amount"),
         F.sum(exact_price(F.col("unit_price"))).alias("_prices"),
         F.count("unit_price").alias("_priced"),
     )
-    measures = parts.groupBy("stock_code").agg(
+    measures = folded.groupBy("stock_code").agg(
         F.sum("_invoices").alias("_invoices"),
         F.sum("_units").alias("units_sold"),
         in_units(F.sum("_amount")).alias("revenue"),
