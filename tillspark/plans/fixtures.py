@@ -64,14 +64,19 @@ def dealt(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their order, part, customer and country."""
-    read = lambda name: table(spark, sf_dir, name)
+    """Line items with their order, part, customer and country.
+
+    Orders meet their customers first, so that lines are not moved for it.
+    """
+    read = lambda name, *columns: table(spark, sf_dir, name).select(*columns)
+    orders = read("orders", "o_orderkey", "o_custkey", "o_orderdate").join(
+        read("customer", "c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")
+    )
     return (
         dealt(spark, sf_dir, "lineitem", "l_orderkey")
-        .join(read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(read("part", "p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(read("nation", "n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
     )
 
 
