@@ -117,19 +117,24 @@ def lookup_all(
     """`lookup` in several tables (right, key), each a part of a written one, one after the other.
 
     The hot keys of all of them are found in one scan of `left`, which must be written too,
-    and only if some table is too large to be sent. Tables that are sent come first: keys
-    nobody reads afterwards then take no part in the shuffles for the others. Columns do not
-    come in the order of `sides`.
+    and only if some table is too large to be sent and is no numbering of whole numbers in
+    their order, which goes as a bitmap. Tables that are sent come first: keys nobody reads
+    afterwards then take no part in the shuffles for the others. Columns do not come in the
+    order of `sides`.
     """
     sized = [(right, on, rows_at_most(right)) for right, on in sides]
     is_large = lambda rows: rows is None or rows > broadcast_rows
-    large = [on for _, on, rows in sized if is_large(rows)]
-    hot = hot_values(left, large, hot_slots) if large else {}
+    ordered = {on: ranked(right, on) for right, on, rows in sized if is_large(rows)}
+    shuffled = [on for on, numbers in ordered.items() if numbers is None]
+    hot = hot_values(left, shuffled, hot_slots) if shuffled else {}
     out = left
-    for right, on, rows in sorted(sized, key=lambda side: is_large(side[2])):
-        out = lookup(
-            out, right, on, spread_by, broadcast_rows, hot_slots, left, rows, hot.get(on)
-        )
+    for right, on, rows in sorted(sized, key=lambda side: side[1] in shuffled):
+        if ordered.get(on) is not None:
+            out = numbered(out, ordered[on], on)
+        else:
+            out = lookup(
+                out, right, on, spread_by, broadcast_rows, hot_slots, left, rows, hot.get(on)
+            )
     return out
 
 
@@ -205,6 +210,66 @@ def unpacked(left: DataFrame, pack: Packed, on: str) -> DataFrame:
     return coded.join(F.broadcast(pack.rows), "_code", "left").drop("_code")
 
 
+@dataclass(frozen=True)
+class Ranked:
+    """Numbers given to whole-number keys in their order: a bit a key in `words`, from the key
+    `low` to `high`, and in `before` the number before the first one of each word."""
+
+    name: str
+    words: Column
+    before: Column
+    low: int
+    high: int
+
+
+def ranked(right: DataFrame, on: str, most_bits: int = PACKED_BITS // 2) -> Ranked | None:
+    """`right` (`on` and a number) in two values of at most 8 MB each; None if it does not fit.
+
+    Made for the surrogate keys of natural keys that are whole numbers. None also unless both
+    columns are longs, and if a key comes twice or numbers skip one or leave the order of the
+    keys within a word of 64.
+    """
+    if right.columns[:1] != [on] or [f.dataType for f in right.schema] != [T.LongType()] * 2:
+        return None
+    name = right.columns[1]
+    right = right.where(F.col(on).isNotNull())
+    ends = right.agg(F.min(on).alias("low"), F.max(on).alias("high")).first()
+    if ends["low"] is None or ends["high"] - ends["low"] >= most_bits:
+        return None
+    place = F.col(on) - ends["low"]
+    bit = F.call_function(
+        "shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(WORD)).cast("int")
+    )
+    words = stage(
+        right.groupBy(F.floor(place / WORD).alias("word")).agg(
+            F.bit_or(bit).alias("bits"), (F.min(name) - 1).alias("before"),
+            (F.bit_count(F.bit_or(bit)) == F.count(F.lit(1))).alias("once"),
+        ),
+        "ranked",
+    )
+    if words.where(~F.col("once")).limit(1).count():
+        return None
+    count = (ends["high"] - ends["low"]) // WORD + 1
+    starts = words.select("word", F.col("before").alias("bits"))
+    found = Ranked(name, words_of(words, count), words_of(starts, count), ends["low"], ends["high"])
+    told = numbered(right.select(on, F.col(name).alias("_told")), found, on)
+    if told.where(~F.col("_told").eqNullSafe(F.col(name))).limit(1).count():
+        return None
+    return found
+
+
+def numbered(left: DataFrame, numbers: Ranked, on: str) -> DataFrame:
+    """All rows of `left` with the number of their key, or null. Nothing is shuffled."""
+    inside = F.col(on).cast("long").between(numbers.low, numbers.high)
+    place = F.when(inside, F.col(on).cast("long")) - numbers.low
+    at = F.floor(place / WORD).cast("int")
+    shift = F.pmod(place, F.lit(WORD)).cast("int")
+    word = F.get(numbers.words, at)
+    up_to = F.call_function("shiftrightunsigned", F.lit(-1).cast("long"), WORD - 1 - shift)
+    number = F.get(numbers.before, at) + F.bit_count(word.bitwiseAND(up_to))
+    return left.withColumn(numbers.name, F.when(F.bit_get(word, shift) == 1, number))
+
+
 def lookup_attributes(
     left: DataFrame,
     right: DataFrame,
