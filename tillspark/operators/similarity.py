@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tillspark.functions.text import tallied, terms
-from tillspark.operators.lookup import BROADCAST_ROWS, lookup
+from tillspark.operators.lookup import BROADCAST_ROWS, HOT_SLOTS, lookup
 from tillspark.operators.star import UNKNOWN_DESCRIPTION
 from tillspark.settings import Recommend
 from tillspark.sources.staging import stage, stage_counted, stage_observed
@@ -64,23 +64,36 @@ def term_weights(
     df = counted.groupBy("term").agg(
         F.sum("_copies").alias("df"), F.count(F.lit(1)).alias("holders")
     )
-    df, terms_known = stage_counted(df, "vocabulary") if rows > broadcast_rows else (df, rows)
+    terms_known, hot = rows, None
+    if rows > broadcast_rows:
+        df, found_df = stage_observed(
+            df, "vocabulary", most=F.max("df"), shared=F.count_if(F.col("df") > 1)
+        )
+        terms_known = found_df["shared"] if (found_df["most"] or 0) > 1 else found_df["rows"]
+        # The vocabulary knows how many rows hold a term, so terms are not counted again.
+        busy = df.where(F.col("holders") > rows / HOT_SLOTS).select("term")
+        hot = [r["term"] for r in busy.collect()] if terms_known > broadcast_rows else None
     floor = df.select(F.least(F.lit(2), F.max("df")).alias("floor")).scalar()
     vocabulary = df.where(F.col("df") >= floor)
-    idf = F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0
-    weighted = (
-        lookup(counted, vocabulary, "term", [key, "term"], broadcast_rows, at_most=terms_known)
-        .where(F.col("df").isNotNull())
-        .withColumn("_raw", F.col("tf") * idf)
+    if hot is not None:
+        # Its own size, without the terms left out, tells whether Spark sends it after all.
+        vocabulary = stage(vocabulary, "vocabulary")
+    raw = lambda tf, df: tf * (F.log((1.0 + n) / (1.0 + df)) + 1.0)
+    met = lookup(
+        counted, vocabulary, "term", [key, "term"], broadcast_rows, at_most=terms_known, hot_keys=hot
     )
-    # A document's terms are no more than its text held in one row.
-    one = F.struct("term", "tf", "df", "holders", "_raw")
-    whole = weighted.groupBy(key).agg(
-        F.sqrt(F.sum(F.col("_raw") * F.col("_raw"))).alias("_length"), F.collect_list(one).alias("_all")
+    # A document's terms are no more than its text held in one row. Weights follow from the counts
+    # and do not travel.
+    one = F.struct("term", "tf", "df", "holders")
+    whole = met.where(F.col("df").isNotNull()).groupBy(key).agg(F.collect_list(one).alias("_all"))
+    squares = F.aggregate(
+        "_all", F.lit(0.0), lambda total, x: total + F.pow(raw(x["tf"], x["df"]), F.lit(2.0))
     )
+    whole = whole.withColumn("_length", F.sqrt(squares))
     return whole.select(key, "_length", F.inline("_all")).select(
-        key, "term", "tf", "df", "holders", (F.col("_raw") / F.col("_length")).alias("weight")
-    )
+        key, "term", "tf", "df", "holders",
+        (raw(F.col("tf"), F.col("df")) / F.col("_length")).alias("weight"),
+    )
 
 
 def tfidf_terms(docs: DataFrame, key: str, text: str) -> DataFrame:
