@@ -210,6 +210,23 @@ def unpacked(left: DataFrame, pack: Packed, on: str) -> DataFrame:
     return coded.join(F.broadcast(pack.rows), "_code", "left").drop("_code")
 
 
+def join_attributes(
+    left: DataFrame, right: DataFrame, on: str, key: str, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """The inner join of `left` and `right` where `on` equals `key`, without `key`.
+
+    Both may repeat or miss keys. Few rows are sent; attributes of more go packed, if they can, and
+    `left` is neither shuffled for them nor loses its order.
+    """
+    if right.count() <= broadcast_rows:
+        right = F.broadcast(right)
+    elif isinstance(left.schema[on].dataType, T.IntegralType):
+        pack = packed(right.withColumn("_held", F.lit(True)), key)
+        if pack is not None:
+            return unpacked(left, pack, on).where("_held").drop("_held")
+    return left.join(right, F.col(on) == F.col(key)).drop(key)
+
+
 @dataclass(frozen=True)
 class Ranked:
     """Numbers given to whole-number keys in their order: a bit a key in `words`, from the key

@@ -14,7 +14,7 @@ from tillspark.functions.rows import literal_rows
 from tillspark.operators.bitmap import bitmap_of, bits_for, bucket_of, may_hold
 from tillspark.operators.lookup import BROADCAST_ROWS, HOT_SLOTS, lookup
 from tillspark.settings import Quality
-from tillspark.sources.staging import stage_observed
+from tillspark.sources.staging import stage, stage_observed
 from tillspark.sources.transactions import SOURCE_POSITION
 
 LINE_KEY = ("invoice_no", "stock_code", "quantity", "unit_price", "invoice_ts")
@@ -159,7 +159,9 @@ def with_first(
     bits = bits_for(seen["rows"], SPARE)
     buckets = bitmap_of(twice.select(bucket_of(bits, "_hash").alias("bucket")), bits)
     perhaps = may_hold(buckets, bucket_of(bits, "_hash"))
-    copies = hashed.where(perhaps).withColumn("_line", F.struct(*LINE_KEY))
+    # Few lines, read several times; all lines are read once for them and once for the rest.
+    copies = stage(hashed.where(perhaps).select(*lines.columns), "copies")
+    copies = copies.withColumn("_line", F.struct(*LINE_KEY))
     met = lookup(
         copies, first_positions(copies), "_line", [SOURCE_POSITION], broadcast_rows, hot_slots
     )

@@ -304,9 +304,14 @@ def security_user_country(
 
 
 def orphan_codes(product: DataFrame, quarantine: DataFrame) -> DataFrame:
-    """Stock codes seen only among rejected lines."""
-    codes = quarantine.select("stock_code").where("stock_code is not null").distinct()
-    return codes.join(product.select("stock_code"), "stock_code", "left_anti")
+    """Stock codes seen only among rejected lines. `product` may be the accepted lines as well:
+    lines are folded to their codes before they are shuffled."""
+    known = product.select("stock_code", F.lit(False).alias("_rejected"))
+    seen = known.unionByName(quarantine.select("stock_code", F.lit(True).alias("_rejected")))
+    only = seen.where("stock_code is not null").groupBy("stock_code").agg(
+        F.bool_and("_rejected").alias("_only")
+    )
+    return only.where("_only").select("stock_code")
 
 
 def build_model(

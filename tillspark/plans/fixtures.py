@@ -13,6 +13,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillspark.operators.lookup import join_attributes
 from tillspark.settings import Adoption, Recommend, Semantic
 from tillspark.sources.staging import stage
 
@@ -66,17 +67,20 @@ def dealt(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their order, part, customer and country.
 
-    Orders meet their customers first, so that lines are not moved for it.
+    Orders meet their customers first, so that lines are not moved for it. Lines are shuffled
+    for their orders only, so those of an order stay together.
     """
     read = lambda name, *columns: table(spark, sf_dir, name).select(*columns)
-    orders = read("orders", "o_orderkey", "o_custkey", "o_orderdate").join(
-        read("customer", "c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")
+    orders = join_attributes(
+        read("orders", "o_orderkey", "o_custkey", "o_orderdate"),
+        read("customer", "c_custkey", "c_nationkey"), "o_custkey", "c_custkey",
+    )
+    lines = dealt(spark, sf_dir, "lineitem", "l_orderkey").join(
+        orders, F.col("l_orderkey") == F.col("o_orderkey")
     )
-    return (
-        dealt(spark, sf_dir, "lineitem", "l_orderkey")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(read("part", "p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(read("nation", "n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
+    lines = join_attributes(lines, read("part", "p_partkey", "p_name"), "l_partkey", "p_partkey")
+    return join_attributes(
+        lines, read("nation", "n_nationkey", "n_name"), "c_nationkey", "n_nationkey"
     )
 
 

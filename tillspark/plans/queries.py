@@ -251,7 +251,7 @@ QUERIES: dict[str, Query] = {
     "sem_fact_quarantine": _semantic("fact_quarantine"),
     "sem_bridge": _semantic("bridge_quarantine_rule"),
     "sem_security": _semantic("security_user_country"),
-    "orphan_codes": lambda s, d: semantic.orphan_codes(product(s, d), quarantine(s, d)),
+    "orphan_codes": lambda s, d: semantic.orphan_codes(clean(s, d), quarantine(s, d)),
     "ri_checks": lambda s, d: checks.reference_checks(model(s, d)),
     "key_checks": lambda s, d: checks.key_checks(model(s, d)),
     "reconciliation": lambda s, d: checks.reconciliation(model(s, d)),
