@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -22,10 +22,15 @@ SPARE = 4
 
 
 def basket_items(fact: DataFrame, product: str = "stock_code") -> DataFrame:
-    """Distinct (invoice_no, stock_code): a product counts once per basket."""
+    """Distinct (invoice_no, stock_code): a product counts once per basket.
+
+    In ranges of both, so items of a basket lie together, though a huge one takes many ranges:
+    what is counted by basket next is folded before it is shuffled.
+    """
     return (
         fact.select("invoice_no", F.col(product).alias("stock_code"))
         .where(F.col("invoice_no").isNotNull() & F.col("stock_code").isNotNull())
+        .repartitionByRange("invoice_no", "stock_code")
         .distinct()
     )
 
@@ -40,25 +45,39 @@ def basket_stats(items: DataFrame) -> DataFrame:
     )
 
 
+def oversized_baskets(items: DataFrame, max_basket_size: int) -> tuple[DataFrame, int, int]:
+    """The baskets over the limit, written; how many these are, and how many there are in all."""
+    seen = Observation()
+    sizes = items.groupBy("invoice_no").agg(F.count(F.lit(1)).alias("size"))
+    counted = sizes.observe(seen, F.count("invoice_no").alias("baskets"))
+    over = counted.where(F.col("size") > max_basket_size).select("invoice_no")
+    written, n = stage_counted(over, "oversized")
+    return written, n, seen.get["baskets"]
+
+
 def pairable_items(
     items: DataFrame,
     max_basket_size: int | None,
     broadcast_rows: int = BROADCAST_ROWS,
     rows: int | None = None,
+    over: tuple[DataFrame, int] | None = None,
 ) -> DataFrame:
     """Items of baskets no larger than the limit, if any; `rows` is their number, if known.
 
-    A basket over the limit holds more than `max_basket_size` items, so such
-    baskets are few next to items. Repeating their ids over BASKET_SPREAD keys
+    `over` are the baskets over the limit and their number, if they are written. A basket over the
+    limit holds more than `max_basket_size` items, so such baskets are few next to items. Repeating their ids over BASKET_SPREAD keys
     lets the lines of a huge one be struck out by many tasks.
     """
     if max_basket_size is None:
         return items
-    sizes = items.groupBy("invoice_no").agg(F.count(F.lit(1)).alias("size"))
-    oversized = sizes.where(F.col("size") > max_basket_size).select("invoice_no")
     at_most = None if rows is None else rows // (max_basket_size + 1)
-    if rows is None or rows > FILTER_FROM or at_most > broadcast_rows:
-        oversized, at_most = stage_counted(oversized, "oversized")
+    if over is not None:
+        oversized, at_most = over
+    elif rows is None or rows > FILTER_FROM or at_most > broadcast_rows:
+        oversized, at_most, _ = oversized_baskets(items, max_basket_size)
+    else:
+        sizes = items.groupBy("invoice_no").agg(F.count(F.lit(1)).alias("size"))
+        oversized = sizes.where(F.col("size") > max_basket_size).select("invoice_no")
     if at_most <= broadcast_rows:
         return items.join(F.broadcast(oversized), "invoice_no", "left_anti")
     dealt = items.withColumn("_deal", F.pmod(F.xxhash64("stock_code"), F.lit(BASKET_SPREAD)))
@@ -136,6 +155,7 @@ def pair_counts(
     filter_from: int = FILTER_FROM,
     bucket_bits: int | None = None,
     per_item: DataFrame | None = None,
+    over: tuple[DataFrame, int] | None = None,
 ) -> DataFrame:
     """Per unordered pair (a < b): baskets holding both, and the first of them.
 
@@ -146,9 +166,9 @@ def pair_counts(
     shuffled. Both passes read the lists from a written table. Up to `filter_from` items or pairs,
     or with so many pairs that most buckets would reach the limit, a step would cost more than
     what it saves from the shuffle. `per_item` (stock_code, n) are the baskets of each product,
-    if they are written.
+    if they are written, and `over` the baskets over the limit, as `pairable_items` takes them.
     """
-    kept = pairable_items(items, max_basket_size, broadcast_rows, rows)
+    kept = pairable_items(items, max_basket_size, broadcast_rows, rows, over)
     if min_count > 1 and (rows is None or rows > filter_from):
         if per_item is None:
             per_item = stage(
@@ -210,13 +230,19 @@ def pair_rules(
     per_item = items.groupBy("stock_code").agg(F.count(F.lit(1)).alias("n"))
     if products is None or products > broadcast_rows:
         per_item, products = stage_counted(per_item, "items")
+    limit, over = settings.max_basket_size, None
+    if limit is not None and (rows is None or rows > FILTER_FROM):
+        # Baskets are counted where their sizes are.
+        *over, n = oversized_baskets(items, limit)
+        baskets = F.lit(n)
+    else:
+        baskets = items.select(F.count_distinct("invoice_no").alias("n")).scalar()
     frequent = pair_counts(
-        items, settings.max_basket_size, broadcast_rows, rows,
-        settings.min_support_count, per_item=per_item if products > broadcast_rows else None,
+        items, limit, broadcast_rows, rows, settings.min_support_count,
+        per_item=per_item if products > broadcast_rows else None, over=over,
     )
     if products > broadcast_rows:
         frequent = stage(frequent, "pairs")
-    baskets = items.select(F.count_distinct("invoice_no").alias("n")).scalar()
 
     with_both = frequent
     for end in ("a", "b"):
