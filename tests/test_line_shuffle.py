@@ -5,6 +5,7 @@ from conftest import LINE_SCHEMA, line, rows
 
 from tillspark.operators import lookup, quality
 from tillspark.operators.semantic import orphan_codes
+from tillspark.operators.star import dim_product
 
 
 def plan(df):
@@ -38,6 +39,23 @@ def test_orphan_codes_of_accepted_lines(spark):
     assert rows(found) == [("C",)] and "Join" not in plan(found)
 
 
+@pytest.mark.parametrize("hot_slots", [1, 2000])
+def test_descriptions_come_with_the_figures(spark, hot_slots):
+    lines = [line("1", "A", "RED"), line("1", "A", "BLUE"), line("2", "A", "BLUE"), line(None, "A", "RED"),
+             line("3", "B", None), line("3", None, "LOST"), line("4", "C", "X"), line("4", "C", "Y")]
+    clean = spark.createDataFrame([(*x, at) for at, x in enumerate(lines)], LINE_SCHEMA)
+    found = dim_product(clean, hot_slots)
+    assert rows(found, "stock_code", "description", "n_invoices", "units_sold") == sorted(
+        [("A", "BLUE", 2, 8.0), ("B", "UNKNOWN", 1, 2.0), ("C", "X", 1, 4.0), (None, "UNKNOWN", 1, 2.0)],
+        key=repr,
+    )
+    # Lines are folded where the one shuffle by product brought them; names of hot products only are apart.
+    moves = [at for at in plan(found).splitlines() if "Exchange hashpartitioning" in at]
+    assert sum("_part" in at for at in moves) == 1 and not any("_key" in at for at in moves)
+    names = [at for at in moves if "description" in at]
+    assert len(names) == 1
+
+
 def test_perhaps_copies_are_written_once(spark, monkeypatch):
     written = []
     monkeypatch.setattr(quality, "stage", lambda df, name: written.append(name) or df.localCheckpoint())

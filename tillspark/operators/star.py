@@ -43,9 +43,9 @@ def most_used(df: DataFrame, key: str, value: str) -> DataFrame:
 def dim_product(clean: DataFrame, hot_slots: int = HOT_SLOTS) -> DataFrame:
     """One row per product. `clean` should be read from a written table.
 
-    Lines are shuffled once for the figures, by product, without running sums beside them, and
-    folded where they arrive; only one row a product travels on. Lines of hot products are dealt
-    out, and their invoices counted by themselves.
+    Lines are shuffled once, by product, without running sums beside them, and folded where they
+    arrive, by invoice and by description; only one row a product travels on. Lines of hot
+    products are dealt out, and their invoices and descriptions counted by themselves.
     """
     hot = hot_values(clean, ["stock_code"], hot_slots)["stock_code"]
     busy = F.col("stock_code").isNull()
@@ -55,16 +55,36 @@ def dim_product(clean: DataFrame, hot_slots: int = HOT_SLOTS) -> DataFrame:
     parts = int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     deal = 1 + F.pmod(F.xxhash64("invoice_no", "quantity", "unit_price", "invoice_ts"), F.lit(SPREAD))
     dealt = clean.select(
-        "stock_code", "invoice_no", "quantity", "unit_price",
+        "stock_code", "invoice_no", "description", "quantity", "unit_price",
         F.when(busy, deal).otherwise(0).alias("_part"),
     ).repartition(parts, "stock_code", "_part")
-    revenue = half_even(F.col("quantity") * F.col("unit_price"), 4)
-    folded = dealt.groupBy("stock_code", "_part").agg(
-        F.count_distinct(F.when(F.col("_part") == 0, F.col("invoice_no"))).alias("_invoices"),
-        F.sum("quantity").alias("_units"),
-        F.sum(ten_thousandths(revenue)).alias("_amount"),
-        F.sum(exact_price(F.col("unit_price"))).alias("_prices"),
-        F.count("unit_price").alias("_priced"),
+    quantity, price = F.col("quantity"), F.col("unit_price")
+    none = lambda c: F.lit(None).cast(clean.schema[c].dataType).alias(c)
+    # A line counts for its invoice, with its figures, and for its description.
+    named = F.when(F.col("_part") == 0, F.col("description"))
+    by_invoice = F.struct(F.lit(True).alias("_sold"), F.col("invoice_no").alias("_key"), quantity, price)
+    by_name = F.struct(F.lit(False).alias("_sold"), named.alias("_key"), none("quantity"), none("unit_price"))
+    counted = (
+        dealt.select("stock_code", "_part", F.inline(F.array(by_invoice, by_name)))
+        .groupBy("stock_code", "_part", "_sold", "_key")
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.sum("quantity").alias("_units"),
+            F.sum(ten_thousandths(half_even(quantity * price, 4))).alias("_amount"),
+            F.sum(exact_price(price)).alias("_prices"),
+            F.count("unit_price").alias("_priced"),
+        )
+    )
+    known = F.col("_key").isNotNull()
+    folded = counted.groupBy("stock_code", "_part").agg(
+        F.count_if(F.col("_sold") & known & (F.col("_part") == 0)).alias("_invoices"),
+        F.sum("_units").alias("_units"),
+        F.sum("_amount").alias("_amount"),
+        F.sum("_prices").alias("_prices"),
+        F.sum("_priced").alias("_priced"),
+        F.min(
+            F.when(~F.col("_sold") & known, F.struct((-F.col("_n")).alias("n"), F.col("_key").alias("v")))
+        ).alias("_name"),
     )
     measures = folded.groupBy("stock_code").agg(
         F.sum("_invoices").alias("_invoices"),
@@ -73,21 +93,21 @@ def dim_product(clean: DataFrame, hot_slots: int = HOT_SLOTS) -> DataFrame:
         F.try_divide(F.sum("_prices").cast("double"), F.sum("_priced").cast("double")).alias(
             "avg_unit_price"
         ),
+        F.min("_name")["v"].alias("_name"),
     )
     # One row per hot product and one without a code.
     apart = clean.where(busy).groupBy(F.col("stock_code").alias("_code")).agg(
         F.count_distinct("invoice_no").alias("_apart")
     )
-    measures = measures.join(
+    names = most_used(clean.where(busy), "stock_code", "description")
+    met = measures.join(
         F.broadcast(apart), F.col("stock_code").eqNullSafe(F.col("_code")), "left"
-    ).select(
+    ).join(F.broadcast(names), "stock_code", "left")
+    return met.select(
         "stock_code", F.coalesce("_apart", "_invoices").alias("n_invoices"),
         "units_sold", "revenue", "avg_unit_price",
+        F.coalesce("description", "_name", F.lit(UNKNOWN_DESCRIPTION)).alias("description"),
     )
-    names = most_used(clean, "stock_code", "description")
-    return measures.join(names, "stock_code", "left").withColumn(
-        "description", F.coalesce("description", F.lit(UNKNOWN_DESCRIPTION))
-    )
 
 
 def dim_customer(clean: DataFrame) -> DataFrame:
