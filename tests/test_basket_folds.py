@@ -1,4 +1,4 @@
-"""Items of a basket lie together; baskets are counted with their sizes."""
+"""Items of a basket lie together, baskets are counted with their sizes and paired in small tasks."""
 
 from conftest import rows
 
@@ -30,3 +30,13 @@ def test_baskets_are_counted_with_their_sizes(spark, monkeypatch):
     found = basket.pair_rules(items, settings, rows=11, products=6)
     assert "count(distinct" not in found._jdf.queryExecution().analyzed().toString()
     assert rows(found) == want
+
+
+def test_baskets_are_paired_in_small_tasks(spark):
+    items = spark.range(900).selectExpr("string(id div 9) as invoice_no", "string(id % 11) as stock_code")
+    want = rows(basket.pair_counts(items, 100))
+    read = spark.range(100).select("id").coalesce(1)
+    assert basket.in_small_tasks(read, 1000, 1000) is read
+    assert basket.in_small_tasks(read, 5001, 1000).rdd.getNumPartitions() == 6
+    assert rows(basket.pair_counts(items, 100, task_pairs=50)) == want
+    assert rows(basket.pair_counts(items, None, tile=4, task_pairs=50)) == want

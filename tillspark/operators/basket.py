@@ -19,18 +19,22 @@ FILTER_FROM = 8_000_000
 TILE = 512
 # Frequent products take one of 2 to the power of so many buckets of their bitmap.
 SPARE = 4
+# Pairs that one task makes of its baskets and folds before the shuffle, about.
+TASK_PAIRS = 2_000_000
 
 
 def basket_items(fact: DataFrame, product: str = "stock_code") -> DataFrame:
     """Distinct (invoice_no, stock_code): a product counts once per basket.
 
     In ranges of both, so items of a basket lie together, though a huge one takes many ranges:
-    what is counted by basket next is folded before it is shuffled.
+    what is counted by basket next is folded before it is shuffled. As many ranges as a shuffle
+    starts with: merged by their size they would be large in memory.
     """
+    ranges = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         fact.select("invoice_no", F.col(product).alias("stock_code"))
         .where(F.col("invoice_no").isNotNull() & F.col("stock_code").isNotNull())
-        .repartitionByRange("invoice_no", "stock_code")
+        .repartitionByRange(ranges, "invoice_no", "stock_code")
         .distinct()
     )
 
@@ -145,6 +149,13 @@ def _pairs(lists: DataFrame, whole: bool) -> DataFrame:
     return within.unionByName(across)
 
 
+def in_small_tasks(lists: DataFrame, pairs: int, task_pairs: int = TASK_PAIRS) -> DataFrame:
+    """`lists` in so many parts that a task makes about `task_pairs` of the `pairs`, whatever the
+    size of its files; as they are read, if these are parts enough."""
+    parts = -(-pairs // task_pairs)
+    return lists.repartitionByRange(parts, "id") if parts > lists.rdd.getNumPartitions() else lists
+
+
 def pair_counts(
     items: DataFrame,
     max_basket_size: int | None,
@@ -156,6 +167,7 @@ def pair_counts(
     bucket_bits: int | None = None,
     per_item: DataFrame | None = None,
     over: tuple[DataFrame, int] | None = None,
+    task_pairs: int = TASK_PAIRS,
 ) -> DataFrame:
     """Per unordered pair (a < b): baskets holding both, and the first of them.
 
@@ -192,7 +204,7 @@ def pair_counts(
         basket_lists(kept, whole, tile, broadcast_rows, rows), "baskets",
         lists=F.count(F.lit(1)), pairs=F.sum(both.cast("long")),
     )
-    pairs = _pairs(lists, whole)
+    pairs = _pairs(in_small_tasks(lists, seen["pairs"] or 0, task_pairs), whole)
     bits = bucket_bits or bits_for(seen["pairs"] or 0)
     # Pairs a bucket gets by chance stay well below the limit.
     sparse = bucket_bits is not None or 2 * (seen["pairs"] or 0) <= (min_count - 1) << bits
