@@ -33,24 +33,24 @@ def terms(text: Column, stop_words: tuple[str, ...] = STOP_WORDS) -> Column:
     """
     found = F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), F.lit(0))
     words = F.filter(found, lambda w: ~w.isin(*stop_words))
-    return F.concat(words, neighbours(words))
+    # Named as often as it is used, a text would be searched that often.
+    return once(words, lambda w: F.concat(w, neighbours(w)))
 
 
 def neighbours(words: Column) -> Column:
     rest = F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
-    pairs = F.zip_with(words, rest, lambda a, b: F.concat_ws(" ", a, b))
-    return F.slice(pairs, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
+    return F.transform(rest, lambda b, i: F.concat(F.get(words, i), F.lit(" "), b))
 
 
 def tallied(found: Column) -> Column:
-    """The distinct members of an array with how often each occurs, by member: the runs of the
-    sorted array, so a row is counted by itself and nothing is shuffled."""
-    ordered = F.array_sort(found)
+    """The distinct members of an array without nulls with how often each occurs, by member: the
+    runs of the sorted array, so a row is counted by itself and nothing is shuffled."""
+    ordered = F.sort_array(found)
 
     def runs(array: Column) -> Column:
+        places = F.slice(F.sequence(F.lit(0), F.size(array)), F.lit(1), F.size(array))
         starts = F.filter(
-            F.transform(array, lambda x, i: F.when(~x.eqNullSafe(F.get(array, i - 1)), i)),
-            lambda i: i.isNotNull(),
+            places, lambda i: ~F.get(array, i).eqNullSafe(F.get(array, i - 1))
         )
         return once(
             starts,

@@ -10,15 +10,24 @@ a common term is paired off as a whole.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tillspark.functions.text import tallied, terms
+from tillspark.functions.text import once, tallied, terms
 from tillspark.operators.lookup import BROADCAST_ROWS, HOT_SLOTS, lookup
 from tillspark.operators.star import UNKNOWN_DESCRIPTION
 from tillspark.settings import Recommend
-from tillspark.sources.staging import stage, stage_counted, stage_observed
+from tillspark.sources.staging import (
+    discard,
+    release,
+    stage,
+    stage_counted,
+    stage_observed,
+)
 
 # A term held by more bags than this is common: bags are not paired through it.
 COMMON_TERM = 256
@@ -32,6 +41,16 @@ LAST_STEP = 32
 SEEDS = 8
 # A vector counts as so many narrow rows where a table is sent.
 WIDE = 16
+# Terms of documents lie in so many slices, which are worked on one after the other from so many
+# terms on.
+SLICES = 4
+ROUND_ROWS = 2_000_000
+# Steps in which the holders of a term double.
+HOLDER_STEPS = 16
+# A document's length is two numbers: so many times as many of them are sent as of other rows.
+DOCUMENTS_SENT = 20
+# How tables of terms are packed.
+PACKED = "zstd"
 # Similarities equal to this many places count as tied.
 PLACES = 9
 
@@ -43,7 +62,7 @@ def _rounded(value: Column) -> Column:
 
 def term_weights(
     docs: DataFrame, key: str, found: Column, copies: str | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS, round_rows: int = ROUND_ROWS,
 ) -> DataFrame:
     """(key, term, tf, df, holders, weight): length-normalised TF-IDF of every document.
 
@@ -52,48 +71,121 @@ def term_weights(
     in a single document are left out, unless that leaves no term at all.
     """
     weight = (F.col(copies) if copies else F.lit(1)).cast("long")
-    # A document stays one row with its terms counted in it; terms are shuffled to be counted,
-    # and once more to come together with their counts.
-    held = F.when(F.size(found) > 0, tallied(found))
+    # A document stays one row with its terms counted in it. They are packed hard: terms of a
+    # document stand in order, so neighbours begin alike.
+    held = once(tallied(F.coalesce(found, F.array().cast("array<string>"))), _slices)
+    parts = [f"t{k}" for k in range(SLICES)]
     bags, seen = stage_observed(
-        docs.select(key, weight.alias("_copies"), held.alias("_terms")), "terms",
-        copies=F.sum("_copies"), terms=F.sum(F.size("_terms")),
+        docs.select(key, weight.alias("_copies"), held.alias("_terms")).select(
+            key, "_copies", "_terms.*"
+        ),
+        "terms", PACKED,
+        copies=F.sum("_copies"), terms=F.sum(reduce(add, [F.size(p) for p in parts])),
     )
     n, rows = F.lit(seen["copies"] or 0), seen["terms"] or 0
-    counted = bags.select(key, "_copies", F.inline("_terms"))
-    df = counted.groupBy("term").agg(
-        F.sum("_copies").alias("df"), F.count(F.lit(1)).alias("holders")
-    )
-    terms_known, hot = rows, None
-    if rows > broadcast_rows:
-        df, found_df = stage_observed(
-            df, "vocabulary", most=F.max("df"), shared=F.count_if(F.col("df") > 1)
-        )
-        terms_known = found_df["shared"] if (found_df["most"] or 0) > 1 else found_df["rows"]
-        # The vocabulary knows how many rows hold a term, so terms are not counted again.
-        busy = df.where(F.col("holders") > rows / HOT_SLOTS).select("term")
-        hot = [r["term"] for r in busy.collect()] if terms_known > broadcast_rows else None
-    floor = df.select(F.least(F.lit(2), F.max("df")).alias("floor")).scalar()
-    vocabulary = df.where(F.col("df") >= floor)
-    if hot is not None:
-        # Its own size, without the terms left out, tells whether Spark sends it after all.
-        vocabulary = stage(vocabulary, "vocabulary")
-    raw = lambda tf, df: tf * (F.log((1.0 + n) / (1.0 + df)) + 1.0)
-    met = lookup(
-        counted, vocabulary, "term", [key, "term"], broadcast_rows, at_most=terms_known, hot_keys=hot
-    )
-    # A document's terms are no more than its text held in one row. Weights follow from the counts
-    # and do not travel.
-    one = F.struct("term", "tf", "df", "holders")
-    whole = met.where(F.col("df").isNotNull()).groupBy(key).agg(F.collect_list(one).alias("_all"))
-    squares = F.aggregate(
-        "_all", F.lit(0.0), lambda total, x: total + F.pow(raw(x["tf"], x["df"]), F.lit(2.0))
+    # Many terms go round by round, a slice in each, so only a round's terms lie in shuffles at
+    # once.
+    rounds = [[p] for p in parts] if rows > round_rows else [parts]
+    met = _with_holders(bags, key, rounds, broadcast_rows)
+    raw = F.col("tf") * (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0)
+    lengths, known = stage_observed(
+        met.groupBy(key).agg(
+            F.sqrt(F.sum(F.pow(raw, F.lit(2.0)))).alias("_length"),
+            F.count(F.lit(1)).alias("_held"),
+        ),
+        "lengths",
+        none=F.max(F.when(F.col(key).isNull(), F.col("_length"))),
     )
-    whole = whole.withColumn("_length", F.sqrt(squares))
-    return whole.select(key, "_length", F.inline("_all")).select(
-        key, "term", "tf", "df", "holders",
-        (raw(F.col("tf"), F.col("df")) / F.col("_length")).alias("weight"),
+    if len(rounds) > 1:
+        release(docs.sparkSession)
+    # Lengths are sent while they are few beside what a term costs, so terms stay where they were
+    # counted and need no further shuffle to come together.
+    most = broadcast_rows * DOCUMENTS_SENT
+    hot = None
+    if known["rows"] > most:
+        hot = [r[0] for r in lengths.where(
+            F.col(key).isNotNull() & (F.col("_held") > rows / HOT_SLOTS)
+        ).select(key).collect()]
+    whole = lookup(
+        met, lengths.where(F.col(key).isNotNull()).select(key, "_length"), key, [key, "term"],
+        most, at_most=known["rows"], hot_keys=hot,
     )
+    length = F.when(F.col(key).isNull(), F.lit(known["none"])).otherwise(F.col("_length"))
+    return whole.select(key, "term", "tf", "df", "holders", (raw / length).alias("weight"))
+
+
+def _slices(held: Column) -> Column:
+    """A document's counted terms, apart by slices: by their first word, as pairs of words that
+    begin alike take less room together."""
+
+    def one(k: int) -> Column:
+        first = lambda x: F.xxhash64(F.substring_index(x["term"], " ", 1))
+        return F.filter(held, lambda x: F.pmod(first(x), F.lit(SLICES)) == k)
+
+    return F.struct(*[one(k).alias(f"t{k}") for k in range(SLICES)])
+
+
+def _with_holders(
+    bags: DataFrame, key: str, rounds: list[list[str]], broadcast_rows: int
+) -> DataFrame:
+    """(key, term, tf, df, holders) of the terms that count: those of two documents or more, or
+    all if there are none.
+
+    The terms with most holders are sent, and rows that hold them stay where they are; only the
+    others are shuffled, to meet their counts. A term that is not sent has no more holders than
+    any that is, so none of them is hot.
+    """
+    large = len(rounds) > 1
+    free = lambda: release(bags.sparkSession) if large else None
+    terms_of = lambda some: bags.select(key, "_copies", F.inline(F.concat(*some)))
+    free()
+    vocabulary, most, shared = [], 0, 0
+    for some in rounds:
+        total = Observation()
+        df = terms_of(some).groupBy("term").agg(
+            F.sum("_copies").alias("df"), F.count(F.lit(1)).alias("holders")
+        )
+        df = df.observe(total, F.max("df").alias("most")).where(F.col("df") > 1)
+        df, found = stage_observed(df, "vocabulary", PACKED)
+        vocabulary.append(df)
+        most, shared = max(most, total.get["most"] or 0), shared + found["rows"]
+        free()
+    every = reduce(DataFrame.union, [terms_of(some) for some in rounds])
+    if most < 2:
+        alone = F.lit(1).cast("long")
+        return every.select(key, "term", "tf", alone.alias("df"), alone.alias("holders"))
+    counts = reduce(DataFrame.union, vocabulary)
+    if shared <= broadcast_rows and not large:
+        return _met(every, F.broadcast(counts), key)
+    step = F.floor(F.log2("holders") * HOLDER_STEPS)
+    falling = counts.groupBy(step.alias("step")).count().orderBy(F.col("step").desc()).collect()
+    sent, cut = 0, None
+    for r in falling:
+        sent += r["count"]
+        if sent > broadcast_rows:
+            break
+        cut = r["step"]
+    is_common = step >= cut if cut is not None else F.lit(False)
+    number = F.monotonically_increasing_id()
+    common = stage(counts.where(is_common).repartition(1).withColumn("_number", number), "common")
+    found = []
+    for some, df in zip(rounds, vocabulary, strict=True):
+        others = terms_of(some).join(F.broadcast(common.select("term")), "term", "left_anti")
+        # In the order of terms they take little room.
+        rare = _met(others, df.where(~is_common), key).sortWithinPartitions("term")
+        found.append(stage(rare, "rare", PACKED))
+        discard(df)
+        free()
+    # Of the documents only their common terms are left to be read, and those by their numbers.
+    numbered = every.join(F.broadcast(common.select("term", "_number")), "term")
+    held = stage(numbered.select(key, "_number", "tf"), "numbered", PACKED)
+    discard(bags)
+    found.append(held.join(F.broadcast(common), "_number").select(found[0].columns))
+    return reduce(DataFrame.union, found)
+
+
+def _met(terms: DataFrame, counts: DataFrame, key: str) -> DataFrame:
+    return terms.join(counts, "term").select(key, "term", "tf", "df", "holders")
 
 
 def tfidf_terms(docs: DataFrame, key: str, text: str) -> DataFrame:

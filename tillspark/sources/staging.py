@@ -7,6 +7,7 @@ lets later steps read only the columns they use.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -60,17 +61,36 @@ def delete(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def discard(df: DataFrame) -> None:
+    """Delete the staged tables `df` is read from, which nothing reads any more."""
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if folder.rsplit("/", 1)[-1] in _rows:
+            delete(df.sparkSession, folder)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now.
+
+    It deletes those nothing can reach any more, which it learns when the driver collects its
+    garbage; between jobs that each shuffle much, that may be too late for the disks.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def stage(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write `df` once and return it as read back."""
-    return stage_counted(df, name)[0]
+    return stage_observed(df, name, codec, rows=F.count(F.lit(1)))[0]
 
 
-def stage_observed(df: DataFrame, name: str, **totals: Column) -> tuple[DataFrame, dict[str, Any]]:
+def stage_observed(
+    df: DataFrame, name: str, codec: str | None = None, **totals: Column
+) -> tuple[DataFrame, dict[str, Any]]:
     """`stage`, and totals over the rows, taken while they are written."""
     seen = Observation()
     totals.setdefault("rows", F.count(F.lit(1)))
     measured = df.observe(seen, *[total.alias(alias) for alias, total in totals.items()])
-    staged, folder = _write(measured, df, name)
+    staged, folder = _write(measured, df, name, codec)
     _rows[folder] = seen.get["rows"]
     return staged, seen.get
 
@@ -112,10 +132,12 @@ def stage_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return side_by_side(spark, **steps)
 
 
-def _write(observed: DataFrame, df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def _write(
+    observed: DataFrame, df: DataFrame, name: str, codec: str | None = None
+) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     app = spark.sparkContext.applicationId
     folder = _area.get() or f"{shared_folder(spark)}/{app}"
     own = f"{name}-{uuid.uuid4().hex}"
-    observed.write.parquet(f"{folder}/{own}")
+    observed.write.parquet(f"{folder}/{own}", compression=codec)
     return spark.read.schema(df.schema).parquet(f"{folder}/{own}"), own
